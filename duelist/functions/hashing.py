@@ -14,8 +14,8 @@ def as_column(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def unit_hash(key: ColumnOrName | list[ColumnOrName], salt: str, method: str = "md5") -> Column:
-    """A double in [0, 1) from the key and a salt.
+def unit_hash(key: ColumnOrName | list[ColumnOrName], salt: str | Column, method: str = "md5") -> Column:
+    """A double in [0, 1) from the key and a salt (text, or a column that holds it).
 
     ``md5`` can be recomputed in any SQL engine: the first 32 bits of
     ``md5(key || ':' || salt)``. ``xxhash64`` keeps 53 bits and costs a small
@@ -23,14 +23,15 @@ def unit_hash(key: ColumnOrName | list[ColumnOrName], salt: str, method: str = "
     Parts of a composite key are joined with ``|``.
     """
     parts = [as_column(k) for k in (key if isinstance(key, list) else [key])]
+    salt = F.lit(salt) if isinstance(salt, str) else salt
     if method == "xxhash64":
-        bits = F.xxhash64(*parts, F.lit(salt))
+        bits = F.xxhash64(*parts, salt)
         return F.shiftrightunsigned(bits, 11) / F.lit(float(2**53))
     if method != "md5":
         raise ValueError(f"unknown hash method: {method}")
     text = [F.coalesce(p.cast("string"), F.lit("null")) for p in parts]
     joined = text[0] if len(text) == 1 else F.concat_ws("|", *text)
-    digest = F.md5(F.concat(joined, F.lit(f":{salt}")))
+    digest = F.md5(F.concat(joined, F.lit(":"), salt))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
 
 

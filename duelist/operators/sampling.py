@@ -95,12 +95,12 @@ def complement(df: DataFrame, part: DataFrame, key: str | list[str]) -> DataFram
     return df.join(part.select(*keys), keys, "left_anti")
 
 
-def assign_group(df: DataFrame, key: ColumnOrName | list[ColumnOrName], test_name: str,
-                 traffic_split: float = 0.5, method: str = "md5", column: str = "ab_group") -> DataFrame:
+def assign_group(df: DataFrame, key: ColumnOrName | list[ColumnOrName], test_name: str | Column,
+                 traffic_split: float | Column = 0.5, method: str = "md5", column: str = "ab_group") -> DataFrame:
     """``challenger`` for a share of keys, else ``champion``. The salt is the test name, so
     assignment is repeatable, independent of the split and new for every test."""
     u = unit_hash(key, test_name, method)
-    return df.withColumn(column, F.when(u < F.lit(traffic_split), "challenger").otherwise("champion"))
+    return df.withColumn(column, F.when(u < traffic_split, "challenger").otherwise("champion"))
 
 
 def with_position(df: DataFrame, order: list[ColumnOrName], bucket: Column,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from duelist.operators import registry
 from duelist.sources.tables import is_missing
@@ -56,9 +57,9 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_by_alias(tables: RunTables, model: str, alias: str) -> tuple[PipelineModel, int] | None:
     """The fitted model that an alias of one registered model points to, with its version."""
-    aliases = registry.resolve(tables.read("alias_events").filter(f"model = '{model}'"))
+    aliases = registry.resolve(tables.read("alias_events").filter(F.col("model") == model))
     row = (
-        aliases.filter(aliases.alias == alias)
+        aliases.filter(F.col("alias") == alias)
         .join(tables.read("versions"), ["model", "version"])
         .select("path", "version")
         .first()

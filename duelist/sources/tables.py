@@ -28,21 +28,31 @@ _TYPES = {"transaction_id": "string", "timestamp": "timestamp_ntz"} | {
 TRANSACTION_SCHEMA = ", ".join(f"`{c}` {_TYPES.get(c, 'int')}" for c in TRANSACTION_COLUMNS)
 
 
+# Text form of times, to the microsecond; Spark's default keeps milliseconds.
+_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def read_parquet(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
     """Parquet scan. A given schema saves reading footers to find it."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, mode: str = "FAILFAST") -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, which reads the data twice."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, mode: str = "FAILFAST",
+             times: dict[str, str] | None = None) -> DataFrame:
+    """CSV with a header. Without a schema the types are inferred, which reads the data twice.
+
+    ``times`` gives time formats as reader options; by default Spark takes ISO text of any precision.
+    """
     reader = spark.read.option("header", True).option("mode", mode)
-    return (reader.option("inferSchema", True) if schema is None else reader.schema(schema)).csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.options(**(times or {})).schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV parts with a header each, written where the rows are."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**_TIMES).csv(path)
 
 
 def is_missing(error: AnalysisException) -> bool:
