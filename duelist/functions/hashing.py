@@ -1,38 +1,42 @@
-"""Uniform numbers that depend only on a row's key, never on file layout or run."""
+"""Uniform numbers that depend only on a row's key, never on file layout or run.
 
-from __future__ import annotations
+Expressions are SQL text: one round trip to the JVM each, however long they are.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrName = Column | str
+METHODS = ("md5", "xxhash64")
 
 
-def as_column(c: ColumnOrName) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def quote(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def unit_hash(key: ColumnOrName | list[ColumnOrName], salt: str | Column, method: str = "md5") -> Column:
-    """A double in [0, 1) from the key and a salt (text, or a column that holds it).
+def hash_sql(key: str | list[str], salt: str, method: str = "md5") -> str:
+    """SQL text of a double in [0, 1) from the key (SQL text, or parts of it) and a salt (SQL text).
 
     ``md5`` can be recomputed in any SQL engine: the first 32 bits of
     ``md5(key || ':' || salt)``. ``xxhash64`` keeps 53 bits and costs a small
     part of the CPU time, for use where nothing outside Spark has to agree.
     Parts of a composite key are joined with ``|``.
     """
-    parts = [as_column(k) for k in (key if isinstance(key, list) else [key])]
-    salt = F.lit(salt) if isinstance(salt, str) else salt
+    parts = [key] if isinstance(key, str) else key
     if method == "xxhash64":
-        bits = F.xxhash64(*parts, salt)
-        return F.shiftrightunsigned(bits, 11) / F.lit(float(2**53))
+        return f"shiftrightunsigned(xxhash64({', '.join(parts)}, {salt}), 11) / {2**53}.0D"
     if method != "md5":
         raise ValueError(f"unknown hash method: {method}")
-    text = [F.coalesce(p.cast("string"), F.lit("null")) for p in parts]
-    joined = text[0] if len(text) == 1 else F.concat_ws("|", *text)
-    digest = F.md5(F.concat(joined, F.lit(":"), salt))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
+    text = [f"coalesce(cast({p} AS string), 'null')" for p in parts]
+    joined = text[0] if len(text) == 1 else f"concat_ws('|', {', '.join(text)})"
+    return f"cast(conv(substr(md5(concat({joined}, ':', {salt})), 1, 8), 16, 10) AS bigint) / {2**32}.0D"
+
+
+def unit_hash(key: str | list[str], salt: str, method: str = "md5") -> Column:
+    """Column form of ``hash_sql``; here the salt is plain text."""
+    return F.expr(hash_sql(key, quote(salt), method))
 
 
 def poisson_thresholds(resolution: float = 2.0**-32) -> list[float]:
@@ -47,7 +51,6 @@ def poisson_thresholds(resolution: float = 2.0**-32) -> list[float]:
     return out
 
 
-def poisson_weight(u: Column) -> Column:
+def poisson_sql(u: str) -> str:
     """Poisson(1) draw by inverting the distribution function at a uniform."""
-    steps = [(u >= F.lit(c)).cast("int") for c in poisson_thresholds()]
-    return reduce(lambda a, b: a + b, steps)
+    return " + ".join(f"cast({u} >= {c!r}D AS int)" for c in poisson_thresholds())

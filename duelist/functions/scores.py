@@ -1,35 +1,34 @@
-"""Monotone buckets of a score, used to split a long running sum into short ones."""
+"""Monotone buckets of a score, used to split a long running sum into short ones (SQL text)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Buckets per unit of log-odds. Doubles between 1e-16 and 1 - 1e-16 give about 4,700 buckets.
 BUCKETS_PER_LOGIT = 64
 _EDGE = 1e-16
 
 
-def logit_bucket(score: Column) -> Column:
+def logit_bucket(score: str) -> str:
     """Bucket number that never decreases with the score.
 
     Log-odds keep fine resolution near 0 and 1, where fraud scores crowd. Scores
     outside (0, 1) fall in the end buckets: the result stays right, it is only
     less evenly spread; use ``split_bucket`` for such scores.
     """
-    inside = F.least(F.greatest(score, F.lit(_EDGE)), F.lit(1.0 - _EDGE))
-    return F.floor(F.lit(float(BUCKETS_PER_LOGIT)) * F.log(inside / (F.lit(1.0) - inside))).cast("int")
+    inside = f"least(greatest({score}, {_EDGE!r}D), {1.0 - _EDGE!r}D)"
+    return f"cast(floor({BUCKETS_PER_LOGIT}D * ln({inside} / (1D - {inside}))) AS int)"
 
 
-def split_bucket(score: Column, splits: list[float]) -> Column:
+def split_bucket(score: str, splits: list[float]) -> str:
     """Bucket number from sorted cut points, as a balanced tree of comparisons."""
     cuts = sorted(set(splits))
 
-    def pick(lo: int, hi: int) -> Column:
+    def pick(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(score < F.lit(cuts[mid]), pick(lo, mid)).otherwise(pick(mid + 1, hi))
+        return f"if({score} < {cuts[mid]!r}D, {pick(lo, mid)}, {pick(mid + 1, hi)})"
 
     return pick(0, len(cuts))
 

@@ -10,10 +10,10 @@ Weights come from a hash of (group, unit, replicate): runs repeat exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelist.functions.hashing import ColumnOrName, poisson_weight, unit_hash
+from duelist.functions.hashing import hash_sql, poisson_sql, quote
 from duelist.functions.stats import ratio
 from duelist.operators.decision import CHALLENGER, CHAMPION
 from duelist.operators.metrics import COUNTS, metrics_from_cells, score_cells
@@ -21,69 +21,62 @@ from duelist.operators.metrics import COUNTS, metrics_from_cells, score_cells
 UNIT_SALT, WEIGHT_SALT = "unit", "weight"
 
 
-def _unit(key: ColumnOrName, units: int | None) -> Column:
-    if units is None:
-        return F.col(key) if isinstance(key, str) else key
-    return F.floor(unit_hash(key, UNIT_SALT) * units)
+def _unit(key: str, units: int | None) -> str:
+    return key if units is None else f"cast(floor({hash_sql(key, quote(UNIT_SALT))} * {units}) AS bigint)"
 
 
 def _replicated(counts: DataFrame, group: str, replicates: int) -> DataFrame:
-    """Counts times replicates with a weight; rows of weight 0 are of no use and go at once."""
-    weight = poisson_weight(unit_hash([group, "unit", "replicate"], WEIGHT_SALT))
+    """Counts times replicates with a Poisson(1) weight. Rows of weight 0 stay: a filter on the
+    weight would compute the hash twice, and the next partial aggregation absorbs them."""
     return (
-        counts.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-        .withColumn("weight", weight)
-        .filter(F.col("weight") > 0)
+        counts.selectExpr("*", f"explode(sequence(1, {replicates})) AS replicate")
+        .selectExpr("*", f"{hash_sql([group, 'unit', 'replicate'], quote(WEIGHT_SALT))} AS _u")
+        .selectExpr("*", f"{poisson_sql('_u')} AS weight")
     )
 
 
 def bootstrap_accuracy(
-    scored: DataFrame, key: ColumnOrName, label: str, replicates: int = 100, units: int | None = 1000,
+    scored: DataFrame, key: str, label: str, replicates: int = 100, units: int | None = 1000,
     group: str = "ab_group", prediction: str = "prediction",
 ) -> DataFrame:
     """Accuracy of every (replicate, group)."""
-    counts = (
-        scored.groupBy(group, _unit(key, units).alias("unit"))
-        .agg(F.count("*").alias("rows"), F.count_if(F.col(label) == F.col(prediction)).alias("hits"))
-    )
-    return (
-        _replicated(counts, group, replicates)
-        .groupBy("replicate", group)
-        .agg(ratio(F.sum(F.col("weight") * F.col("hits")), F.sum(F.col("weight") * F.col("rows"))).alias("value"))
+    counts = scored.groupBy(group, F.expr(f"{_unit(key, units)} AS unit")).agg(
+        F.expr("count(*) AS rows"), F.expr(f"count_if({label} = {prediction}) AS hits")
     )
+    value = ratio("sum(weight * hits)", "sum(weight * rows)")
+    return _replicated(counts, group, replicates).groupBy("replicate", group).agg(F.expr(f"{value} AS value"))
 
 
 def bootstrap_auc(
-    scored: DataFrame, key: ColumnOrName, label: str, replicates: int = 100, units: int | None = 1000,
+    scored: DataFrame, key: str, label: str, replicates: int = 100, units: int | None = 1000,
     group: str = "ab_group", bins: int | None = None,
 ) -> DataFrame:
     """AUC of every (replicate, group). Set ``bins`` when scores are continuous, so that
     the number of cells stays bounded."""
-    with_unit = scored.withColumn("unit", _unit(key, units))
+    with_unit = scored.selectExpr("*", f"{_unit(key, units)} AS unit")
     counts = score_cells(with_unit, [group, "unit"], label, bins=bins)
     cells = (
         _replicated(counts, group, replicates)
         .groupBy("replicate", group, "score")
-        .agg(*[F.sum(F.col(c) * F.col("weight")).alias(c) for c in COUNTS])
-    )
-    return metrics_from_cells(cells, ["replicate", group]).select(
-        "replicate", group, F.col("auc").alias("value")
+        .agg(*[F.expr(f"sum({c} * weight) AS {c}") for c in COUNTS])
     )
+    return metrics_from_cells(cells, ["replicate", group]).selectExpr("replicate", group, "auc AS value")
 
 
 def summarise(values: DataFrame, group: str = "ab_group") -> DataFrame:
     """Mean, spread and 95 % interval of both groups and of the gain, one row each."""
     wide = values.groupBy("replicate").agg(
-        *[F.max(F.when(F.col(group) == g, F.col("value"))).alias(g) for g in (CHAMPION, CHALLENGER)]
+        *[F.expr(f"max(value) FILTER (WHERE {group} = '{g}') AS {g}") for g in (CHAMPION, CHALLENGER)]
     )
-    series = wide.withColumn("gain", F.col(CHALLENGER) - F.col(CHAMPION)).unpivot(
-        "replicate", [CHAMPION, CHALLENGER, "gain"], "series", "value"
+    series = wide.selectExpr(
+        f"stack(3, '{CHAMPION}', {CHAMPION}, '{CHALLENGER}', {CHALLENGER}, 'gain', {CHALLENGER} - {CHAMPION}) "
+        "AS (series, value)"
     )
     return series.groupBy("series").agg(
-        F.count("value").alias("replicates"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"),
-        F.percentile("value", F.lit(0.025)).alias("low"),
-        F.percentile("value", F.lit(0.975)).alias("high"),
-        ratio(F.count_if(F.col("value") > 0), F.count("value")).alias("share_positive"),
+        F.expr("count(value) AS replicates"),
+        F.expr("avg(value) AS mean"),
+        F.expr("stddev_samp(value) AS sd"),
+        F.expr("percentile(value, 0.025) AS low"),
+        F.expr("percentile(value, 0.975) AS high"),
+        F.expr(f"{ratio('count_if(value > 0)', 'count(value)')} AS share_positive"),
     )

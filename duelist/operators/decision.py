@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duelist.functions.hashing import quote
 from duelist.functions.stats import ratio
 from duelist.operators.metrics import group_metrics
 
@@ -19,38 +20,32 @@ _PIVOTED = ["auc", "auc_se", "accuracy", "f1_weighted", "f1_positive", "positive
 def compare_groups(metrics: DataFrame, keys: list[str] | None = None, group: str = "ab_group") -> DataFrame:
     """One row per key set with ``champion_*`` and ``challenger_*`` columns.
 
-    A missing group has size 0 and NULL metrics. Without keys there is always a row,
-    also for empty input.
+    A missing group has size 0 and NULL metrics; metrics that were not computed are left
+    out. Without keys there is always a row, also for empty input.
     """
     aggs = []
     for name in (CHAMPION, CHALLENGER):
-        mine = F.col(group) == name
-        for count in ("sample_size", "invalid"):
-            aggs.append(F.coalesce(F.max(F.when(mine, F.col(count))), F.lit(0)).cast("bigint").alias(f"{name}_{count}"))
-        for c in _PIVOTED:
-            aggs.append(F.max(F.when(mine, F.col(c))).alias(f"{name}_{c}"))
+        for c in ("sample_size", "invalid", *_PIVOTED):
+            if c in metrics.columns:
+                value = f"max({c}) FILTER (WHERE {group} = '{name}')"
+                value = f"coalesce({value}, 0L)" if c in ("sample_size", "invalid") else value
+                aggs.append(F.expr(f"{value} AS {name}_{c}"))
     return metrics.groupBy(*(keys or [])).agg(*aggs)
 
 
 def with_deltas(wide: DataFrame) -> DataFrame:
     """Challenger minus champion for AUC, accuracy and label-weighted F1."""
-
-    def gain(metric: str) -> Column:
-        return F.col(f"{CHALLENGER}_{metric}") - F.col(f"{CHAMPION}_{metric}")
-
-    return wide.withColumns(
-        {
-            "auc_improvement": gain("auc"),
-            "accuracy_improvement": gain("accuracy"),
-            "f1_improvement": gain("f1_weighted"),
-        }
+    return wide.selectExpr(
+        "*",
+        "challenger_auc - champion_auc AS auc_improvement",
+        "challenger_accuracy - champion_accuracy AS accuracy_improvement",
+        "challenger_f1_weighted - champion_f1_weighted AS f1_improvement",
     )
 
 
-def four_places(x: Column) -> Column:
-    """Text with four decimals, halves away from zero in every engine."""
-    size = F.floor(F.round(F.abs(x), 9) * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
-    return F.format_string("%.4f", size)
+def four_places(x: str) -> str:
+    """SQL text of a size with four decimals, halves rounded up in every engine."""
+    return f"format_string('%.4f', floor(round(abs({x}), 9) * 10000D + 0.5D) / 10000D)"
 
 
 def decide(deltas: DataFrame, threshold: float = CONFIDENCE_THRESHOLD, min_share: float = MIN_GROUP_SHARE) -> DataFrame:
@@ -60,42 +55,39 @@ def decide(deltas: DataFrame, threshold: float = CONFIDENCE_THRESHOLD, min_share
     ``reason``; only ``ok`` tests have a winner. ``hold_reason`` names why a better
     challenger is not promoted.
     """
-    n1, n2 = F.col(f"{CHAMPION}_sample_size"), F.col(f"{CHALLENGER}_sample_size")
-    gain, ok = F.col("auc_improvement"), F.col("status") == "ok"
-    share = ratio(F.least(n1, n2), n1 + n2)
-    balanced = F.coalesce(share > F.lit(min_share), F.lit(False))
-    clear, better = (gain > F.lit(threshold)) & F.col("is_balanced"), gain > 0
-    invalid = F.col(f"{CHAMPION}_invalid") + F.col(f"{CHALLENGER}_invalid")
-    reason = (
-        F.when(n1 + n2 == 0, "no rows")
-        .when(invalid > 0, "label, score or prediction missing")
-        .when(F.least(n1, n2) == 0, "a group has no rows")
-        .when(gain.isNull(), "a group has one class only")
-    )
-    status = (
-        F.when(F.col("reason").isNull(), "ok")
-        .when(F.col("reason").isin("no rows", "label, score or prediction missing"), "failed")
-        .otherwise("undefined")
-    )
-    # Message texts.
-    message = (
-        F.when(ok & clear, F.concat(F.lit("Challenger better by "), four_places(gain), F.lit(" AUC (statistically significant)")))
-        .when(ok & better, F.concat(F.lit("Challenger better by "), four_places(gain), F.lit(" AUC (not statistically significant)")))
-        .when(ok, F.concat(F.lit("Champion better by "), four_places(gain), F.lit(" AUC")))
-    )
+    n1, n2 = "champion_sample_size", "challenger_sample_size"
+    gain = "auc_improvement"
+    size = four_places(gain)
     return (
-        deltas.withColumns({"is_balanced": balanced, "reason": reason})
-        .withColumn("status", status)
-        .withColumns(
-            {
-                "winner": F.when(ok & better, CHALLENGER).when(ok, CHAMPION),
-                "should_promote": F.coalesce(ok & clear, F.lit(False)),
-                "improvement_message": message,
-                "hold_reason": F.when(ok & better & ~clear, F.when(gain > F.lit(threshold), "unbalanced groups")
-                                      .otherwise("gain not above threshold")),
-                "confidence_threshold": F.lit(float(threshold)),
-            }
+        deltas.selectExpr(
+            "*",
+            f"coalesce({ratio(f'least({n1}, {n2})', f'{n1} + {n2}')} > {min_share!r}D, false) AS is_balanced",
+            f"""CASE WHEN {n1} + {n2} = 0 THEN 'no rows'
+                     WHEN champion_invalid + challenger_invalid > 0 THEN 'label, score or prediction missing'
+                     WHEN least({n1}, {n2}) = 0 THEN 'a group has no rows'
+                     WHEN {gain} IS NULL THEN 'a group has one class only' END AS reason""",
+            f"{float(threshold)!r}D AS confidence_threshold",
         )
+        .selectExpr(
+            "*",
+            """CASE WHEN reason IS NULL THEN 'ok'
+                    WHEN reason IN ('no rows', 'label, score or prediction missing') THEN 'failed'
+                    ELSE 'undefined' END AS status""",
+            f"coalesce(reason IS NULL AND {gain} > confidence_threshold AND is_balanced, false) AS should_promote",
+            f"coalesce(reason IS NULL AND {gain} > 0, false) AS _better",
+        )
+        # Message texts.
+        .selectExpr(
+            "*",
+            f"CASE WHEN _better THEN '{CHALLENGER}' WHEN reason IS NULL THEN '{CHAMPION}' END AS winner",
+            f"""CASE WHEN should_promote THEN concat('Challenger better by ', {size}, ' AUC (statistically significant)')
+                     WHEN _better THEN concat('Challenger better by ', {size}, ' AUC (not statistically significant)')
+                     WHEN reason IS NULL THEN concat('Champion better by ', {size}, ' AUC') END AS improvement_message""",
+            f"""CASE WHEN should_promote OR NOT _better THEN NULL
+                     WHEN {gain} > confidence_threshold THEN 'unbalanced groups'
+                     ELSE 'gain not above threshold' END AS hold_reason""",
+        )
+        .drop("_better")
     )
 
 
@@ -125,7 +117,9 @@ def report_from_metrics(
     group: str = "ab_group",
 ) -> DataFrame:
     decided = decide(with_deltas(compare_groups(metrics, keys, group)), threshold, min_share)
-    return decided.withColumns({"test_name": F.lit(test_name), "traffic_split": F.lit(float(traffic_split))})
+    return decided.selectExpr(
+        "*", f"{quote(test_name)} AS test_name", f"{float(traffic_split)!r}D AS traffic_split"
+    )
 
 
 def failures(report: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -135,9 +129,8 @@ def failures(report: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 def promotion_gate(report: DataFrame, auto_promote: bool) -> DataFrame:
     """Adds ``promote`` (won and allowed) and ``promotion_status``, before anything is written."""
-    promote = F.col("should_promote") & F.lit(auto_promote)
-    return report.withColumns(
-        {"promote": promote, "promotion_status": F.when(promote, "success").otherwise("not_promoted")}
+    return report.selectExpr("*", f"should_promote AND {str(auto_promote).lower()} AS promote").selectExpr(
+        "*", "if(promote, 'success', 'not_promoted') AS promotion_status"
     )
 
 
@@ -168,8 +161,8 @@ REPORT_PARAMS = {
 
 
 def _long(report: DataFrame, keep: list[str], names: dict[str, str], value_type: str) -> DataFrame:
-    pairs = [F.struct(F.lit(n).alias("name"), F.col(c).cast(value_type).alias("value")) for n, c in names.items()]
-    return report.select(*keep, F.inline(F.array(*pairs)))
+    pairs = ", ".join(f"'{n}', cast({c} AS {value_type})" for n, c in names.items())
+    return report.selectExpr(*keep, f"stack({len(names)}, {pairs}) AS (name, value)")
 
 
 def metrics_long(report: DataFrame, keep: list[str]) -> DataFrame:
@@ -185,39 +178,33 @@ def params_long(report: DataFrame, keep: list[str]) -> DataFrame:
 def document(report: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Nested result record, one row per test; needs a ``timestamp`` column."""
 
-    def side(name: str) -> Column:
-        return F.struct(
-            F.col(f"{name}_auc").alias("auc"),
-            F.col(f"{name}_accuracy").alias("accuracy"),
-            F.col(f"{name}_f1_weighted").alias("f1"),
-            F.col(f"{name}_sample_size").alias("sample_size"),
-        ).alias(f"{name}_metrics")
+    def side(name: str) -> str:
+        return (
+            f"struct({name}_auc AS auc, {name}_accuracy AS accuracy, {name}_f1_weighted AS f1, "
+            f"{name}_sample_size AS sample_size) AS {name}_metrics"
+        )
 
-    return report.select(
+    return report.selectExpr(
         *(keep or []),
-        F.col("timestamp").cast("string").alias("timestamp"),
+        "cast(timestamp AS string) AS timestamp",
         "test_name",
         "traffic_split",
         side(CHAMPION),
         side(CHALLENGER),
-        F.struct(
-            F.col("auc_improvement").alias("auc"),
-            F.col("accuracy_improvement").alias("accuracy"),
-            F.col("f1_improvement").alias("f1"),
-        ).alias("improvements"),
-        F.col("is_balanced").alias("statistical_significance"),
+        "struct(auc_improvement AS auc, accuracy_improvement AS accuracy, f1_improvement AS f1) AS improvements",
+        "is_balanced AS statistical_significance",
         "winner",
         "should_promote",
         "improvement_message",
         "confidence_threshold",
         "status",
         "reason",
-        *([c for c in ("promotion_status",) if c in report.columns]),
+        *(c for c in ("promotion_status",) if c in report.columns),
     )
 
 
 def document_json(report: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The result record as JSON text, NULLs included."""
     doc = document(report, keep)
-    fields = [c for c in doc.columns if c not in (keep or [])]
-    return doc.select(*(keep or []), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("document"))
+    fields = ", ".join(c for c in doc.columns if c not in (keep or []))
+    return doc.selectExpr(*(keep or []), f"to_json(struct({fields}), map('ignoreNullFields', 'false')) AS document")

@@ -37,19 +37,13 @@ def standardise(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -
 
     The moments are one scalar subquery, read by every expression.
     """
-    moments = df.agg(
-        F.struct(
-            *[F.avg(c).alias(f"mean_{c}") for c in columns],
-            *[F.stddev_samp(c).alias(f"std_{c}") for c in columns],
-        ).alias("moments")
-    ).scalar()
+    values = ", ".join(f"avg(`{c}`) AS `mean_{c}`, stddev_samp(`{c}`) AS `std_{c}`" for c in columns)
+    moments = df.agg(F.expr(f"struct({values}) AS moments")).scalar().alias("_m")
     scaled = [
-        F.when(moments[f"std_{c}"] > 0, (F.col(c) - moments[f"mean_{c}"]) / moments[f"std_{c}"])
-        .when(F.col(c).isNotNull(), F.lit(0.0))
-        .alias(f"{c}_scaled")
+        f"CASE WHEN _m.`std_{c}` > 0 THEN (`{c}` - _m.`mean_{c}`) / _m.`std_{c}` WHEN `{c}` IS NOT NULL THEN 0D END AS `{c}_scaled`"
         for c in columns
     ]
-    return df.select(*keep, *scaled)
+    return df.select("*", moments).selectExpr(*keep, *scaled)
 
 
 def reorder(df: DataFrame, order: list[str]) -> DataFrame:

@@ -12,41 +12,40 @@ same rows as the inner sums, so the plan is one chain without a self-join.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duelist.functions.hashing import quote
 from duelist.functions.scores import logit_bucket
 from duelist.functions.stats import ratio
 
 COUNTS = ["positives", "negatives", "tp", "fp", "invalid"]
 
 
-def _valid(label: str, prediction: str, score: str | None) -> Column:
-    ok = F.col(label).isin(0, 1) & F.col(prediction).isin(0, 1)
+def _count_columns(label: str, prediction: str, score: str | None) -> list[Column]:
+    ok = f"{label} IN (0, 1) AND {prediction} IN (0, 1)"
     if score is not None:
-        ok = ok & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
-    return F.coalesce(ok, F.lit(False))
+        ok += f" AND {score} IS NOT NULL AND NOT isnan({score})"
+    ok = f"coalesce({ok}, false)"
+    conditions = {
+        "positives": f"{ok} AND {label} = 1",
+        "negatives": f"{ok} AND {label} = 0",
+        "tp": f"{ok} AND {label} = 1 AND {prediction} = 1",
+        "fp": f"{ok} AND {label} = 0 AND {prediction} = 1",
+        "invalid": f"NOT {ok}",
+    }
+    return [F.expr(f"count_if({conditions[c]}) AS {c}") for c in COUNTS]
 
 
-def _count_columns(label: str, prediction: str, score: str | None) -> list[Column]:
-    ok = _valid(label, prediction, score)
-    positive, flagged = F.col(label) == 1, F.col(prediction) == 1
-    return [
-        F.count_if(ok & positive).alias("positives"),
-        F.count_if(ok & ~positive).alias("negatives"),
-        F.count_if(ok & positive & flagged).alias("tp"),
-        F.count_if(ok & ~positive & flagged).alias("fp"),
-        F.count_if(~ok).alias("invalid"),
-    ]
+def _sums() -> list[Column]:
+    return [F.expr(f"sum({c}) AS {c}") for c in COUNTS]
 
 
 def group_counts(df: DataFrame, group: str = "ab_group", names: list[str] | None = None) -> DataFrame:
     """Rows per group. With ``names``, one row whose absent groups count as 0."""
     if names is None:
         return df.groupBy(group).agg(F.count("*").alias("sample_size"))
-    return df.agg(*[F.count_if(F.col(group) == n).alias(f"{n}_count") for n in names])
+    return df.agg(*[F.expr(f"count_if({group} = {quote(n)}) AS {n}_count") for n in names])
 
 
 def confusion(df: DataFrame, keys: list[str], label: str, prediction: str = "prediction") -> DataFrame:
@@ -56,28 +55,21 @@ def confusion(df: DataFrame, keys: list[str], label: str, prediction: str = "pre
 
 
 def _with_n(counts: DataFrame) -> DataFrame:
-    return counts.withColumns(
-        {
-            "sample_size": F.col("positives") + F.col("negatives") + F.col("invalid"),
-            "fn": F.col("positives") - F.col("tp"),
-            "tn": F.col("negatives") - F.col("fp"),
-        }
+    return counts.selectExpr(
+        "*", "positives + negatives + invalid AS sample_size", "positives - tp AS fn", "negatives - fp AS tn"
     )
 
 
 def with_rates(counts: DataFrame) -> DataFrame:
     """Adds accuracy, F1 of the positive class and label-weighted F1 to confusion counts."""
-    p, n, tp, fp = (F.col(c).cast("double") for c in ("positives", "negatives", "tp", "fp"))
-    f1_pos = ratio(F.lit(2.0) * tp, p + tp + fp)
-    f1_neg = ratio(F.lit(2.0) * (n - fp), n + (n - fp) + (p - tp))
-    f1_weighted = ratio(p * F.coalesce(f1_pos, F.lit(0.0)) + n * F.coalesce(f1_neg, F.lit(0.0)), p + n)
-    return counts.withColumns(
-        {
-            "accuracy": ratio(tp + n - fp, p + n),
-            "f1_positive": f1_pos,
-            "f1_weighted": f1_weighted,
-        }
+    both = counts.selectExpr(
+        "*",
+        f"{ratio('tp + tn', 'positives + negatives')} AS accuracy",
+        f"{ratio('2 * tp', 'positives + tp + fp')} AS f1_positive",
+        f"{ratio('2 * tn', 'negatives + tn + fn')} AS _f1_negative",
     )
+    weighted = "positives * coalesce(f1_positive, 0D) + negatives * coalesce(_f1_negative, 0D)"
+    return both.selectExpr("*", f"{ratio(weighted, 'positives + negatives')} AS f1_weighted").drop("_f1_negative")
 
 
 def score_cells(
@@ -93,88 +85,78 @@ def score_cells(
     ``bins`` rounds scores down to that many equal steps of [0, 1]: fewer cells,
     approximate AUC. By default AUC is exact.
     """
-    value = F.col(score).cast("double")
+    value = f"cast({score} AS double)"
     if bins is not None:
-        value = F.floor(value * bins) / F.lit(float(bins))
-    return df.groupBy(*keys, value.alias("score")).agg(*_count_columns(label, prediction, score))
+        value = f"floor({value} * {bins}) / {bins}D"
+    return df.groupBy(*keys, F.expr(f"{value} AS score")).agg(*_count_columns(label, prediction, score))
 
 
 def merge_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Adds up cells, for instance of several increments or of finer keys."""
-    return cells.groupBy(*keys, "score").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return cells.groupBy(*keys, "score").agg(*_sums())
 
 
-def metrics_from_cells(
-    cells: DataFrame,
-    keys: list[str],
-    bucket: Callable[[Column], Column] = logit_bucket,
-) -> DataFrame:
+def metrics_from_cells(cells: DataFrame, keys: list[str], bucket: str | None = None) -> DataFrame:
     """AUC with its DeLong (1988) standard error, confusion counts and rates, per key set.
 
-    ``bucket`` may be any function that never decreases with the score; it decides
-    how the work is spread, not the result.
+    ``bucket`` is SQL text of any expression that never decreases with ``score``; it
+    decides how the work is spread, not the result. Default: ``logit_bucket``.
     """
-    p, n = F.col("positives").cast("double"), F.col("negatives").cast("double")
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("score").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    part = ", ".join(keys)
+    inner = f"OVER (PARTITION BY {', '.join([*keys, '_bucket'])} ORDER BY score ROWS UNBOUNDED PRECEDING)"
+    outer = (
+        f"OVER ({f'PARTITION BY {part} ' if keys else ''}ORDER BY _bucket "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    )
+    # _x, _y: mid-rank counts of the other class at or below a score, inside the bucket.
+    ranked = cells.selectExpr("*", f"{bucket or logit_bucket('score')} AS _bucket").selectExpr(
+        "*",
+        f"sum(negatives) {inner} - negatives / 2D AS _x",
+        f"sum(positives) {inner} - positives / 2D AS _y",
     )
-    # Mid-rank counts of the other class at or below a score, inside the bucket.
-    below_n = F.sum("negatives").over(in_bucket) - n / 2
-    below_p = F.sum("positives").over(in_bucket) - p / 2
-    x, y = F.col("_x"), F.col("_y")
-    per_bucket = (
-        cells.withColumn("_bucket", bucket(F.col("score")))
-        .withColumns({"_x": below_n, "_y": below_p})
-        .groupBy(*keys, "_bucket")
-        .agg(
-            *[F.sum(c).alias(c) for c in COUNTS],
-            F.sum(p * x).alias("_sx"),
-            F.sum(p * x * x).alias("_sxx"),
-            F.sum(n * y).alias("_sy"),
-            F.sum(n * y * y).alias("_syy"),
-        )
+    per_bucket = ranked.groupBy(*keys, "_bucket").agg(
+        *_sums(),
+        F.expr("sum(positives * _x) AS _sx"),
+        F.expr("sum(positives * _x * _x) AS _sxx"),
+        F.expr("sum(negatives * _y) AS _sy"),
+        F.expr("sum(negatives * _y * _y) AS _syy"),
     )
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    # _ln, _lp: negatives and positives in all lower buckets; they shift the inner counts.
+    shifted = per_bucket.selectExpr(
+        "*",
+        f"cast(coalesce(sum(negatives) {outer}, 0) AS double) AS _ln",
+        f"cast(coalesce(sum(positives) {outer}, 0) AS double) AS _lp",
     )
-    lower_n = F.coalesce(F.sum("negatives").over(before), F.lit(0)).cast("double")
-    lower_p = F.coalesce(F.sum("positives").over(before), F.lit(0)).cast("double")
-    ln, lp = F.col("_ln"), F.col("_lp")
-    sums = (
-        per_bucket.withColumns({"_ln": lower_n, "_lp": lower_p})
-        .groupBy(*keys)
-        .agg(
-            *[F.sum(c).alias(c) for c in COUNTS],
-            F.sum(F.col("_sx") + p * ln).alias("_sx"),
-            F.sum(F.col("_sxx") + 2 * ln * F.col("_sx") + p * ln * ln).alias("_sxx"),
-            F.sum(F.col("_sy") + n * lp).alias("_sy"),
-            F.sum(F.col("_syy") + 2 * lp * F.col("_sy") + n * lp * lp).alias("_syy"),
-        )
-        .withColumns({c: F.coalesce(c, F.lit(0)) for c in COUNTS})
+    sums = shifted.groupBy(*keys).agg(
+        *[F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in COUNTS],
+        F.expr("sum(_sx + positives * _ln) AS _sx"),
+        F.expr("sum(_sxx + 2 * _ln * _sx + positives * _ln * _ln) AS _sxx"),
+        F.expr("sum(_sy + negatives * _lp) AS _sy"),
+        F.expr("sum(_syy + 2 * _lp * _sy + negatives * _lp * _lp) AS _syy"),
     )
-    var_pos = _sample_variance(F.col("_sx"), F.col("_sxx"), count=p, scale=n)
-    var_neg = _sample_variance(F.col("_sy"), F.col("_syy"), count=n, scale=p)
-    out = with_rates(_with_n(sums)).withColumns(
-        {
-            "auc": ratio(F.col("_sx"), p * n),
-            "auc_se": F.sqrt(ratio(var_pos, p) + ratio(var_neg, n)),
-        }
+    spread = with_rates(_with_n(sums)).selectExpr(
+        "*",
+        f"{_variance('_sx', '_sxx', count='positives', scale='negatives')} AS _var_positive",
+        f"{_variance('_sy', '_syy', count='negatives', scale='positives')} AS _var_negative",
     )
-    return out.select(
-        *keys, "sample_size", "invalid", "positives", "negatives", "tp", "fp", "tn", "fn",
-        "auc", "auc_se", "accuracy", "f1_positive", "f1_weighted",
+    return spread.selectExpr(
+        *keys, "sample_size", *COUNTS, "tn", "fn",
+        "try_divide(_sx, cast(positives AS double) * negatives) AS auc",
+        f"sqrt({ratio('_var_positive', 'positives')} + {ratio('_var_negative', 'negatives')}) AS auc_se",
+        "accuracy", "f1_positive", "f1_weighted",
     )
 
 
-def _sample_variance(total: Column, squares: Column, count: Column, scale: Column) -> Column:
+def _variance(total: str, squares: str, count: str, scale: str) -> str:
     """Sample variance of value/scale from weighted sums; NULL below two rows.
 
     Differences lost in rounding count as zero variance.
     """
-    square_mean = ratio(squares, scale * scale)
-    spread = square_mean - ratio(total * total, count * scale * scale)
-    spread = F.when(spread > F.lit(1e-12) * square_mean, spread).otherwise(F.lit(0.0))
-    return F.when(scale > 0, ratio(spread, F.when(count > 1, count - 1)))
+    norm = f"(cast({scale} AS double) * {scale})"
+    mean_square = f"try_divide({squares}, {norm})"
+    square_of_sum = f"try_divide({total} * {total}, {norm} * {count})"
+    spread = f"if({mean_square} - {square_of_sum} > 1e-12D * {mean_square}, {mean_square} - {square_of_sum}, 0D)"
+    return f"if({scale} > 0 AND {count} > 1, try_divide({spread}, {count} - 1D), NULL)"
 
 
 def group_metrics(
@@ -184,7 +166,7 @@ def group_metrics(
     score: str = "score",
     prediction: str = "prediction",
     bins: int | None = None,
-    bucket: Callable[[Column], Column] = logit_bucket,
+    bucket: str | None = None,
 ) -> DataFrame:
     """All metrics per key set from one pass over the scored rows."""
     return metrics_from_cells(score_cells(df, keys, label, score, prediction, bins), keys, bucket)

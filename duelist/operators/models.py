@@ -13,7 +13,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelist.functions.hashing import ColumnOrName, unit_hash
+from duelist.functions.hashing import unit_hash
 from duelist.operators.decision import CHALLENGER
 from duelist.operators.features import ON_NULL
 from duelist.operators.metrics import group_metrics
@@ -76,7 +76,7 @@ def fit_tuned(
     train: DataFrame,
     features: list[str],
     label: str,
-    key: ColumnOrName,
+    key: str,
     model_type: str = "rf",
     grid: dict[str, list] | None = None,
     folds: int = 3,
@@ -148,7 +148,7 @@ def _scored(model: Transformer, df: DataFrame, name: str) -> DataFrame:
     else:
         out = model.transform(df)
         score = vector_to_array("probability")[1] if "probability" in out.columns else F.col("score")
-        given = F.col("prediction")
+        given = F.col("prediction") if "prediction" in out.columns else F.lit(None)
     return out.select(*_columns(df), score.alias(f"_{name}_score"), given.cast("double").alias(f"_{name}_given"))
 
 
@@ -178,12 +178,9 @@ def score_groups(df: DataFrame, champion: Transformer, challenger: Transformer,
     return scored.select(*_columns(df), "score", F.coalesce("_given", above).alias("prediction"))
 
 
-def rule_model(score_sql: str, cut: float = 0.5) -> SQLTransformer:
-    """A model that is a SQL expression over the columns; class 1 above ``cut``."""
-    return SQLTransformer(
-        statement=f"SELECT *, CASE WHEN score > {cut}D THEN 1.0D ELSE 0.0D END AS prediction "
-        f"FROM (SELECT *, {score_sql} AS score FROM __THIS__)"
-    )
+def rule_model(score_sql: str) -> SQLTransformer:
+    """A model that is a SQL expression over the columns; class 1 above 0.5."""
+    return SQLTransformer(statement=f"SELECT *, {score_sql} AS score FROM __THIS__")
 
 
 def holdout_metrics(model: Transformer, test: DataFrame, label: str, bins: int | None = None) -> DataFrame:

@@ -5,31 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duelist.functions.hashing import quote
+
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row with ``rows`` and ``<column>_nulls`` for every column, in one pass."""
     return df.agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}_nulls") for c in columns or df.columns],
+        F.expr("count(*) AS rows"),
+        *[F.expr(f"count_if(`{c}` IS NULL) AS `{c}_nulls`") for c in columns or df.columns],
     )
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """One row per column: name, type, nullable, rows, nulls, has_nulls (worth a warning)."""
-    entries = [
-        F.struct(
-            F.lit(f.name).alias("name"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.lit(f.nullable).alias("nullable"),
-            F.col(f"`{f.name}_nulls`").alias("nulls"),
-        )
+    entries = ", ".join(
+        f"{quote(f.name)}, {quote(f.dataType.simpleString())}, {str(f.nullable).lower()}, `{f.name}_nulls`"
         for f in df.schema.fields
-    ]
-    return (
-        null_counts(df)
-        .select("rows", F.inline(F.array(*entries)))
-        .withColumn("has_nulls", F.col("nulls") > 0)
     )
+    stacked = f"stack({len(df.columns)}, {entries}) AS (name, type, nullable, nulls)"
+    return null_counts(df).selectExpr("rows", stacked).selectExpr("*", "nulls > 0 AS has_nulls")
 
 
 def preview(df: DataFrame, key: str, n: int = 5) -> DataFrame:

@@ -74,9 +74,7 @@ def register(
     One row per version: version columns plus ``events``, an array of alias events.
     """
     fresh = runs.join(versions.select("run_id"), "run_id", "left_anti")
-    ordered = with_position(
-        fresh, ["run_seq"], F.floor(F.col("run_seq") / run_order_width), ("model",), "_n"
-    )
+    ordered = with_position(fresh, "run_seq", f"floor(run_seq / {run_order_width})", ("model",), "_n")
     last_version = versions.groupBy("model").agg(F.max("version").alias("_last_version"))
     champions = resolve(events).filter(F.col("alias") == CHAMPION).select("model", F.lit(True).alias("_has_champion"))
     state = (

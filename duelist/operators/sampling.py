@@ -6,10 +6,10 @@ any file layout, number of executors or retry.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelist.functions.hashing import ColumnOrName, unit_hash
+from duelist.functions.hashing import hash_sql, quote
 
 SPLIT_SALT = "42"
 POSITION_BUCKETS = 1 << 16
@@ -39,54 +39,57 @@ def _cuts(shares: dict[str, float]) -> list[tuple[str, float, float]]:
     return out
 
 
-def split_label(key: ColumnOrName | list[ColumnOrName], shares: dict[str, float],
-                salt: str = SPLIT_SALT, method: str = "md5") -> Column:
-    """Name of the band that the key's hash falls in; NULL above the last band."""
-    u = unit_hash(key, salt, method)
-    label = F.lit(None).cast("string")
-    for name, _, high in reversed(_cuts(shares)):
-        label = F.when(u < F.lit(high), F.lit(name)).otherwise(label)
-    return label
+def _bands(u: str, shares: dict[str, float]) -> str:
+    whens = " ".join(f"WHEN {u} < {high!r}D THEN {quote(name)}" for name, _, high in _cuts(shares))
+    return f"CASE {whens} END"
 
 
-def split(df: DataFrame, key: ColumnOrName | list[ColumnOrName], shares: dict[str, float],
+def split(df: DataFrame, key: str | list[str], shares: dict[str, float],
           salt: str = SPLIT_SALT, method: str = "md5", column: str = "split") -> DataFrame:
-    """Adds the band name, for one-pass work over several parts."""
-    return df.withColumn(column, split_label(key, shares, salt, method))
+    """Adds the band name (NULL above the last band), for one-pass work over several parts."""
+    u = df.selectExpr("*", f"{hash_sql(key, quote(salt), method)} AS _u")
+    return u.selectExpr("*", f"{_bands('_u', shares)} AS {column}").drop("_u")
 
 
-def split_parts(df: DataFrame, key: ColumnOrName | list[ColumnOrName], shares: dict[str, float],
+def split_parts(df: DataFrame, key: str | list[str], shares: dict[str, float],
                 salt: str = SPLIT_SALT, method: str = "md5") -> dict[str, DataFrame]:
     """One lazy DataFrame per band. ``method='random'`` uses ``randomSplit`` (layout dependent)."""
     if method == "random":
         rest = 1.0 - sum(shares.values())
         weights = [*shares.values(), *([rest] if rest > 1e-9 else [])]
         return dict(zip(shares, df.randomSplit(weights, seed=int(salt)), strict=False))
-    u = unit_hash(key, salt, method)
-    return {name: df.filter((u >= F.lit(low)) & (u < F.lit(high))) for name, low, high in _cuts(shares)}
+    u = hash_sql(key, quote(salt), method)
+    return {name: df.filter(_inside(u, low, high)) for name, low, high in _cuts(shares)}
 
 
-def train_test(df: DataFrame, key: ColumnOrName | list[ColumnOrName],
-               weights: list[float] | None = None, salt: str = SPLIT_SALT) -> tuple[DataFrame, DataFrame]:
+def _inside(u: str, low: float, high: float) -> str:
+    """low <= u < high, without the bounds that always hold (each would hash once more)."""
+    parts = [f"{u} >= {low!r}D"] * (low > 0) + [f"{u} < {high!r}D"] * (high < 1)
+    return " AND ".join(parts) or "true"
+
+
+def train_test(df: DataFrame, key: str | list[str],
+               weights: list[float] | None = None, salt: str = SPLIT_SALT,
+               method: str = "md5") -> tuple[DataFrame, DataFrame]:
     """Train and test parts in the ratio of two weights."""
     train, test = fractions(weights or TRAIN_TEST_WEIGHTS)
-    parts = split_parts(df, key, {"train": train, "test": test}, salt)
+    parts = split_parts(df, key, {"train": train, "test": test}, salt, method)
     return parts["train"], parts["test"]
 
 
-def ab_holdout(df: DataFrame, key: ColumnOrName | list[ColumnOrName],
-               weights: list[float] | None = None, salt: str = SPLIT_SALT) -> DataFrame:
+def ab_holdout(df: DataFrame, key: str | list[str],
+               weights: list[float] | None = None, salt: str = SPLIT_SALT, method: str = "md5") -> DataFrame:
     """Top band of the training split's own hash, so no training row can be in it
     as long as the training share is not larger than the first weight's."""
     low, _ = fractions(weights or AB_HOLDOUT_WEIGHTS)
-    return df.filter(unit_hash(key, salt) >= F.lit(low))
+    return df.filter(_inside(hash_sql(key, quote(salt), method), low, 1.0))
 
 
-def sample(df: DataFrame, key: ColumnOrName | list[ColumnOrName], fraction: float,
+def sample(df: DataFrame, key: str | list[str], fraction: float,
            salt: str = SPLIT_SALT, method: str = "md5") -> tuple[DataFrame, DataFrame]:
     """A sample without replacement and its complement, both by predicate (no join)."""
-    u = unit_hash(key, salt, method)
-    return df.filter(u < F.lit(fraction)), df.filter(u >= F.lit(fraction))
+    u = hash_sql(key, quote(salt), method)
+    return df.filter(f"{u} < {fraction!r}D"), df.filter(f"{u} >= {fraction!r}D")
 
 
 def complement(df: DataFrame, part: DataFrame, key: str | list[str]) -> DataFrame:
@@ -95,53 +98,56 @@ def complement(df: DataFrame, part: DataFrame, key: str | list[str]) -> DataFram
     return df.join(part.select(*keys), keys, "left_anti")
 
 
-def assign_group(df: DataFrame, key: ColumnOrName | list[ColumnOrName], test_name: str | Column,
-                 traffic_split: float | Column = 0.5, method: str = "md5", column: str = "ab_group") -> DataFrame:
+def assign_group(df: DataFrame, key: str | list[str], test_name: str = "ab_test",
+                 traffic_split: float = 0.5, method: str = "md5", column: str = "ab_group") -> DataFrame:
     """``challenger`` for a share of keys, else ``champion``. The salt is the test name, so
     assignment is repeatable, independent of the split and new for every test."""
-    u = unit_hash(key, test_name, method)
-    return df.withColumn(column, F.when(u < traffic_split, "challenger").otherwise("champion"))
+    return assign_group_by(df, key, quote(test_name), f"{float(traffic_split)!r}D", method, column)
+
 
+def assign_group_by(df: DataFrame, key: str | list[str], test_name: str, traffic_split: str,
+                    method: str = "md5", column: str = "ab_group") -> DataFrame:
+    """The same with test name and traffic given as columns (SQL text): many tests at once."""
+    u = hash_sql(key, test_name, method)
+    return df.selectExpr("*", f"if({u} < {traffic_split}, 'challenger', 'champion') AS {column}")
 
-def with_position(df: DataFrame, order: list[ColumnOrName], bucket: Column,
-                  keys: tuple[str, ...] = (), column: str = "position") -> DataFrame:
-    """Dense position 0, 1, 2, ... in the given total order, per ``keys``.
 
-    ``bucket`` must never decrease along the order. Rows are numbered inside a bucket
-    and shifted by the number of rows in earlier buckets, so no task holds a whole
-    key. Offsets are one row per (keys, bucket); without keys their number is the
-    number of buckets.
+def with_position(df: DataFrame, order: str, bucket: str, keys: tuple[str, ...] = (),
+                  column: str = "position") -> DataFrame:
+    """Dense position 0, 1, 2, ... in the given total order (SQL text), per ``keys``.
+
+    ``bucket`` (SQL text) must never decrease along the order. Rows are numbered inside a
+    bucket and shifted by the number of rows in earlier buckets, so no task holds a whole
+    key. Offsets are one row per (keys, bucket); without keys their number is the number
+    of buckets.
     """
-    rows = df.withColumn("_bucket", bucket)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
+    by = ", ".join([*keys, "_bucket"])
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    rows = df.selectExpr("*", f"{bucket} AS _bucket")
+    offsets = rows.groupBy(*keys, "_bucket").agg(F.expr("count(*) AS _rows")).selectExpr(
+        *keys,
+        "_bucket",
+        f"coalesce(sum(_rows) OVER ({part}ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _offset",
     )
     return (
-        rows.withColumn("_rn", F.row_number().over(inside))
+        rows.selectExpr("*", f"row_number() OVER (PARTITION BY {by} ORDER BY {order}) AS _rn")
         .join(offsets, [*keys, "_bucket"])
-        .withColumn(column, F.col("_offset") + F.col("_rn") - 1)
+        .selectExpr("*", f"_offset + _rn - 1 AS {column}")
         .drop("_bucket", "_rn", "_offset")
     )
 
 
-def seeded_shuffle(df: DataFrame, key: str, salt: str = SPLIT_SALT,
-                   buckets: int = POSITION_BUCKETS, column: str = "position") -> DataFrame:
+def seeded_shuffle(df: DataFrame, key: str, salt: str = SPLIT_SALT, buckets: int = POSITION_BUCKETS,
+                   column: str = "position", method: str = "md5") -> DataFrame:
     """Position of every row in a random order that depends only on key and salt.
 
     Hash buckets are even by construction: 10^11 rows make about 1.5 million per bucket.
     """
-    shuffled = df.withColumn("_u", unit_hash(key, salt))
-    bucket = F.floor(F.col("_u") * buckets).cast("int")
-    return with_position(shuffled, ["_u", key], bucket, column=column).drop("_u")
+    shuffled = df.selectExpr("*", f"{hash_sql(key, quote(salt), method)} AS _u")
+    return with_position(shuffled, f"_u, {key}", f"cast(floor(_u * {buckets}) AS int)", column=column).drop("_u")
 
 
-def row_label(position: Column) -> Column:
+def row_label(position: str) -> Column:
     """Row id text, at least eight digits."""
     # Fixed value: id format.
     return F.format_string("tx_%08d", position)

@@ -3,38 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from duelist.functions.stats import Z_95, two_proportion_z, two_sided_p
-from duelist.operators.decision import CHALLENGER, CHAMPION
 
 
 def accuracy_test(wide: DataFrame, z_limit: float = Z_95) -> DataFrame:
     """Two-proportion z of the accuracies; needs the columns of ``compare_groups``."""
-
-    def hits(g):
-        return F.col(f"{g}_tp") + F.col(f"{g}_tn")
-
-    def size(g):
-        return F.col(f"{g}_positives") + F.col(f"{g}_negatives")
-
-    z = two_proportion_z(hits(CHALLENGER), size(CHALLENGER), hits(CHAMPION), size(CHAMPION))
-    return _verdict(wide.withColumn("accuracy_z", z), "accuracy", z_limit)
+    sides = [
+        (f"{g}_tp + {g}_tn", f"{g}_positives + {g}_negatives") for g in ("challenger", "champion")
+    ]
+    z = two_proportion_z(*sides[0], *sides[1])
+    return _verdict(wide.selectExpr("*", f"{z} AS accuracy_z"), "accuracy", z_limit)
 
 
 def auc_test(wide: DataFrame, z_limit: float = Z_95) -> DataFrame:
     """z of the AUC difference with DeLong standard errors of the two groups."""
-    a, b = F.col(f"{CHALLENGER}_auc_se"), F.col(f"{CHAMPION}_auc_se")
-    se = F.nullif(F.sqrt(a * a + b * b), F.lit(0.0))
-    z = (F.col(f"{CHALLENGER}_auc") - F.col(f"{CHAMPION}_auc")) / se
-    return _verdict(wide.withColumn("auc_z", z), "auc", z_limit)
+    se = "sqrt(challenger_auc_se * challenger_auc_se + champion_auc_se * champion_auc_se)"
+    z = f"try_divide(challenger_auc - champion_auc, {se})"
+    return _verdict(wide.selectExpr("*", f"{z} AS auc_z"), "auc", z_limit)
 
 
 def _verdict(df: DataFrame, name: str, z_limit: float) -> DataFrame:
-    z = F.col(f"{name}_z")
-    return df.withColumns(
-        {
-            f"{name}_p_value": two_sided_p(z),
-            f"{name}_significant": F.coalesce(F.abs(z) > F.lit(z_limit), F.lit(False)),
-        }
+    z = f"{name}_z"
+    return df.selectExpr(
+        "*",
+        f"{two_sided_p(z)} AS {name}_p_value",
+        f"coalesce(abs({z}) > {z_limit!r}D, false) AS {name}_significant",
     )

@@ -18,14 +18,11 @@ def slice_metrics(scored: DataFrame, label: str, segment: str, group: str = "ab_
     The rows are counted once at the finest level; grouping sets expand those cells, not rows.
     """
     cells = score_cells(scored, [group, segment], label, bins=bins)
-    rolled = cells.groupingSets(
-        [[group, segment, "score"], [group, "score"]], group, segment, "score"
-    ).agg(
-        F.when(F.grouping(segment) == 1, F.lit(ALL)).otherwise(F.col(segment).cast("string")).alias("_name"),
-        *[F.sum(c).alias(c) for c in COUNTS],
+    rolled = cells.groupingSets([[group, segment, "score"], [group, "score"]], group, segment, "score").agg(
+        F.expr(f"if(grouping({segment}) = 1, '{ALL}', cast({segment} AS string)) AS _name"),
+        *[F.expr(f"sum({c}) AS {c}") for c in COUNTS],
     )
-    keep = rolled.select(group, F.col("_name").alias("segment"), "score", *COUNTS)
-    return metrics_from_cells(keep, [group, "segment"])
+    return metrics_from_cells(rolled.selectExpr(group, "_name AS segment", "score", *COUNTS), [group, "segment"])
 
 
 def slice_bias(metrics: DataFrame, group: str = "ab_group", z_limit: float = Z_95) -> DataFrame:
@@ -33,17 +30,14 @@ def slice_bias(metrics: DataFrame, group: str = "ab_group", z_limit: float = Z_9
 
     The joined side is one row per group.
     """
-    n, hits = F.col("positives") + F.col("negatives"), F.col("tp") + F.col("tn")
-    totals = metrics.filter(F.col("segment") == ALL).select(
-        group, n.alias("_all_n"), hits.alias("_all_hits"), F.col("accuracy").alias("group_accuracy")
+    totals = metrics.filter(f"segment = '{ALL}'").selectExpr(
+        group, "positives + negatives AS _all_n", "tp + tn AS _all_hits", "accuracy AS group_accuracy"
     )
-    z = two_proportion_z(hits, n, F.col("_all_hits") - hits, F.col("_all_n") - n)
+    z = two_proportion_z("tp + tn", "positives + negatives", "_all_hits - tp - tn", "_all_n - positives - negatives")
     return (
-        metrics.filter(F.col("segment") != ALL)
+        metrics.filter(f"segment <> '{ALL}' OR segment IS NULL")
         .join(totals, group)
-        .withColumns({"accuracy_gap": F.col("accuracy") - F.col("group_accuracy"), "z": z})
-        .withColumns(
-            {"p_value": two_sided_p(F.col("z")), "biased": F.coalesce(F.abs("z") > F.lit(z_limit), F.lit(False))}
-        )
+        .selectExpr("*", "accuracy - group_accuracy AS accuracy_gap", f"{z} AS z")
+        .selectExpr("*", f"{two_sided_p('z')} AS p_value", f"coalesce(abs(z) > {z_limit!r}D, false) AS biased")
         .drop("_all_n", "_all_hits")
     )

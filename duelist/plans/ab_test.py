@@ -36,6 +36,7 @@ def ab_job(
     traffic_split: float = 0.5,
     test_name: str = "ab_test",
     auto_promote: bool = False,
+    hash_method: str = "xxhash64",
     now: dt.datetime | None = None,
 ) -> AbRun:
     """One A/B test of the experiment's champion against its challenger.
@@ -53,8 +54,8 @@ def ab_job(
     champion, challenger = loaded[decision.CHAMPION][0], loaded[decision.CHALLENGER][0]
 
     slim = select_features(rows, label, time, (key, *exclude), keep=(key,))
-    test = ab_holdout(slim, key, weights or AB_HOLDOUT_WEIGHTS)
-    scored = models.score_groups(assign_group(test, key, test_name, traffic_split), champion, challenger)
+    test = ab_holdout(slim, key, weights or AB_HOLDOUT_WEIGHTS, method=hash_method)
+    scored = models.score_groups(assign_group(test, key, test_name, traffic_split, hash_method), champion, challenger)
     report = decision.promotion_gate(
         decision.ab_report(scored, label, test_name=test_name, traffic_split=traffic_split), auto_promote
     ).withColumns({"run_id": F.lit(run_id), "timestamp": F.lit(now), "model": F.lit(name)})

@@ -11,10 +11,10 @@ from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.functions.hashing import unit_hash
+from duelist.functions.hashing import hash_sql, quote, unit_hash
 from duelist.operators.decision import CHALLENGER
 from duelist.operators.models import rule_model, score_groups
-from duelist.operators.sampling import assign_group
+from duelist.operators.sampling import assign_group, assign_group_by
 from duelist.sources.tables import read_parquet
 
 TEST_NAME = "ab_test"
@@ -72,16 +72,9 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hash_sql(key: str, salt: str) -> str:
-    return (
-        f"CAST(conv(substr(md5(concat(CAST({key} AS STRING), ':{salt}')), 1, 8), 16, 10) AS BIGINT)"
-        " / 4294967296.0D"
-    )
-
-
 def rule_score(key: str, label: str, salt: str, pull: float) -> Transformer:
     """Noise plus ``pull`` for positives, scaled to [0, 1), three decimals."""
-    return rule_model(f"round(({hash_sql(key, salt)} + {pull}D * {label}) / {1 + pull}D, 3)")
+    return rule_model(f"round(({hash_sql(key, quote(salt))} + {pull}D * {label}) / {1 + pull}D, 3)")
 
 
 def rule_models(key: str = "tx_id", label: str = "tx_fraud", champion_pull: float = CHAMPION_PULL,
@@ -117,19 +110,15 @@ MANY_TESTS = [
 
 def scored_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of all tests at once; the test's name is the salt of its traffic."""
-    tests = F.array(*[
-        F.struct(F.lit(n).alias("test"), F.lit(a).alias("champion_pull"), F.lit(b).alias("challenger_pull"),
-                 F.lit(t).alias("traffic"))
-        for n, a, b, t in MANY_TESTS
-    ])
-    rows = transactions(spark, sf_dir).select("tx_id", "tx_fraud", F.inline(tests))
-    assigned = assign_group(rows, "tx_id", F.col("test"), F.col("traffic"))
-    mine = F.col("ab_group") == CHALLENGER
-    pull = F.when(mine, F.col("challenger_pull")).otherwise(F.col("champion_pull"))
-    noise = unit_hash("tx_id", F.when(mine, F.lit("chal")).otherwise(F.lit("champ")))
-    score = F.floor((noise + pull * F.col("tx_fraud")) / (1 + pull) * 1000) / F.lit(1000.0)
-    return assigned.select("test", "tx_fraud", "ab_group", score.alias("score")).withColumn(
-        "prediction", (F.col("score") > 0.5).cast("double")
+    tests = ", ".join(f"'{n}', {a}D, {b}D, {t}D" for n, a, b, t in MANY_TESTS)
+    stack = f"stack({len(MANY_TESTS)}, {tests}) AS (test, champion_pull, challenger_pull, traffic)"
+    rows = transactions(spark, sf_dir).selectExpr("tx_id", "tx_fraud", stack)
+    noise = hash_sql("tx_id", f"if(ab_group = '{CHALLENGER}', 'chal', 'champ')")
+    return (
+        assign_group_by(rows, "tx_id", "test", "traffic")
+        .selectExpr("*", f"if(ab_group = '{CHALLENGER}', challenger_pull, champion_pull) AS pull")
+        .selectExpr("test", "tx_fraud", "ab_group", f"floor(({noise} + pull * tx_fraud) / (1 + pull) * 1000) / 1000D AS score")
+        .selectExpr("*", "if(score > 0.5D, 1D, 0D) AS prediction")
     )
 
 

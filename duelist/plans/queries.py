@@ -32,7 +32,9 @@ def query(f: Query) -> Query:
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     """Rounds doubles for comparison with another engine; -0.0 becomes 0.0."""
-    return df.withColumns({c: F.round(c, places) + F.lit(0.0) for c in columns})
+    return df.selectExpr(*[
+        f"round(`{c}`, {places}) + 0D AS `{c}`" if c in columns else f"`{c}`" for c in df.columns
+    ])
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -71,7 +73,7 @@ def params_long(spark, sf_dir):
     tables = RunTables(spark, work_dir(spark, "runs"))
     report = decision.ab_report(fx.scored_many(spark, sf_dir), LABEL, ["test"])
     stamped = report.withColumn("timestamp", F.lit("2001-08-01 00:00:00"))
-    tables.append("params", decision.params_long(stamped, [F.col("test").alias("run_id")]))
+    tables.append("params", decision.params_long(stamped, ["test AS run_id"]))
     return tables.read("params")
 
 
@@ -165,7 +167,7 @@ def reorder_columns(spark, sf_dir):
 def format_tx_id(spark, sf_dir):
     """Row ids by position in the seeded order."""
     shuffled = sampling.seeded_shuffle(fx.transactions(spark, sf_dir).select("tx_id"), "tx_id")
-    return shuffled.select("tx_id", sampling.row_label(F.col("position")).alias("transaction_id"))
+    return shuffled.select("tx_id", sampling.row_label("position").alias("transaction_id"))
 
 
 @query
@@ -371,8 +373,7 @@ def promote(spark, sf_dir):
 @query
 def ztest_accuracy(spark, sf_dir):
     m = metrics.with_rates(metrics.confusion(fx.scored_many(spark, sf_dir), ["test", "ab_group"], LABEL))
-    wide = decision.compare_groups(m.withColumns({"auc": F.lit(None).cast("double"), "auc_se": F.lit(None).cast("double")}), ["test"])
-    out = significance.accuracy_test(wide)
+    out = significance.accuracy_test(decision.compare_groups(m, ["test"]))
     return rounded(out.select("test", "accuracy_z", "accuracy_p_value", "accuracy_significant"), "accuracy_z", "accuracy_p_value")
 
 

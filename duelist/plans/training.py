@@ -47,11 +47,13 @@ def train_job(
     input_path: str = "table",
     output_path: str | None = None,
     auto_register: bool = False,
+    hash_method: str = "xxhash64",
     now: dt.datetime | None = None,
     **params,
 ) -> TrainingRun:
     """One training run. ``rows`` is any table, e.g. ``read_parquet(spark, input_path)``.
 
+    ``hash_method`` must be the same here and in the A/B job: it decides which rows are held out.
     Any failure is raised. Metrics and parameters go to the run tables under ``root``.
     """
     tables = RunTables(spark, root)
@@ -62,7 +64,7 @@ def train_job(
     excluded = (key, *exclude)
     features = feature_columns(rows, label, time, excluded)
     slim = select_features(rows, label, time, excluded, keep=(key,))
-    train, test = train_test(slim, key, weights or TRAIN_TEST_WEIGHTS)
+    train, test = train_test(slim, key, weights or TRAIN_TEST_WEIGHTS, method=hash_method)
 
     model = models.fit(train, features, label, model_type, on_null=on_null, **params)
     row = models.holdout_metrics(model, test, label).first()
