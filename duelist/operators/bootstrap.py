@@ -10,7 +10,7 @@ Weights come from a hash of (group, unit, replicate): runs repeat exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelist.functions.hashing import hash_sql, poisson_sql, quote
@@ -25,16 +25,24 @@ def _unit(key: str, units: int | None) -> str:
     return key if units is None else f"cast(floor({hash_sql(key, quote(UNIT_SALT))} * {units}) AS bigint)"
 
 
-def _replicated(counts: DataFrame, group: str, replicates: int) -> DataFrame:
-    """Counts times replicates with a Poisson(1) weight. Rows of weight 0 stay: a filter on the
+def _replicated(units: DataFrame, group: str, replicates: int) -> DataFrame:
+    """Units times replicates with a Poisson(1) weight. Rows of weight 0 stay: a filter on the
     weight would compute the hash twice, and the next partial aggregation absorbs them."""
     return (
-        counts.selectExpr("*", f"explode(sequence(1, {replicates})) AS replicate")
+        units.selectExpr("*", f"explode(sequence(1, {replicates})) AS replicate")
         .selectExpr("*", f"{hash_sql([group, 'unit', 'replicate'], quote(WEIGHT_SALT))} AS _u")
         .selectExpr("*", f"{poisson_sql('_u')} AS weight")
+        .drop("_u")
     )
 
 
+def _weights(spark: SparkSession, group: str, units: int, replicates: int) -> DataFrame:
+    """Weights of all hash units: two groups times ``units`` times ``replicates`` rows,
+    whatever the size of the data."""
+    both = f"explode(array('{CHAMPION}', '{CHALLENGER}')) AS {group}"
+    return _replicated(spark.range(units).selectExpr("id AS unit", both), group, replicates)
+
+
 def bootstrap_accuracy(
     scored: DataFrame, key: str, label: str, replicates: int = 100, units: int | None = 1000,
     group: str = "ab_group", prediction: str = "prediction",
@@ -55,11 +63,11 @@ def bootstrap_auc(
     the number of cells stays bounded."""
     with_unit = scored.selectExpr("*", f"{_unit(key, units)} AS unit")
     counts = score_cells(with_unit, [group, "unit"], label, bins=bins)
-    cells = (
-        _replicated(counts, group, replicates)
-        .groupBy("replicate", group, "score")
-        .agg(*[F.expr(f"sum({c} * weight) AS {c}") for c in COUNTS])
-    )
+    if units is None:
+        weighted = _replicated(counts, group, replicates)
+    else:  # one hash per unit and replicate instead of one per cell and replicate
+        weighted = counts.join(_weights(counts.sparkSession, group, units, replicates), [group, "unit"])
+    cells = weighted.groupBy("replicate", group, "score").agg(*[F.expr(f"sum({c} * weight) AS {c}") for c in COUNTS])
     return metrics_from_cells(cells, ["replicate", group]).selectExpr("replicate", group, "auc AS value")
 
 

@@ -6,7 +6,7 @@ the events of a model. Every operator works on all models at once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duelist.operators.decision import CHALLENGER, CHAMPION
@@ -27,26 +27,21 @@ def resolve(events: DataFrame) -> DataFrame:
     where no alias event was ever written.
 
     An aggregate rather than a ranking window: a model with most of all events is
-    reduced before the shuffle.
+    reduced before the shuffle. The aggregates hold plain numbers, so it stays a hash
+    aggregate. A last event that deletes leaves a NULL version.
     """
-
-    def last(source: str) -> Column:
-        mine = F.col("source") == source
-        return F.max_by(
-            F.struct("version", "op"), F.when(mine, F.col("event_seq"))
-        ).alias(f"_{source}")
-
-    picked = events.groupBy("model", "alias").agg(
-        F.count_if(F.col("source") == "alias").alias("_aliases"), last("alias"), last("tag")
-    )
-    by_alias = F.col("_aliases") > 0
-    state = picked.select(
-        "model", "alias",
-        F.when(by_alias, F.col("_alias")).otherwise(F.col("_tag")).alias("_last"),
-        F.when(by_alias, "alias").otherwise("tag").alias("source"),
-    )
-    return state.filter(F.col("_last.op") == "set").select(
-        "model", "alias", F.col("_last.version").alias("version"), "source"
+    last = "max_by(if(op = 'set', version, NULL), event_seq) FILTER (WHERE source = '{0}') AS _{0}"
+    return (
+        events.groupBy("model", "alias")
+        .agg(
+            F.expr("count_if(source = 'alias') > 0 AS _by_alias"),
+            F.expr(last.format("alias")),
+            F.expr(last.format("tag")),
+        )
+        .selectExpr(
+            "model", "alias", "if(_by_alias, _alias, _tag) AS version", "if(_by_alias, 'alias', 'tag') AS source"
+        )
+        .filter("version IS NOT NULL")
     )
 
 
@@ -82,24 +77,25 @@ def register(
         .join(last_version, "model", "full")
         .join(champions, "model", "left")
     )
-    version = F.coalesce("_last_version", F.lit(0)) + F.col("_n") + 1
-    # Two numbers per version: challenger first, then champion.
-    seq = F.coalesce("_last_seq", F.lit(0)) + 2 * F.col("_n") + 1
-
-    def event(step: int, alias: str) -> Column:
-        return F.struct(
-            (F.col("_seq") + step).alias("event_seq"), F.col("model"), F.lit(alias).alias("alias"),
-            F.col("version"), F.lit("set").alias("op"), F.lit("alias").alias("source"),
+    def event(step: int, alias: str) -> str:
+        return (
+            f"struct(_seq + {step} AS event_seq, model, '{alias}' AS alias, version, "
+            "'set' AS op, 'alias' AS source)"
         )
 
-    first_champion = (F.col("_n") == 0) & F.col("_has_champion").isNull()
+    # Two event numbers per version: challenger first, then champion.
     return (
         ordered.join(state, "model", "left")
-        .withColumns({"version": version, "_seq": seq})
-        .select(
-            "model", "version", "run_id", "path", F.col("run_seq").alias("created_seq"),
-            F.when(first_champion, F.array(event(0, CHALLENGER), event(1, CHAMPION)))
-            .otherwise(F.array(event(0, CHALLENGER))).alias("events"),
+        .selectExpr(
+            "*",
+            "coalesce(_last_version, 0) + _n + 1 AS version",
+            "coalesce(_last_seq, 0) + 2 * _n + 1 AS _seq",
+            "_n = 0 AND _has_champion IS NULL AS _first_champion",
+        )
+        .selectExpr(
+            "model", "version", "run_id", "path", "run_seq AS created_seq",
+            f"if(_first_champion, array({event(0, CHALLENGER)}, {event(1, CHAMPION)}), "
+            f"array({event(0, CHALLENGER)})) AS events",
         )
     )
 
@@ -119,25 +115,23 @@ def promote(decisions: DataFrame, events: DataFrame) -> DataFrame:
     A model without a challenger gives nothing, so promoting twice changes nothing.
     """
     current = resolve(events).groupBy("model").agg(
-        F.max(F.when(F.col("alias") == CHAMPION, F.col("version"))).alias("_champion"),
-        F.max(F.when(F.col("alias") == CHALLENGER, F.col("version"))).alias("_challenger"),
+        F.expr(f"max(version) FILTER (WHERE alias = '{CHAMPION}') AS _champion"),
+        F.expr(f"max(version) FILTER (WHERE alias = '{CHALLENGER}') AS _challenger"),
     )
     winners = decisions.filter("promote").select("model").distinct()
 
-    def event(step: int, alias: str, version: str, op: str) -> Column:
-        return F.struct(
-            (F.col("_last_seq") + step).alias("event_seq"), F.col("model"), F.lit(alias).alias("alias"),
-            F.col(version).alias("version"), F.lit(op).alias("op"), F.lit("alias").alias("source"),
-        )
+    def event(step: int, alias: str, version: str, op: str) -> str:
+        return f"_last_seq + {step}, '{alias}', {version}, '{op}'"
 
-    steps = F.array(
+    steps = [
         event(1, CHAMPION, "_champion", "delete"),
         event(2, CHAMPION, "_challenger", "set"),
         event(3, CHALLENGER, "_challenger", "delete"),
-    )
+    ]
     return (
-        winners.join(current.filter(F.col("_challenger").isNotNull()), "model")
+        winners.join(current.filter("_challenger IS NOT NULL"), "model")
         .join(_sequence_base(events), "model")
-        .select(F.inline(F.filter(steps, lambda e: e["version"].isNotNull())))
-        .select(*EVENT_COLUMNS)
+        .selectExpr("model", f"stack(3, {', '.join(steps)}) AS (event_seq, alias, version, op)")
+        .filter("version IS NOT NULL")
+        .selectExpr(*EVENT_COLUMNS[:-1], "'alias' AS source")
     )

@@ -47,12 +47,16 @@ def train_job(
     input_path: str = "table",
     output_path: str | None = None,
     auto_register: bool = False,
+    stage: bool = False,
     hash_method: str = "xxhash64",
     now: dt.datetime | None = None,
     **params,
 ) -> TrainingRun:
     """One training run. ``rows`` is any table, e.g. ``read_parquet(spark, input_path)``.
 
+    A fit reads its rows about five times. ``stage`` writes key, features and label once to
+    shared storage and reads them from there: set it when ``rows`` is dear to compute (a
+    join, CSV), not for a plain parquet scan, where column pruning does as well.
     ``hash_method`` must be the same here and in the A/B job: it decides which rows are held out.
     Any failure is raised. Metrics and parameters go to the run tables under ``root``.
     """
@@ -64,6 +68,10 @@ def train_job(
     excluded = (key, *exclude)
     features = feature_columns(rows, label, time, excluded)
     slim = select_features(rows, label, time, excluded, keep=(key,))
+    if stage:
+        staged = f"{tables.root}/staging/{run_id}"
+        slim.write.parquet(staged)
+        slim = spark.read.parquet(staged)
     train, test = train_test(slim, key, weights or TRAIN_TEST_WEIGHTS, method=hash_method)
 
     model = models.fit(train, features, label, model_type, on_null=on_null, **params)
