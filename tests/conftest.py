@@ -1,0 +1,48 @@
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark():
+    shared = tempfile.mkdtemp(prefix="duelist-tests-")
+    session = (
+        SparkSession.builder.master("local[8]").appName("tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared)
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def tx(spark, sf_dir):
+    from duelist.plans import fixtures
+
+    return fixtures.transactions(spark, sf_dir)
+
+
+@pytest.fixture()
+def folder(tmp_path):
+    return str(tmp_path)
