@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Buckets per unit of log-odds. Doubles between 1e-16 and 1 - 1e-16 give about 4,700 buckets.
-BUCKETS_PER_LOGIT = 64
-_EDGE = 1e-16
+# Buckets per unit of log-odds: scores between 1e-6 and 1 - 1e-6 use 28,000 buckets, all
+# doubles in (0, 1) at most 750,000. So 10^11 distinct scores make some millions per bucket,
+# while the bucket totals of a group stay a small sort.
+BUCKETS_PER_LOGIT = 1024
+_LOW, _HIGH = 1e-300, 1.0 - 1e-16
 
 
 def logit_bucket(score: str) -> str:
@@ -16,7 +18,7 @@ def logit_bucket(score: str) -> str:
     outside (0, 1) fall in the end buckets: the result stays right, it is only
     less evenly spread; use ``split_bucket`` for such scores.
     """
-    inside = f"least(greatest({score}, {_EDGE!r}D), {1.0 - _EDGE!r}D)"
+    inside = f"least(greatest({score}, {_LOW!r}D), {_HIGH!r}D)"
     return f"cast(floor({BUCKETS_PER_LOGIT}D * ln({inside} / (1D - {inside}))) AS int)"
 
 

@@ -6,7 +6,7 @@ else is computed from cells, so rows are shuffled only after map-side counting.
 AUC needs, for each score, the number of negatives below it. A window over a
 whole group would put that group in one task, so the running sum has two levels:
 inside a score bucket first, giving a few moments per bucket, then over the
-buckets of a group (a few thousand rows at most). The bucket totals come from the
+buckets of a group (some ten thousand rows). The bucket totals come from the
 same rows as the inner sums, so the plan is one chain without a self-join.
 """
 
@@ -103,7 +103,7 @@ def metrics_from_cells(cells: DataFrame, keys: list[str], bucket: str | None = N
     decides how the work is spread, not the result. Default: ``logit_bucket``.
     """
     part = ", ".join(keys)
-    inner = f"OVER (PARTITION BY {', '.join([*keys, '_bucket'])} ORDER BY score ROWS UNBOUNDED PRECEDING)"
+    inner = f"OVER (PARTITION BY {', '.join(['_bucket', *keys])} ORDER BY score ROWS UNBOUNDED PRECEDING)"
     outer = (
         f"OVER ({f'PARTITION BY {part} ' if keys else ''}ORDER BY _bucket "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duelist.functions.hashing import quote
 from duelist.operators.decision import CHALLENGER, CHAMPION
 from duelist.operators.sampling import with_position
 
@@ -22,38 +23,50 @@ def model_name(experiment: str) -> str:
     return f"{experiment}_model"
 
 
+def _in_force(condition: str = "true") -> str:
+    """Aggregate (SQL text): version of the last event, NULL if that one deletes. Version tags
+    count only where no alias event was ever written.
+
+    The aggregates hold plain numbers, so Spark keeps to hash aggregation.
+    """
+    last = "max_by(if(op = 'set', version, NULL), event_seq) FILTER (WHERE {0} AND source = '{1}')"
+    any_alias = f"count_if({condition} AND source = 'alias') > 0"
+    return f"if({any_alias}, {last.format(condition, 'alias')}, {last.format(condition, 'tag')})"
+
+
 def resolve(events: DataFrame) -> DataFrame:
-    """(model, alias, version, source) in force: last write wins; version tags count only
-    where no alias event was ever written.
+    """(model, alias, version, source) in force: last write wins.
 
     An aggregate rather than a ranking window: a model with most of all events is
-    reduced before the shuffle. The aggregates hold plain numbers, so it stays a hash
-    aggregate. A last event that deletes leaves a NULL version.
+    reduced before the shuffle.
     """
-    last = "max_by(if(op = 'set', version, NULL), event_seq) FILTER (WHERE source = '{0}') AS _{0}"
     return (
         events.groupBy("model", "alias")
         .agg(
-            F.expr("count_if(source = 'alias') > 0 AS _by_alias"),
-            F.expr(last.format("alias")),
-            F.expr(last.format("tag")),
-        )
-        .selectExpr(
-            "model", "alias", "if(_by_alias, _alias, _tag) AS version", "if(_by_alias, 'alias', 'tag') AS source"
+            F.expr(f"{_in_force()} AS version"),
+            F.expr("if(count_if(source = 'alias') > 0, 'alias', 'tag') AS source"),
         )
         .filter("version IS NOT NULL")
     )
 
 
-def has_alias(models: DataFrame, aliases: DataFrame, *names: str) -> DataFrame:
-    """Models for which every one of the given aliases is in force."""
-    for name in names:
-        models = models.join(aliases.filter(F.col("alias") == name), "model", "left_semi")
-    return models
+def model_state(events: DataFrame, versions: DataFrame | None = None) -> DataFrame:
+    """Per model: last event, last version and the versions of both aliases, in one aggregation."""
+    rows = events.selectExpr(*EVENT_COLUMNS, "cast(NULL AS bigint) AS _version")
+    if versions is not None:
+        empty = [f"cast(NULL AS {'bigint' if c in ('event_seq', 'version') else 'string'}) AS {c}"
+                 for c in EVENT_COLUMNS if c != "model"]
+        rows = rows.unionByName(versions.selectExpr("model", *empty, "version AS _version"))
+    aliases = [f"{_in_force(f'alias = {quote(a)}')} AS _{a}" for a in (CHAMPION, CHALLENGER)]
+    return rows.groupBy("model").agg(
+        F.expr("max(event_seq) AS _last_seq"), F.expr("max(_version) AS _last_version"), *map(F.expr, aliases)
+    )
 
 
-def _sequence_base(events: DataFrame) -> DataFrame:
-    return events.groupBy("model").agg(F.max("event_seq").alias("_last_seq"))
+def has_alias(models: DataFrame, aliases: DataFrame, *names: str) -> DataFrame:
+    """Models for which every one of the given aliases is in force."""
+    wanted = aliases.filter(F.col("alias").isin(*names)).groupBy("model").agg(F.expr("count(*) AS _n"))
+    return models.join(wanted.filter(f"_n = {len(set(names))}"), "model", "left_semi")
 
 
 def register(
@@ -70,13 +83,6 @@ def register(
     """
     fresh = runs.join(versions.select("run_id"), "run_id", "left_anti")
     ordered = with_position(fresh, "run_seq", f"floor(run_seq / {run_order_width})", ("model",), "_n")
-    last_version = versions.groupBy("model").agg(F.max("version").alias("_last_version"))
-    champions = resolve(events).filter(F.col("alias") == CHAMPION).select("model", F.lit(True).alias("_has_champion"))
-    state = (
-        _sequence_base(events)
-        .join(last_version, "model", "full")
-        .join(champions, "model", "left")
-    )
     def event(step: int, alias: str) -> str:
         return (
             f"struct(_seq + {step} AS event_seq, model, '{alias}' AS alias, version, "
@@ -85,12 +91,12 @@ def register(
 
     # Two event numbers per version: challenger first, then champion.
     return (
-        ordered.join(state, "model", "left")
+        ordered.join(model_state(events, versions), "model", "left")
         .selectExpr(
             "*",
             "coalesce(_last_version, 0) + _n + 1 AS version",
             "coalesce(_last_seq, 0) + 2 * _n + 1 AS _seq",
-            "_n = 0 AND _has_champion IS NULL AS _first_champion",
+            f"_n = 0 AND _{CHAMPION} IS NULL AS _first_champion",
         )
         .selectExpr(
             "model", "version", "run_id", "path", "run_seq AS created_seq",
@@ -114,10 +120,6 @@ def promote(decisions: DataFrame, events: DataFrame) -> DataFrame:
 
     A model without a challenger gives nothing, so promoting twice changes nothing.
     """
-    current = resolve(events).groupBy("model").agg(
-        F.expr(f"max(version) FILTER (WHERE alias = '{CHAMPION}') AS _champion"),
-        F.expr(f"max(version) FILTER (WHERE alias = '{CHALLENGER}') AS _challenger"),
-    )
     winners = decisions.filter("promote").select("model").distinct()
 
     def event(step: int, alias: str, version: str, op: str) -> str:
@@ -129,8 +131,7 @@ def promote(decisions: DataFrame, events: DataFrame) -> DataFrame:
         event(3, CHALLENGER, "_challenger", "delete"),
     ]
     return (
-        winners.join(current.filter("_challenger IS NOT NULL"), "model")
-        .join(_sequence_base(events), "model")
+        winners.join(model_state(events).filter("_challenger IS NOT NULL"), "model")
         .selectExpr("model", f"stack(3, {', '.join(steps)}) AS (event_seq, alias, version, op)")
         .filter("version IS NOT NULL")
         .selectExpr(*EVENT_COLUMNS[:-1], "'alias' AS source")

@@ -68,20 +68,28 @@ def _inside(u: str, low: float, high: float) -> str:
     return " AND ".join(parts) or "true"
 
 
-def train_test(df: DataFrame, key: str | list[str],
-               weights: list[float] | None = None, salt: str = SPLIT_SALT,
-               method: str = "md5") -> tuple[DataFrame, DataFrame]:
-    """Train and test parts in the ratio of two weights."""
-    train, test = fractions(weights or TRAIN_TEST_WEIGHTS)
+def train_test(df: DataFrame, key: str | list[str], weights: list[float] | None = None, salt: str = SPLIT_SALT,
+               method: str = "md5", normalise: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Train and test parts in the ratio of two weights.
+
+    ``normalise=False`` takes the weights as fractions of the whole table, the rest is unused.
+    """
+    weights = weights or TRAIN_TEST_WEIGHTS
+    train, test = fractions(weights) if normalise else weights
     parts = split_parts(df, key, {"train": train, "test": test}, salt, method)
     return parts["train"], parts["test"]
 
 
-def ab_holdout(df: DataFrame, key: str | list[str],
-               weights: list[float] | None = None, salt: str = SPLIT_SALT, method: str = "md5") -> DataFrame:
-    """Top band of the training split's own hash, so no training row can be in it
-    as long as the training share is not larger than the first weight's."""
-    low, _ = fractions(weights or AB_HOLDOUT_WEIGHTS)
+def ab_holdout(df: DataFrame, key: str | list[str], weights: list[float] | None = None, salt: str = SPLIT_SALT,
+               method: str = "md5", normalise: bool = True) -> DataFrame:
+    """Top band of the training split's own hash, as wide as the second weight's share.
+
+    No training row can be in it as long as the training share and it fit into 1.
+    """
+    weights = weights or AB_HOLDOUT_WEIGHTS
+    if not normalise and sum(weights) > 1 + 1e-9:
+        raise ValueError("fractions must sum to at most 1")
+    low = fractions(weights)[0] if normalise else 1.0 - weights[1]
     return df.filter(_inside(hash_sql(key, quote(salt), method), low, 1.0))
 
 
@@ -93,9 +101,12 @@ def sample(df: DataFrame, key: str | list[str], fraction: float,
 
 
 def complement(df: DataFrame, part: DataFrame, key: str | list[str]) -> DataFrame:
-    """Rows whose key is not in ``part``, for parts that did not come from a hash."""
+    """Rows whose key is not in ``part``, for parts that did not come from a hash.
+
+    Keys are made distinct first, so a key with very many rows in ``part`` is one row of the join.
+    """
     keys = [key] if isinstance(key, str) else key
-    return df.join(part.select(*keys), keys, "left_anti")
+    return df.join(part.select(*keys).distinct(), keys, "left_anti")
 
 
 def assign_group(df: DataFrame, key: str | list[str], test_name: str = "ab_test",

@@ -36,13 +36,16 @@ def ab_job(
     traffic_split: float = 0.5,
     test_name: str = "ab_test",
     auto_promote: bool = False,
+    normalise: bool = True,
+    bins: int | None = None,
     hash_method: str = "xxhash64",
     now: dt.datetime | None = None,
 ) -> AbRun:
     """One A/B test of the experiment's champion against its challenger.
 
     Missing models and undefined metrics end in a typed status; other errors are raised.
-    Everything is decided before anything is written, and written once.
+    Everything is decided before anything is written, and written once. ``bins`` trades the
+    exact AUC for one on that many score steps, without the sort of all distinct scores.
     """
     tables, run_id = RunTables(spark, root), uuid.uuid4().hex
     name, now = registry.model_name(experiment), now or dt.datetime.now()
@@ -54,10 +57,10 @@ def ab_job(
     champion, challenger = loaded[decision.CHAMPION][0], loaded[decision.CHALLENGER][0]
 
     slim = select_features(rows, label, time, (key, *exclude), keep=(key,))
-    test = ab_holdout(slim, key, weights or AB_HOLDOUT_WEIGHTS, method=hash_method)
+    test = ab_holdout(slim, key, weights or AB_HOLDOUT_WEIGHTS, method=hash_method, normalise=normalise)
     scored = models.score_groups(assign_group(test, key, test_name, traffic_split, hash_method), champion, challenger)
     report = decision.promotion_gate(
-        decision.ab_report(scored, label, test_name=test_name, traffic_split=traffic_split), auto_promote
+        decision.ab_report(scored, label, test_name=test_name, traffic_split=traffic_split, bins=bins), auto_promote
     ).withColumns({"run_id": F.lit(run_id), "timestamp": F.lit(now), "model": F.lit(name)})
     row = report.first()  # one row per test; the scored rows are not read again
     done = spark.createDataFrame([row], report.schema)

@@ -48,6 +48,8 @@ def train_job(
     output_path: str | None = None,
     auto_register: bool = False,
     stage: bool = False,
+    normalise: bool = True,
+    bins: int | None = None,
     hash_method: str = "xxhash64",
     now: dt.datetime | None = None,
     **params,
@@ -72,10 +74,10 @@ def train_job(
         staged = f"{tables.root}/staging/{run_id}"
         slim.write.parquet(staged)
         slim = spark.read.parquet(staged)
-    train, test = train_test(slim, key, weights or TRAIN_TEST_WEIGHTS, method=hash_method)
+    train, test = train_test(slim, key, weights or TRAIN_TEST_WEIGHTS, method=hash_method, normalise=normalise)
 
     model = models.fit(train, features, label, model_type, on_null=on_null, **params)
-    row = models.holdout_metrics(model, test, label).first()
+    row = models.holdout_metrics(model, test, label, bins).first()
     metrics = {n: row[c] if row else None for n, c in TRAINING_METRICS.items()}
 
     settings = {**({"numTrees": models.NUM_TREES, "maxDepth": models.MAX_DEPTH} if model_type == "rf" else {}), **params}

@@ -167,3 +167,19 @@ def test_register_runs_in_bulk(spark, folder):
     assert register_runs(tables, batch).count() == 0
     assert tables.read("versions").count() == 50
     assert registry.resolve(tables.read("alias_events")).count() == 6
+
+
+def test_command_line(spark, rows, folder):
+    from duelist.__main__ import main
+
+    slim = rows.drop("parts", "day")
+    slim.write.parquet(f"{folder}/in/day.parquet")
+    slim.drop("flag").write.option("header", True).csv(f"{folder}/in/day.csv")
+    common = ["--root", f"{folder}/runs", "--key", "tx_id", "--weights", "0.6", "0.4"]
+    first = main(["train", "--input", f"{folder}/in/day.csv", "--auto-register", *common])
+    assert (first["version"], first["run_name"]) == (1, "fraud_detection_rf_day.csv")
+    assert main(["ab", "--input", f"{folder}/in/day.parquet", *common])["status"] == "ok"
+    second = main(["train", "--input", f"{folder}/in/day.parquet", "--model-type", "lr", "--output", f"{folder}/lr", "--auto-register", *common])
+    assert second["version"] == 2
+    test = main(["ab", "--input", f"{folder}/in/day.parquet", "--auto-promote", "--test-name", "t2", *common])
+    assert test["status"] == "ok" and test["promotion_status"] in ("success", "not_promoted")

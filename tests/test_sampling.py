@@ -98,3 +98,14 @@ def test_row_label(spark):
 def test_composite_key(tx):
     assigned = sampling.assign_group(tx, ["customer_id", "tx_id"], "t")
     assert {r[0] for r in assigned.select("ab_group").distinct().collect()} == {"champion", "challenger"}
+
+
+def test_fractions_of_the_whole(tx):
+    train, test = sampling.train_test(tx, "tx_id", [0.5, 0.1], normalise=False)
+    holdout = sampling.ab_holdout(tx, "tx_id", [0.5, 0.2], normalise=False)
+    n = tx.count()
+    for part, share in ((train, 0.5), (test, 0.1), (holdout, 0.2)):
+        assert abs(part.count() / n - share) < 0.05
+    assert not keys(holdout) & keys(train)
+    with pytest.raises(ValueError):
+        sampling.ab_holdout(tx, "tx_id", [0.9, 0.2], normalise=False)

@@ -86,3 +86,13 @@ def test_log_takes_every_row_once(spark, sf_dir, folder):
     columns = ["period_start", "champion_auc", "challenger_auc", "status", "winner"]
     incremental = decision.ab_report(rows, "is_error", ["period_start"])
     assert sorted(map(str, incremental.select(*columns).collect())) == sorted(map(str, whole.select(*columns).collect()))
+
+
+def test_rows_without_time_have_a_report_of_their_own(spark):
+    rows = [("2024-01-01 10:20:00", "champion", 1, 0.9), ("2024-01-01 10:40:00", "champion", 0, 0.1), (None, "champion", 1, 0.5)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame(rows, "t string, ab_group string, y int, score double").selectExpr(
+            f"cast(t AS {kind}) AS t", "ab_group", "y", "score", "1D AS prediction"
+        )
+        sizes = {str(r["period_start"]): r["champion_sample_size"] for r in report_by_period(df, "t", "y").collect()}
+        assert sizes == {"2024-01-01 10:00:00": 2, "None": 1}
