@@ -118,20 +118,24 @@ def promote(decisions: DataFrame, events: DataFrame) -> DataFrame:
     """Alias events for every model whose decision says ``promote``: the champion alias is
     dropped and set to the challenger's version, and the challenger alias is dropped.
 
-    A model without a challenger gives nothing, so promoting twice changes nothing.
+    A decision may name the ``challenger_version`` that was tested; a challenger registered
+    since then keeps its alias and is not promoted. Promoting twice changes nothing.
     """
-    winners = decisions.filter("promote").select("model").distinct()
+    tested = "challenger_version" if "challenger_version" in decisions.columns else "cast(NULL AS bigint)"
+    winners = decisions.filter("promote").groupBy("model").agg(F.expr(f"max({tested}) AS _tested"))
 
     def event(step: int, alias: str, version: str, op: str) -> str:
         return f"_last_seq + {step}, '{alias}', {version}, '{op}'"
 
     steps = [
         event(1, CHAMPION, "_champion", "delete"),
-        event(2, CHAMPION, "_challenger", "set"),
-        event(3, CHALLENGER, "_challenger", "delete"),
+        event(2, CHAMPION, "_winner", "set"),
+        event(3, CHALLENGER, "if(_challenger = _winner, _challenger, NULL)", "delete"),
     ]
     return (
-        winners.join(model_state(events).filter("_challenger IS NOT NULL"), "model")
+        winners.join(model_state(events), "model")
+        .selectExpr("*", "coalesce(_tested, _challenger) AS _winner")
+        .filter("_winner IS NOT NULL AND (_champion IS NULL OR _champion <> _winner OR _champion = _challenger)")
         .selectExpr("model", f"stack(3, {', '.join(steps)}) AS (event_seq, alias, version, op)")
         .filter("version IS NOT NULL")
         .selectExpr(*EVENT_COLUMNS[:-1], "'alias' AS source")

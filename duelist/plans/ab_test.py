@@ -55,13 +55,15 @@ def ab_job(
         if loaded[alias] is None:
             return AbRun(run_id, "skipped", f"no {alias} model")
     champion, challenger = loaded[decision.CHAMPION][0], loaded[decision.CHALLENGER][0]
+    tested = loaded[decision.CHALLENGER][1]
 
     slim = select_features(rows, label, time, (key, *exclude), keep=(key,))
     test = ab_holdout(slim, key, weights or AB_HOLDOUT_WEIGHTS, method=hash_method, normalise=normalise)
     scored = models.score_groups(assign_group(test, key, test_name, traffic_split, hash_method), champion, challenger)
     report = decision.promotion_gate(
         decision.ab_report(scored, label, test_name=test_name, traffic_split=traffic_split, bins=bins), auto_promote
-    ).withColumns({"run_id": F.lit(run_id), "timestamp": F.lit(now), "model": F.lit(name)})
+    ).withColumns({"run_id": F.lit(run_id), "timestamp": F.lit(now), "model": F.lit(name),
+                    "challenger_version": F.lit(tested)})
     row = report.first()  # one row per test; the scored rows are not read again
     done = spark.createDataFrame([row], report.schema)
 

@@ -48,6 +48,7 @@ def train_job(
     output_path: str | None = None,
     auto_register: bool = False,
     stage: bool = False,
+    partitions: int | None = None,
     normalise: bool = True,
     bins: int | None = None,
     hash_method: str = "xxhash64",
@@ -59,6 +60,7 @@ def train_job(
     A fit reads its rows about five times. ``stage`` writes key, features and label once to
     shared storage and reads them from there: set it when ``rows`` is dear to compute (a
     join, CSV), not for a plain parquet scan, where column pruning does as well.
+    ``partitions`` fixes placement and order of the training rows, for a forest that repeats.
     ``hash_method`` must be the same here and in the A/B job: it decides which rows are held out.
     Any failure is raised. Metrics and parameters go to the run tables under ``root``.
     """
@@ -75,6 +77,8 @@ def train_job(
         slim.write.parquet(staged)
         slim = spark.read.parquet(staged)
     train, test = train_test(slim, key, weights or TRAIN_TEST_WEIGHTS, method=hash_method, normalise=normalise)
+    if partitions:
+        train = models.repeatable_rows(train, key, partitions)
 
     model = models.fit(train, features, label, model_type, on_null=on_null, **params)
     row = models.holdout_metrics(model, test, label, bins).first()

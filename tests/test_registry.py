@@ -94,6 +94,24 @@ def test_promote(spark):
     assert registry.promote(decisions, after).count() == 0
 
 
+def test_only_the_tested_version_is_promoted(spark):
+    """A challenger registered while the test ran keeps its alias."""
+    events = log(spark, [(1, "m", "champion", 1, "set", "alias"), (2, "m", "challenger", 2, "set", "alias"),
+                         (3, "m", "challenger", 3, "set", "alias")])
+    decisions = spark.createDataFrame([("m", True, 2)], "model string, promote boolean, challenger_version bigint")
+    after = events.unionByName(registry.promote(decisions, events))
+    assert state(after) == {("m", "champion"): (2, "alias"), ("m", "challenger"): (3, "alias")}
+    assert registry.promote(decisions, after).count() == 0
+
+
+def test_first_version_is_champion_and_challenger(spark):
+    events = registry.event_rows(registry.register(runs(spark, [("m", "r", "/", 1)]), versions(spark), log(spark, [])))
+    decisions = spark.createDataFrame([("m", True)], "model string, promote boolean")
+    after = events.unionByName(registry.promote(decisions, events))
+    assert state(after) == {("m", "champion"): (1, "alias")}
+    assert registry.promote(decisions, after).count() == 0
+
+
 def test_has_alias(spark):
     events = log(spark, [(1, "a", "champion", 1, "set", "alias"), (2, "a", "challenger", 2, "set", "alias"),
                          (1, "b", "champion", 1, "set", "alias")])
