@@ -120,8 +120,8 @@ def _cut(model: Transformer) -> float | None:
     return last.getThreshold() if last.hasParam("threshold") else 0.5
 
 
-def _columns(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in df.columns]
+def _columns(df: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in df.columns]
 
 
 def _prepared(model: Transformer, df: DataFrame, name: str) -> DataFrame:

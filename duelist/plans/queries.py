@@ -426,40 +426,45 @@ MODEL_FEATURES = ["tx_amount", "acct_bal"]
 
 
 def _model_rows(spark, sf_dir):
-    return features.select_features(
-        fx.customer_transactions(spark, sf_dir), LABEL, "tx_timestamp", TX_EXCLUDE, keep=("tx_id",)
-    )
+    """Key, features and label, joined once and written: a fit reads its rows several times."""
+    path = work_dir(spark, "model-rows")
+    rows = fx.customer_transactions(spark, sf_dir)
+    features.select_features(rows, LABEL, "tx_timestamp", TX_EXCLUDE, keep=("tx_id",)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def _fit(spark, sf_dir, model_type, **options):
-    train, test = sampling.train_test(_model_rows(spark, sf_dir), "tx_id", [0.8, 0.2])
-    return models.fit(train, MODEL_FEATURES, LABEL, model_type, **options), test
+def _train_test(rows):
+    return sampling.train_test(rows, "tx_id", [0.8, 0.2])
+
+
+def _fit(rows, model_type, **options):
+    return models.fit(_train_test(rows)[0], MODEL_FEATURES, LABEL, model_type, **options)
 
 
 @query
 def train_rf(spark, sf_dir):
-    model, test = _fit(spark, sf_dir, "rf")
-    return models.holdout_metrics(model, test, LABEL)
+    rows = _model_rows(spark, sf_dir)
+    return models.holdout_metrics(_fit(rows, "rf"), _train_test(rows)[1], LABEL)
 
 
 @query
 def train_lr(spark, sf_dir):
-    model, test = _fit(spark, sf_dir, "lr")
-    return models.holdout_metrics(model, test, LABEL)
+    rows = _model_rows(spark, sf_dir)
+    return models.holdout_metrics(_fit(rows, "lr"), _train_test(rows)[1], LABEL)
 
 
 @query
 def train_cv(spark, sf_dir):
-    train, test = sampling.train_test(_model_rows(spark, sf_dir), "tx_id", [0.8, 0.2])
+    train, test = _train_test(_model_rows(spark, sf_dir))
     tuned = models.fit_tuned(train, MODEL_FEATURES, LABEL, "tx_id", grid={"maxDepth": [2, 5]}, folds=2)
     return models.holdout_metrics(tuned.bestModel, test, LABEL)
 
 
 @query
 def model_params(spark, sf_dir):
-    tables = RunTables(spark, work_dir(spark, "runs"))
+    tables, rows = RunTables(spark, work_dir(spark, "runs")), _model_rows(spark, sf_dir)
     for kind in ("rf", "lr"):
-        model, _ = _fit(spark, sf_dir, kind)
+        model = _fit(rows, kind)
         pairs = [(kind, name, value) for name, value in models.fitted_params(model)]
         pairs += [(kind, f"weight_{f}", repr(w)) for f, w in models.feature_importance(model, MODEL_FEATURES)]
         tables.append("params", spark.createDataFrame(pairs, "run_id string, name string, value string"))
@@ -467,10 +472,9 @@ def model_params(spark, sf_dir):
 
 
 def _champion_challenger(spark, sf_dir):
-    champion, _ = _fit(spark, sf_dir, "rf")
-    challenger, _ = _fit(spark, sf_dir, "lr")
-    rows = sampling.assign_group(_model_rows(spark, sf_dir), "tx_id", fx.TEST_NAME)
-    return models.score_groups(rows, champion, challenger)
+    rows = _model_rows(spark, sf_dir)
+    assigned = sampling.assign_group(rows, "tx_id", fx.TEST_NAME)
+    return models.score_groups(assigned, _fit(rows, "rf"), _fit(rows, "lr"))
 
 
 @query
@@ -486,13 +490,12 @@ def ab_report_rf(spark, sf_dir):
 @query
 def model_round_trip(spark, sf_dir):
     """Saves a model, registers it, loads it by alias; counts rows whose score changed."""
-    tables = RunTables(spark, work_dir(spark, "runs"))
-    model, _ = _fit(spark, sf_dir, "rf")
+    tables, rows = RunTables(spark, work_dir(spark, "runs")), _model_rows(spark, sf_dir)
+    model = _fit(rows, "rf")
     path = f"{tables.root}/models/first"
     save_model(model, path)
     register_run(tables, "first", path, "round_trip", dt.datetime(2001, 8, 1))
     loaded, version = load_by_alias(tables, registry.model_name("round_trip"), decision.CHAMPION)
-    rows = _model_rows(spark, sf_dir)
     before = models.score_table(model, rows).withColumnsRenamed({"score": "_s", "prediction": "_p"})
     both = models.score_table(loaded, before)
     return both.agg(
