@@ -83,7 +83,7 @@ def score_cells(
     """Counts per (keys, score). Cells add up, so cells of parts can be stored and merged.
 
     ``bins`` rounds scores down to that many equal steps of [0, 1]: fewer cells,
-    approximate AUC. By default AUC is exact.
+    approximate AUC (``tied_pairs`` bounds the error). By default AUC is exact.
     """
     value = f"cast({score} AS double)"
     if bins is not None:
@@ -99,6 +99,9 @@ def merge_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
 def metrics_from_cells(cells: DataFrame, keys: list[str], bucket: str | None = None) -> DataFrame:
     """AUC with its DeLong (1988) standard error, confusion counts and rates, per key set.
 
+    ``tied_pairs`` is the share of (positive, negative) pairs with equal scores. If cells were
+    made with ``bins``, the exact AUC lies within half of it.
+
     ``bucket`` is SQL text of any expression that never decreases with ``score``; it
     decides how the work is spread, not the result. Default: ``logit_bucket``.
     """
@@ -120,6 +123,7 @@ def metrics_from_cells(cells: DataFrame, keys: list[str], bucket: str | None = N
         F.expr("sum(positives * _x * _x) AS _sxx"),
         F.expr("sum(negatives * _y) AS _sy"),
         F.expr("sum(negatives * _y * _y) AS _syy"),
+        F.expr("sum(cast(positives AS double) * negatives) AS _tied"),
     )
     # _ln, _lp: negatives and positives in all lower buckets; they shift the inner counts.
     shifted = per_bucket.selectExpr(
@@ -133,6 +137,7 @@ def metrics_from_cells(cells: DataFrame, keys: list[str], bucket: str | None = N
         F.expr("sum(_sxx + 2 * _ln * _sx + positives * _ln * _ln) AS _sxx"),
         F.expr("sum(_sy + negatives * _lp) AS _sy"),
         F.expr("sum(_syy + 2 * _lp * _sy + negatives * _lp * _lp) AS _syy"),
+        F.expr("sum(_tied) AS _tied"),
     )
     spread = with_rates(_with_n(sums)).selectExpr(
         "*",
@@ -143,6 +148,7 @@ def metrics_from_cells(cells: DataFrame, keys: list[str], bucket: str | None = N
         *keys, "sample_size", *COUNTS, "tn", "fn",
         "try_divide(_sx, cast(positives AS double) * negatives) AS auc",
         f"sqrt({ratio('_var_positive', 'positives')} + {ratio('_var_negative', 'negatives')}) AS auc_se",
+        "try_divide(_tied, cast(positives AS double) * negatives) AS tied_pairs",
         "accuracy", "f1_positive", "f1_weighted",
     )
 

@@ -9,20 +9,30 @@ from duelist.functions.stats import Z_95, two_proportion_z, two_sided_p
 from duelist.operators.metrics import COUNTS, metrics_from_cells, score_cells
 
 ALL = "(all)"
+QUOTED = "'{0}'"
 
 
-def slice_metrics(scored: DataFrame, label: str, segment: str, group: str = "ab_group",
+def slice_metrics(scored: DataFrame, label: str, factors: list[str], group: str = "ab_group",
                   bins: int | None = None) -> DataFrame:
-    """Metrics per (group, segment) and per group (segment ``(all)``).
+    """Metrics per group, factor and segment of the factor, one factor at a time, and per group
+    (factor and segment ``(all)``).
 
     The rows are counted once at the finest level; grouping sets expand those cells, not rows.
     """
-    cells = score_cells(scored, [group, segment], label, bins=bins)
-    rolled = cells.groupingSets([[group, segment, "score"], [group, "score"]], group, segment, "score").agg(
-        F.expr(f"if(grouping({segment}) = 1, '{ALL}', cast({segment} AS string)) AS _name"),
+    cells = score_cells(scored, [group, *factors], label, bins=bins)
+
+    def named(value: str) -> str:
+        whens = " ".join(f"WHEN grouping({f}) = 0 THEN {value.format(f)}" for f in factors)
+        return f"CASE {whens} ELSE '{ALL}' END"
+
+    sets = [[group, f, "score"] for f in factors] + [[group, "score"]]
+    rolled = cells.groupingSets(sets, group, *factors, "score").agg(
+        F.expr(f"{named(QUOTED)} AS _factor"),
+        F.expr(f"{named('cast({0} AS string)')} AS _segment"),
         *[F.expr(f"sum({c}) AS {c}") for c in COUNTS],
     )
-    return metrics_from_cells(rolled.selectExpr(group, "_name AS segment", "score", *COUNTS), [group, "segment"])
+    named_cells = rolled.selectExpr(group, "_factor AS factor", "_segment AS segment", "score", *COUNTS)
+    return metrics_from_cells(named_cells, [group, "factor", "segment"])
 
 
 def slice_bias(metrics: DataFrame, group: str = "ab_group", z_limit: float = Z_95) -> DataFrame:
@@ -30,12 +40,12 @@ def slice_bias(metrics: DataFrame, group: str = "ab_group", z_limit: float = Z_9
 
     The joined side is one row per group.
     """
-    totals = metrics.filter(f"segment = '{ALL}'").selectExpr(
+    totals = metrics.filter(f"factor = '{ALL}'").selectExpr(
         group, "positives + negatives AS _all_n", "tp + tn AS _all_hits", "accuracy AS group_accuracy"
     )
     z = two_proportion_z("tp + tn", "positives + negatives", "_all_hits - tp - tn", "_all_n - positives - negatives")
     return (
-        metrics.filter(f"segment <> '{ALL}' OR segment IS NULL")
+        metrics.filter(f"factor <> '{ALL}'")
         .join(totals, group)
         .selectExpr("*", "accuracy - group_accuracy AS accuracy_gap", f"{z} AS z")
         .selectExpr("*", f"{two_sided_p('z')} AS p_value", f"coalesce(abs(z) > {z_limit!r}D, false) AS biased")

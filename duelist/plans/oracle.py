@@ -84,6 +84,7 @@ def metrics(source: str, keys: list[str], name: str = "m") -> str:
                 / nullif(max(all_p) - 1, 0) / nullif(max(all_p), 0)
             + sum(n * (low_p / nullif(all_p, 0) - (1 - auc)) * (low_p / nullif(all_p, 0) - (1 - auc)))
                 / nullif(max(all_n) - 1, 0) / nullif(max(all_n), 0)) AS auc_se,
+         sum(p * n) / nullif(max(all_p) * max(all_n), 0) AS tied_pairs,
          (sum(tp) + sum(n) - sum(fp)) / nullif(sum(p) + sum(n), 0) AS accuracy,
          2 * sum(tp) / nullif(sum(p) + sum(tp) + sum(fp), 0) AS f1_positive,
          (sum(p) * coalesce(2 * sum(tp) / nullif(sum(p) + sum(tp) + sum(fp), 0), 0)
@@ -94,7 +95,7 @@ def metrics(source: str, keys: list[str], name: str = "m") -> str:
 
 METRIC_COLUMNS = ", ".join(
     ["sample_size", "invalid", "positives", "negatives", "tp", "fp", "tn", "fn"]
-    + [r6(c, c) for c in ("auc", "auc_se", "accuracy", "f1_positive", "f1_weighted")]
+    + [r6(c, c) for c in ("auc", "auc_se", "tied_pairs", "accuracy", "f1_positive", "f1_weighted")]
 )
 
 
@@ -257,9 +258,10 @@ _STAMP = "'2001-08-01 00:00:00'"
 _SLICES = with_(
     TX, WIDE, scored("wide"),
     """sliced AS (
-  SELECT ab_group, segment, y, pred, score FROM scored
-  UNION ALL SELECT ab_group, '(all)', y, pred, score FROM scored)""",
-    metrics("sliced", ["ab_group", "segment"]),
+  SELECT ab_group, 'segment' AS factor, segment, y, pred, score FROM scored
+  UNION ALL SELECT ab_group, 'priority', priority, y, pred, score FROM scored
+  UNION ALL SELECT ab_group, '(all)', '(all)', y, pred, score FROM scored)""",
+    metrics("sliced", ["ab_group", "factor", "segment"]),
 )
 
 ORACLE: dict[str, str] = {
@@ -386,12 +388,12 @@ SELECT test, {r6('champion_auc_se', 'champion_auc_se')}, {r6('challenger_auc_se'
 ranked AS (SELECT *, sum(n) OVER (PARTITION BY rep, ab_group ORDER BY score) - n / 2 AS low_n FROM weighted),
 vals AS (SELECT rep, ab_group, sum(p * low_n) / nullif(sum(p) * sum(n), 0) AS value FROM ranked GROUP BY ALL)""",
         SUMMARY),
-    "slice_metrics": _SLICES + f"SELECT ab_group, segment, {METRIC_COLUMNS} FROM m",
+    "slice_metrics": _SLICES + f"SELECT ab_group, factor, segment, {METRIC_COLUMNS} FROM m",
     "slice_bias": _SLICES.rstrip() + f""",
-z AS (SELECT s.ab_group, s.segment, s.accuracy, s.accuracy - t.accuracy AS gap, {two_proportion(
+z AS (SELECT s.ab_group, s.factor, s.segment, s.accuracy, s.accuracy - t.accuracy AS gap, {two_proportion(
         '(s.tp + s.tn)', 's.sample_size', '(t.tp + t.tn - s.tp - s.tn)', '(t.sample_size - s.sample_size)')} AS z
-      FROM m s JOIN m t ON s.ab_group = t.ab_group AND t.segment = '(all)' WHERE s.segment <> '(all)')
-SELECT ab_group, segment, {r6('accuracy', 'accuracy')}, {r6('gap', 'accuracy_gap')}, {r6('z', 'z')}, {r6(p_value('z'), 'p_value')},
+      FROM m s JOIN m t ON s.ab_group = t.ab_group AND t.factor = '(all)' WHERE s.factor <> '(all)')
+SELECT ab_group, factor, segment, {r6('accuracy', 'accuracy')}, {r6('gap', 'accuracy_gap')}, {r6('z', 'z')}, {r6(p_value('z'), 'p_value')},
        abs(z) > {Z_95!r} AS biased FROM z""",
     "model_round_trip": "SELECT 1::BIGINT AS version, count(*) AS rows, 0::BIGINT AS changed FROM orders",
 }

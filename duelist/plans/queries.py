@@ -250,7 +250,7 @@ def holdout_metrics(spark, sf_dir):
     """One model on the whole test table."""
     model = fx.rule_models()[0]
     m = models.holdout_metrics(model, fx.transactions(spark, sf_dir).select("tx_id", LABEL), LABEL)
-    return rounded(m, "auc", "auc_se", "accuracy", "f1_positive", "f1_weighted")
+    return rounded(m, "auc", "auc_se", "tied_pairs", "accuracy", "f1_positive", "f1_weighted")
 
 
 @query
@@ -400,12 +400,12 @@ def bootstrap_auc(spark, sf_dir):
     return rounded(bootstrap.summarise(values), *SUMMARY)
 
 
-SLICE_DOUBLES = ["auc", "auc_se", "accuracy", "f1_positive", "f1_weighted"]
+SLICE_DOUBLES = ["auc", "auc_se", "tied_pairs", "accuracy", "f1_positive", "f1_weighted"]
 
 
 def _segment_metrics(spark, sf_dir):
     scored = fx.rule_scored(fx.customer_transactions(spark, sf_dir))
-    return slices.slice_metrics(scored, LABEL, "segment")
+    return slices.slice_metrics(scored, LABEL, ["segment", "priority"])
 
 
 @query
@@ -416,7 +416,7 @@ def slice_metrics(spark, sf_dir):
 @query
 def slice_bias(spark, sf_dir):
     out = slices.slice_bias(_segment_metrics(spark, sf_dir))
-    return rounded(out.select("ab_group", "segment", "accuracy", "accuracy_gap", "z", "p_value", "biased"),
+    return rounded(out.select("ab_group", "factor", "segment", "accuracy", "accuracy_gap", "z", "p_value", "biased"),
                    "accuracy", "accuracy_gap", "z", "p_value")
 
 

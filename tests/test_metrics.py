@@ -130,11 +130,14 @@ def test_empty_and_one_class(spark):
     assert row["auc"] is None and row["accuracy"] == 1.0
 
 
-def test_bins(spark, sf_dir):
-    scored = fixtures.scored_transactions(spark, sf_dir)
-    exact = metrics.group_metrics(scored, [], "tx_fraud").first()["auc"]
-    binned = metrics.group_metrics(scored, [], "tx_fraud", bins=200).first()["auc"]
-    assert abs(exact - binned) < 0.01
+@pytest.mark.parametrize("bins", [10, 200])
+def test_bins_keep_within_their_bound(spark, bins):
+    rng = random.Random(11)
+    rows = [("a", int(rng.random() < 0.3), rng.random(), 0.0) for _ in range(3000)]
+    df = frame(spark, rows)
+    exact, binned = (metrics.group_metrics(df, [], "y", bins=b).first() for b in (None, bins))
+    assert exact["tied_pairs"] == 0 and abs(binned["tied_pairs"] - 1 / bins) < 0.01
+    assert abs(exact["auc"] - binned["auc"]) <= binned["tied_pairs"] / 2
 
 
 def test_cells_merge(spark, sf_dir):

@@ -75,7 +75,7 @@ def test_slices_add_up_and_bias_is_found(spark):
         "if(id % 2 = 0, 'champion', 'challenger') AS ab_group", "concat('s', id % 5) AS seg", "cast(id % 3 = 0 AS int) AS y",
         "pmod(id * 7919, 997) / 997D AS score",
     ).selectExpr("*", "cast(if(seg = 's3', y, if(score < 0.9, y, 1 - y)) AS double) AS prediction")
-    m = slices.slice_metrics(df, "y", "seg")
+    m = slices.slice_metrics(df, "y", ["seg"])
     rows = {(r["ab_group"], r["segment"]): r for r in m.collect()}
     assert len(rows) == 12
     for g in ("champion", "challenger"):
@@ -90,6 +90,14 @@ def test_null_segment_is_a_segment(spark):
     df = spark.createDataFrame(
         [("champion", None, 1, 0.9, 1.0), ("champion", "a", 0, 0.2, 0.0)], "ab_group string, seg string, y int, score double, prediction double"
     )
-    m = slices.slice_metrics(df, "y", "seg")
+    m = slices.slice_metrics(df, "y", ["seg"])
     assert {r["segment"]: r["sample_size"] for r in m.collect()} == {None: 1, "a": 1, "(all)": 2}
     assert slices.slice_bias(m).count() == 2
+
+
+def test_several_factors_one_at_a_time(spark, sf_dir):
+    scored = fixtures.rule_scored(fixtures.customer_transactions(spark, sf_dir))
+    both = slices.slice_metrics(scored, "tx_fraud", ["segment", "priority"])
+    one = slices.slice_metrics(scored, "tx_fraud", ["priority"])
+    assert {r[0] for r in both.select("factor").distinct().collect()} == {"segment", "priority", slices.ALL}
+    assert sorted(map(str, both.filter("factor <> 'segment'").collect())) == sorted(map(str, one.collect()))
