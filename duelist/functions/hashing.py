@@ -22,14 +22,15 @@ def hash_sql(key: str | list[str], salt: str, method: str = "md5") -> str:
     ``md5`` can be recomputed in any SQL engine: the first 32 bits of
     ``md5(key || ':' || salt)``. ``xxhash64`` keeps 53 bits and costs a small
     part of the CPU time, for use where nothing outside Spark has to agree.
-    Parts of a composite key are joined with ``|``.
+    Parts of a composite key are joined with ``|``. Keys are hashed as text, so a key has
+    the same place whether a file holds it as int, bigint or string.
     """
     parts = [key] if isinstance(key, str) else key
+    text = [f"coalesce(cast({p} AS string), 'null')" for p in parts]
     if method == "xxhash64":
-        return f"shiftrightunsigned(xxhash64({', '.join(parts)}, {salt}), 11) / {2**53}.0D"
+        return f"shiftrightunsigned(xxhash64({', '.join(text)}, {salt}), 11) / {2**53}.0D"
     if method != "md5":
         raise ValueError(f"unknown hash method: {method}")
-    text = [f"coalesce(cast({p} AS string), 'null')" for p in parts]
     joined = text[0] if len(text) == 1 else f"concat_ws('|', {', '.join(text)})"
     return f"cast(conv(substr(md5(concat({joined}, ':', {salt})), 1, 8), 16, 10) AS bigint) / {2**32}.0D"
 

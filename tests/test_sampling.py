@@ -109,3 +109,13 @@ def test_fractions_of_the_whole(tx):
     assert not keys(holdout) & keys(train)
     with pytest.raises(ValueError):
         sampling.ab_holdout(tx, "tx_id", [0.9, 0.2], normalise=False)
+
+
+@pytest.mark.parametrize("method", ["md5", "xxhash64"])
+def test_key_type_does_not_matter(tx, method):
+    parts = [
+        keys(sampling.train_test(tx.selectExpr(f"cast(tx_id AS {kind}) AS tx_id"), "tx_id", [0.5, 0.5], method=method)[0]
+             .selectExpr("cast(tx_id AS bigint) AS tx_id"))
+        for kind in ("int", "bigint", "string")
+    ]
+    assert parts[0] == parts[1] == parts[2]
