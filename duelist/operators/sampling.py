@@ -86,11 +86,22 @@ def ab_holdout(df: DataFrame, key: str | list[str], weights: list[float] | None
 
     No training row can be in it as long as the training share and it fit into 1.
     """
+    low = holdout_start(weights, normalise)
+    return df.filter(_inside(hash_sql(key, quote(salt), method), low, 1.0))
+
+
+def training_end(weights: list[float] | None = None, normalise: bool = True) -> float:
+    """Hash value at which the training band ends."""
+    weights = weights or TRAIN_TEST_WEIGHTS
+    return fractions(weights)[0] if normalise else weights[0]
+
+
+def holdout_start(weights: list[float] | None = None, normalise: bool = True) -> float:
+    """Hash value at which the holdout band starts."""
     weights = weights or AB_HOLDOUT_WEIGHTS
     if not normalise and sum(weights) > 1 + 1e-9:
         raise ValueError("fractions must sum to at most 1")
-    low = fractions(weights)[0] if normalise else 1.0 - weights[1]
-    return df.filter(_inside(hash_sql(key, quote(salt), method), low, 1.0))
+    return fractions(weights)[0] if normalise else 1.0 - weights[1]
 
 
 def sample(df: DataFrame, key: str | list[str], fraction: float,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from duelist.operators import decision, models, registry
 from duelist.operators.features import select_features
-from duelist.operators.sampling import AB_HOLDOUT_WEIGHTS, ab_holdout, assign_group
+from duelist.operators.sampling import ab_holdout, assign_group, holdout_start
 from duelist.sources.runs import RunTables, load_by_alias
 
 
@@ -56,9 +56,11 @@ def ab_job(
             return AbRun(run_id, "skipped", f"no {alias} model")
     champion, challenger = loaded[decision.CHAMPION][0], loaded[decision.CHALLENGER][0]
     tested = loaded[decision.CHALLENGER][1]
+    if overlaps_training(tables, name, [v for _, v in loaded.values()], holdout_start(weights, normalise), hash_method):
+        return AbRun(run_id, "failed", "holdout overlaps training rows")
 
     slim = select_features(rows, label, time, (key, *exclude), keep=(key,))
-    test = ab_holdout(slim, key, weights or AB_HOLDOUT_WEIGHTS, method=hash_method, normalise=normalise)
+    test = ab_holdout(slim, key, weights, method=hash_method, normalise=normalise)
     scored = models.score_groups(assign_group(test, key, test_name, traffic_split, hash_method), champion, challenger)
     report = decision.promotion_gate(
         decision.ab_report(scored, label, test_name=test_name, traffic_split=traffic_split, bins=bins), auto_promote
@@ -74,6 +76,21 @@ def ab_job(
     return AbRun(run_id, row["status"], row["reason"], row)
 
 
+def overlaps_training(tables: RunTables, model: str, versions: list[int], start: float, hash_method: str) -> bool:
+    """Whether a holdout from ``start`` up may hold rows that one of the versions was trained on,
+    by the split that its training run wrote down."""
+    split = (
+        tables.read("versions")
+        .filter((F.col("model") == model) & F.col("version").isin(versions))
+        .join(tables.read("params"), "run_id")
+        .agg(
+            F.expr(f"""coalesce(bool_or(name = 'train_share' AND cast(if(name = 'train_share', value, '0') AS double) > {start!r}D
+                                        OR name = 'split_hash' AND value <> '{hash_method}'), false) AS overlaps""")
+        )
+    )
+    return split.first()["overlaps"]
+
+
 def store(tables: RunTables, report: DataFrame) -> None:
     """Metrics, parameters and the result document of finished tests."""
     metrics = decision.metrics_long(report, ["run_id", "timestamp"])

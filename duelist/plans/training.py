@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from duelist.operators import models, registry
 from duelist.operators.features import feature_columns, select_features
 from duelist.operators.profile import column_profile
-from duelist.operators.sampling import TRAIN_TEST_WEIGHTS, train_test
+from duelist.operators.sampling import train_test, training_end
 from duelist.sources.runs import RunTables, save_model
 
 # Names of the logged training metrics and the columns they come from.
@@ -76,7 +76,7 @@ def train_job(
         staged = f"{tables.root}/staging/{run_id}"
         slim.write.parquet(staged)
         slim = spark.read.parquet(staged)
-    train, test = train_test(slim, key, weights or TRAIN_TEST_WEIGHTS, method=hash_method, normalise=normalise)
+    train, test = train_test(slim, key, weights, method=hash_method, normalise=normalise)
     if partitions:
         train = models.repeatable_rows(train, key, partitions)
 
@@ -85,7 +85,8 @@ def train_job(
     metrics = {n: row[c] if row else None for n, c in TRAINING_METRICS.items()}
 
     settings = {**({"numTrees": models.NUM_TREES, "maxDepth": models.MAX_DEPTH} if model_type == "rf" else {}), **params}
-    pairs = [("run_name", name), *((k, str(v)) for k, v in settings.items()), *models.fitted_params(model)]
+    split = [("train_share", repr(training_end(weights, normalise))), ("split_hash", hash_method)]
+    pairs = [("run_name", name), *split, *((k, str(v)) for k, v in settings.items()), *models.fitted_params(model)]
     tables.append("params", spark.createDataFrame([(run_id, k, v) for k, v in pairs], "run_id string, name string, value string"))
     tables.append(
         "metrics",

@@ -133,6 +133,10 @@ def test_jobs_end_to_end(spark, rows, folder):
     assert strong.version == 2 and strong.metrics["auc"] > weak.metrics["auc"]
     assert load_by_alias(tables, "fraud_detection_model", "champion")[1] == 1
 
+    refused = ab_job(spark, rows, folder, key="tx_id", weights=[0.6, 0.4])
+    assert (refused.status, refused.reason) == ("failed", "holdout overlaps training rows")
+    assert ab_job(spark, rows, folder, hash_method="md5", **options).status == "failed"
+
     test = ab_job(spark, rows, folder, auto_promote=True, **options)
     assert test.status == "ok" and test.report["winner"] == "challenger" and test.report["promotion_status"] == "success"
     assert load_by_alias(tables, "fraud_detection_model", "champion")[1] == 2
