@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from duelist.llm import quality_em
+from duelist.llm import pii, quality_em
 from duelist.llm.common import documents
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    n = {kind: F.size(F.filter("pii", lambda s, kind=kind: s.kind == kind)).cast("long") for kind in (k[0] for k in pii.KINDS)}
+    return found.select(
+        "doc_id", *(n[kind].alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(pii.digest(kinds=pii.BASE_KINDS), 256).alias("base_sha256"), pii.digest().alias("spans"),
+        *(c.alias(f"n_{kind}") for kind, c in n.items() if kind not in pii.BASE_KINDS),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_em.score(documents(spark, sf_dir).select("doc_id", "text"))
     return scored.selectExpr(
@@ -16,5 +27,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op7_quality_rules": op7_quality_rules}
+QUERIES = {
+    "op4_pii": op4_pii,
+    "op7_quality_rules": op7_quality_rules,
+}
 ORACLE: dict[str, str] = {}
