@@ -11,7 +11,7 @@ from duelist.llm.common import documents
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
-    n = {kind: F.size(F.filter("pii", lambda s, kind=kind: s.kind == kind)).cast("long") for kind in (k[0] for k in pii.KINDS)}
+    n = {kind: F.expr(f"cast(size(filter(pii, s -> s.kind = '{kind}')) AS bigint)") for kind, *_ in pii.KINDS}
     return found.select(
         "doc_id", *(n[kind].alias(f"n_{kind}") for kind in pii.BASE_KINDS),
         F.sha2(pii.digest(kinds=pii.BASE_KINDS), 256).alias("base_sha256"), pii.digest().alias("spans"),
