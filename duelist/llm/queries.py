@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import pii, quality_em
+from duelist.llm import decontaminate, pii, quality_em
 from duelist.llm.common import documents
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return decontaminate.leaks(docs, documents(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_ids", "n_overlaps", "max_matches")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
     n = {kind: F.expr(f"cast(size(filter(pii, s -> s.kind = '{kind}')) AS bigint)") for kind, *_ in pii.KINDS}
@@ -28,6 +34,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_pii": op4_pii,
     "op7_quality_rules": op7_quality_rules,
 }
