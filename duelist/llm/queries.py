@@ -5,16 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import decontaminate, pii, quality_em
+from duelist.llm import best_fit, decontaminate, line_dedup, pii, quality_em
 from duelist.llm.common import documents
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return decontaminate.leaks(docs, documents(spark, sf_dir, "benchmark")).select(
         "doc_id", "item_ids", "n_overlaps", "max_matches")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_dedup.drop_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return deduped.select("doc_id", "text", F.array_join("removed", ",").alias("removed_lines"))
+
+
+OP3_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, i - 1 AS at, trim(a[i], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS l
+  FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL))
+), numbered AS (
+  SELECT doc_id, at, l, count(*) OVER d AS n, row_number() OVER o AS r, lead(l, 1) OVER o AS l2, lead(l, 2) OVER o AS l3,
+         lead(at, 1) OVER o AS at2, lead(at, 2) OVER o AS at3
+  FROM lines WHERE l <> '' WINDOW d AS (PARTITION BY doc_id), o AS (PARTITION BY doc_id ORDER BY at)
+), windows AS (
+  SELECT doc_id, at, at3 AS until, [l, l2, l3] AS k FROM numbered WHERE n >= 3 AND r <= n - 2
+  UNION ALL SELECT doc_id, at, at2, [l, l2] FROM numbered WHERE n = 2 AND r = 1
+  UNION ALL SELECT doc_id, at, at, [l] FROM numbered WHERE n = 1 OR length(l) > {line_dedup.LONG_LINE}
+), later AS (
+  SELECT doc_id, unnest(range(at, until + 1)) AS line
+  FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, at) AS r FROM windows) WHERE r > 1
+), cut AS (SELECT doc_id, list_sort(list(DISTINCT line)) AS gone FROM later GROUP BY doc_id)
+SELECT doc_id,
+       CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transform(
+         list_filter(range(0, len(string_split(text, chr(10)))), i -> NOT list_contains(gone, i)),
+         i -> string_split(text, chr(10))[i + 1]), chr(10)) END AS text,
+       coalesce(array_to_string(gone, ','), '') AS removed_lines
+FROM documents LEFT JOIN cut USING (doc_id)
+"""
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
     n = {kind: F.expr(f"cast(size(filter(pii, s -> s.kind = '{kind}')) AS bigint)") for kind, *_ in pii.KINDS}
@@ -33,9 +70,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(documents(spark, sf_dir), tokenizer_path(), with_ids=False).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_line_dedup": op3_line_dedup,
     "op4_pii": op4_pii,
     "op7_quality_rules": op7_quality_rules,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op3_line_dedup": OP3_SQL}
