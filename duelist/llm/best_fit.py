@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelist.llm.common import staged
+from duelist.llm.common import importable, staged
 from duelist.llm.tokens import encoder
 
 CAPACITY = 1024
@@ -66,7 +66,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ddl = ("doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, seen long")
-    return staged(narrow.mapInArrow(encoded, ddl), "pieces")
+    return staged(importable(narrow).mapInArrow(encoded, ddl), "pieces")
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -167,7 +167,7 @@ def place(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = cut_pieces.join(bases.select("length", "part", "base"), ["length", "part"]).select(
         *kept, (F.col("base") + F.col("seen")).alias("rank"))
     fields = ", ".join(f"{n} {t}" for n, t in ranked.dtypes if n != "rank")
-    return ranked.mapInArrow(placed, f"{fields}, sequence_id long, offset long")
+    return importable(ranked).mapInArrow(placed, f"{fields}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,19 @@ from duelist.sources.session import shared_dir
 SPACE = r"[\x20\x09-\x0D]"
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(df: DataFrame) -> DataFrame:
+    """Lets Python workers on this machine import the package from where the driver did; on a cluster, install it or
+    pass it with ``--py-files``."""
+    env = df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
