@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import best_fit, decontaminate, line_dedup, pii, quality_em
+from duelist.llm import best_fit, decontaminate, line_dedup, pii, quality_em, token_binary
 from duelist.llm.common import documents
+from duelist.sources.session import shared_dir
 
 
 def tokenizer_path() -> str:
@@ -15,6 +18,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/llm/tokens-{uuid.uuid4().hex}"
+    token_binary.write(documents(spark, sf_dir), path, tokenizer_path())
+    return token_binary.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return decontaminate.leaks(docs, documents(spark, sf_dir, "benchmark")).select(
@@ -76,6 +85,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_binary": op1_token_binary,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_line_dedup": op3_line_dedup,
     "op4_pii": op4_pii,
