@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import best_fit, decontaminate, line_dedup, pii, quality_em, token_binary
+from duelist.llm import best_fit, decontaminate, jaccard_join, line_dedup, pii, quality_em, token_binary
 from duelist.llm.common import documents
 from duelist.sources.session import shared_dir
 
@@ -79,6 +79,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(documents(spark, sf_dir), tokenizer_path(), with_ids=False).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -90,6 +94,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_pii": op4_pii,
     "op7_quality_rules": op7_quality_rules,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE = {"op3_line_dedup": OP3_SQL}
