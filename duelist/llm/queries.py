@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import best_fit, decontaminate, jaccard_join, line_dedup, pii, quality_em, token_binary
+from duelist.llm import best_fit, decontaminate, jaccard_join, line_dedup, pii, quality_em, token_binary, toxicity_chain
 from duelist.llm.common import documents
 from duelist.sources.session import shared_dir
 
@@ -83,6 +83,14 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the chain calls toxic, with the probabilities of all categories."""
+    docs = documents(spark, sf_dir)
+    chain = toxicity_chain.fit(docs, documents(spark, sf_dir, "labels"))
+    return toxicity_chain.flag(docs.select("doc_id", "text"), chain).select(
+        "doc_id", "p_quality", "p_toxic", F.lit(True).alias("toxic"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(documents(spark, sf_dir), tokenizer_path(), with_ids=False).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -95,6 +103,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op7_quality_rules": op7_quality_rules,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE = {"op3_line_dedup": OP3_SQL}
