@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import best_fit, decontaminate, jaccard_join, line_dedup, pii, quality_em, token_binary, toxicity_chain
+from duelist.llm import best_fit, decontaminate, html_diff, jaccard_join, line_dedup, pii, quality_em, token_binary, toxicity_chain
 from duelist.llm.common import documents
 from duelist.sources.session import shared_dir
 
@@ -71,6 +71,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_diff.extract(documents(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_deleted")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_em.score(documents(spark, sf_dir).select("doc_id", "text"))
     return scored.selectExpr(
@@ -101,6 +106,7 @@ QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_line_dedup": op3_line_dedup,
     "op4_pii": op4_pii,
+    "op5_html_extraction": op5_html_extraction,
     "op7_quality_rules": op7_quality_rules,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
