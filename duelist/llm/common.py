@@ -31,6 +31,13 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of an installed public tokenizer file; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written as Parquet below ``spark.checkpoint.dir`` and read again.
 

@@ -7,17 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import best_fit, decontaminate, html_diff, jaccard_join, line_dedup, pii, quality_em, token_binary, toxicity_chain
-from duelist.llm.common import documents
+from duelist.llm import best_fit, decontaminate, html_diff, jaccard_join, line_dedup, pii, quality_em, quote_link, token_binary, toxicity_chain
+from duelist.llm.common import documents, tokenizer_path
 from duelist.sources.session import shared_dir
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op1_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/llm/tokens-{uuid.uuid4().hex}"
     token_binary.write(documents(spark, sf_dir), path, tokenizer_path())
@@ -76,6 +70,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_deleted")
 
 
+def op6_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_link.link(documents(spark, sf_dir, "conversations"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_em.score(documents(spark, sf_dir).select("doc_id", "text"))
     return scored.selectExpr(
@@ -107,6 +105,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_pii": op4_pii,
     "op5_html_extraction": op5_html_extraction,
+    "op6_quote_linking": op6_quote_linking,
     "op7_quality_rules": op7_quality_rules,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
