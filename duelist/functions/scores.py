@@ -14,12 +14,16 @@ _LOW, _HIGH = 1e-300, 1.0 - 1e-16
 def logit_bucket(score: str) -> str:
     """Bucket number that never decreases with the score.
 
-    Log-odds keep fine resolution near 0 and 1, where fraud scores crowd. Scores
-    outside (0, 1) fall in the end buckets: the result stays right, it is only
-    less evenly spread; use ``split_bucket`` for such scores.
+    Log-odds keep fine resolution near 0 and 1, where fraud scores crowd. Outside (0, 1), where raw
+    margins lie, buckets follow the logarithm of the distance, so they spread too. For other
+    distributions cut points can be fitted: ``score_splits`` and ``split_bucket``.
     """
     inside = f"least(greatest({score}, {_LOW!r}D), {_HIGH!r}D)"
-    return f"cast(floor({BUCKETS_PER_LOGIT}D * ln({inside} / (1D - {inside}))) AS int)"
+    above, below = f"least(greatest({score} - 1D, 0D), 1e300D)", f"least(greatest(0D - {score}, 0D), 1e300D)"
+    return (
+        f"cast(floor({BUCKETS_PER_LOGIT}D * ln({inside} / (1D - {inside}))) "
+        f"+ floor({BUCKETS_PER_LOGIT}D * asinh({above})) - floor({BUCKETS_PER_LOGIT}D * asinh({below})) AS int)"
+    )
 
 
 def split_bucket(score: str, splits: list[float]) -> str:

@@ -1,10 +1,9 @@
 """Distribution of the metrics by a Poisson bootstrap.
 
-Rows are first counted per (group, unit[, score]); a unit is one of ``units`` hash
-buckets of the key. Only these counts are repeated for the replicates, so the cost of
-the replicates depends on ``units`` and ``replicates``, not on the number of rows.
-With fewer rows than units nearly every unit is one row, which is the row bootstrap;
-``units=None`` makes every key its own unit at any size.
+By default the rows themselves are drawn, at any size: every usable row is repeated for the replicates inside
+its task and summed there, so rows are never shuffled. With ``units`` the rows are first counted per hash bucket of
+the key and only these counts are repeated: an approximation whose replicates cost the same for any number of rows.
+Rows without a usable label or prediction are left out, as in the metrics.
 Weights come from a hash of (group, unit, replicate): runs repeat exactly.
 """
 
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from duelist.functions.hashing import hash_sql, poisson_sql, quote
 from duelist.functions.stats import ratio
 from duelist.operators.decision import CHALLENGER, CHAMPION
-from duelist.operators.metrics import COUNTS, metrics_from_cells, score_cells
+from duelist.operators.metrics import COUNTS, metrics_from_cells, score_cells, usable
 
 UNIT_SALT, WEIGHT_SALT = "unit", "weight"
 
@@ -26,8 +25,8 @@ def _unit(key: str, units: int | None) -> str:
 
 
 def _replicated(units: DataFrame, group: str, replicates: int) -> DataFrame:
-    """Units times replicates with a Poisson(1) weight. Rows of weight 0 stay: a filter on the
-    weight would compute the hash twice, and the next partial aggregation absorbs them."""
+    """Units times replicates with a Poisson(1) weight. Rows of weight 0 stay: they keep a group without any drawn
+    row in the result, and the partial aggregation that follows absorbs them."""
     return (
         units.selectExpr("*", f"explode(sequence(1, {replicates})) AS replicate")
         .selectExpr("*", f"{hash_sql([group, 'unit', 'replicate'], quote(WEIGHT_SALT))} AS _u")
@@ -36,31 +35,46 @@ def _replicated(units: DataFrame, group: str, replicates: int) -> DataFrame:
     )
 
 
+#: Rows of the weight table up to which Spark may choose to broadcast it.
+SMALL_WEIGHTS = 100_000
+
+
 def _weights(spark: SparkSession, group: str, units: int, replicates: int) -> DataFrame:
     """Weights of all hash units: two groups times ``units`` times ``replicates`` rows,
     whatever the size of the data."""
     both = f"explode(array('{CHAMPION}', '{CHALLENGER}')) AS {group}"
-    return _replicated(spark.range(units).selectExpr("id AS unit", both), group, replicates)
+    drawn = _replicated(spark.range(units).selectExpr("id AS unit", both), group, replicates).filter("weight > 0")
+    # Spark's size estimate does not see the explode: without the hint a huge table would be broadcast
+    return drawn if 2 * units * replicates <= SMALL_WEIGHTS else drawn.hint("merge")
 
 
 def bootstrap_accuracy(
-    scored: DataFrame, key: str, label: str, replicates: int = 100, units: int | None = 1000,
+    scored: DataFrame, key: str, label: str, replicates: int = 100, units: int | None = None,
     group: str = "ab_group", prediction: str = "prediction",
 ) -> DataFrame:
     """Accuracy of every (replicate, group)."""
-    counts = scored.groupBy(group, F.expr(f"{_unit(key, units)} AS unit")).agg(
-        F.expr("count(*) AS rows"), F.expr(f"count_if({label} = {prediction}) AS hits")
-    )
+    rows = scored.filter(usable(label, prediction))
+    if units is None:
+        counts = rows.selectExpr(group, f"{key} AS unit", "1L AS rows", f"cast({label} = {prediction} AS bigint) AS hits")
+    else:
+        counts = rows.groupBy(group, F.expr(f"{_unit(key, units)} AS unit")).agg(
+            F.expr("count(*) AS rows"), F.expr(f"count_if({label} = {prediction}) AS hits")
+        )
     value = ratio("sum(weight * hits)", "sum(weight * rows)")
     return _replicated(counts, group, replicates).groupBy("replicate", group).agg(F.expr(f"{value} AS value"))
 
 
 def bootstrap_auc(
-    scored: DataFrame, key: str, label: str, replicates: int = 100, units: int | None = 1000,
-    group: str = "ab_group", bins: int | None = None,
+    scored: DataFrame, key: str, label: str, replicates: int = 100, units: int | None = None,
+    group: str = "ab_group", bins: int | None = None, exact: bool = False,
 ) -> DataFrame:
-    """AUC of every (replicate, group). Set ``bins`` when scores are continuous, so that
-    the number of cells stays bounded."""
+    """AUC of every (replicate, group).
+
+    ``bins`` bounds the cells of a replicate. Without it every distinct score is a cell of every replicate,
+    which ``exact=True`` asks for: right for scores of few values, very dear for continuous ones.
+    """
+    if bins is None and not exact:
+        raise ValueError("set bins, or exact=True to keep every distinct score")
     with_unit = scored.selectExpr("*", f"{_unit(key, units)} AS unit")
     counts = score_cells(with_unit, [group, "unit"], label, bins=bins)
     if units is None:

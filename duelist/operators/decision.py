@@ -48,9 +48,13 @@ def four_places(x: str) -> str:
     return f"format_string('%.4f', floor(round(abs({x}), 9) * 10000D + 0.5D) / 10000D)"
 
 
-def decide(deltas: DataFrame, threshold: float = CONFIDENCE_THRESHOLD, min_share: float = MIN_GROUP_SHARE) -> DataFrame:
+def decide(deltas: DataFrame, threshold: float = CONFIDENCE_THRESHOLD, min_share: float = MIN_GROUP_SHARE,
+           max_invalid_share: float = 0.0) -> DataFrame:
     """Winner, promotion and message, with the state of the test.
 
+    Rows without a usable label, score or prediction are left out of the metrics and counted; a test with more than
+    ``max_invalid_share`` of them fails, by default any.
+
     ``status`` is ``ok``, ``undefined`` (an AUC does not exist) or ``failed``, with a
     ``reason``; only ``ok`` tests have a winner. ``hold_reason`` names why a better
     challenger is not promoted.
@@ -63,7 +67,7 @@ def decide(deltas: DataFrame, threshold: float = CONFIDENCE_THRESHOLD, min_share
             "*",
             f"coalesce({ratio(f'least({n1}, {n2})', f'{n1} + {n2}')} > {min_share!r}D, false) AS is_balanced",
             f"""CASE WHEN {n1} + {n2} = 0 THEN 'no rows'
-                     WHEN champion_invalid + challenger_invalid > 0 THEN 'label, score or prediction missing'
+                     WHEN champion_invalid + challenger_invalid > {float(max_invalid_share)!r}D * ({n1} + {n2}) THEN 'label, score or prediction missing'
                      WHEN least({n1}, {n2}) = 0 THEN 'a group has no rows'
                      WHEN {gain} IS NULL THEN 'a group has one class only' END AS reason""",
             f"{float(threshold)!r}D AS confidence_threshold",
@@ -101,10 +105,11 @@ def ab_report(
     min_share: float = MIN_GROUP_SHARE,
     group: str = "ab_group",
     bins: int | None = None,
+    max_invalid_share: float = 0.0,
 ) -> DataFrame:
     """The whole evaluation of scored rows as one plan: one row per test."""
     metrics = group_metrics(scored, [*(keys or []), group], label, bins=bins)
-    return report_from_metrics(metrics, keys, test_name, traffic_split, threshold, min_share, group)
+    return report_from_metrics(metrics, keys, test_name, traffic_split, threshold, min_share, group, max_invalid_share)
 
 
 def report_from_metrics(
@@ -115,8 +120,9 @@ def report_from_metrics(
     threshold: float = CONFIDENCE_THRESHOLD,
     min_share: float = MIN_GROUP_SHARE,
     group: str = "ab_group",
+    max_invalid_share: float = 0.0,
 ) -> DataFrame:
-    decided = decide(with_deltas(compare_groups(metrics, keys, group)), threshold, min_share)
+    decided = decide(with_deltas(compare_groups(metrics, keys, group)), threshold, min_share, max_invalid_share)
     return decided.selectExpr(
         "*", f"{quote(test_name)} AS test_name", f"{float(traffic_split)!r}D AS traffic_split"
     )
@@ -128,7 +134,8 @@ def failures(report: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def promotion_gate(report: DataFrame, auto_promote: bool) -> DataFrame:
-    """Adds ``promote`` (won and allowed) and ``promotion_status``, before anything is written."""
+    """Adds ``promote`` (won and allowed) and the intended ``promotion_status``; what the aliases allow is in
+    ``registry.promotion_outcome``."""
     return report.selectExpr("*", f"should_promote AND {str(auto_promote).lower()} AS promote").selectExpr(
         "*", "if(promote, 'success', 'not_promoted') AS promotion_status"
     )

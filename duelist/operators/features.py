@@ -35,15 +35,18 @@ def select_features(
 def standardise(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """(x - mean) / sample standard deviation per column; a constant column becomes 0.
 
-    The moments are one scalar subquery, read by every expression.
+    The moments are computed at once, by a job over these columns only, and enter the plan as one row of
+    numbers; the result itself then reads ``df`` a single time.
     """
-    values = ", ".join(f"avg(`{c}`) AS `mean_{c}`, stddev_samp(`{c}`) AS `std_{c}`" for c in columns)
-    moments = df.agg(F.expr(f"struct({values}) AS moments")).scalar().alias("_m")
+    values = [F.expr(f"{f}(`{c}`)").cast("double") for c in columns for f in ("avg", "stddev_samp")]
+    row = df.agg(*values).first()
+    number = lambda v: "cast(NULL AS double)" if v is None else f"{v!r}D"
     scaled = [
-        f"CASE WHEN _m.`std_{c}` > 0 THEN (`{c}` - _m.`mean_{c}`) / _m.`std_{c}` WHEN `{c}` IS NOT NULL THEN 0D END AS `{c}_scaled`"
-        for c in columns
+        f"CASE WHEN {number(row[2 * i + 1])} > 0 THEN (`{c}` - {number(row[2 * i])}) / {number(row[2 * i + 1])} "
+        f"WHEN `{c}` IS NOT NULL THEN 0D END AS `{c}_scaled`"
+        for i, c in enumerate(columns)
     ]
-    return df.select("*", moments).selectExpr(*keep, *scaled)
+    return df.selectExpr(*keep, *scaled)
 
 
 def reorder(df: DataFrame, order: list[str]) -> DataFrame:

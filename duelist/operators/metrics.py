@@ -22,11 +22,16 @@ from duelist.functions.stats import ratio
 COUNTS = ["positives", "negatives", "tp", "fp", "invalid"]
 
 
-def _count_columns(label: str, prediction: str, score: str | None) -> list[Column]:
+def usable(label: str, prediction: str, score: str | None = None) -> str:
+    """Whether a row counts for the metrics (SQL text, never NULL)."""
     ok = f"{label} IN (0, 1) AND {prediction} IN (0, 1)"
     if score is not None:
         ok += f" AND {score} IS NOT NULL AND NOT isnan({score})"
-    ok = f"coalesce({ok}, false)"
+    return f"coalesce({ok}, false)"
+
+
+def _count_columns(label: str, prediction: str, score: str | None) -> list[Column]:
+    ok = usable(label, prediction, score)
     conditions = {
         "positives": f"{ok} AND {label} = 1",
         "negatives": f"{ok} AND {label} = 0",

@@ -124,13 +124,22 @@ def _columns(df: DataFrame) -> list[str]:
     return [f"`{c}`" for c in df.columns]
 
 
-def _prepared(model: Transformer, df: DataFrame, name: str) -> DataFrame:
-    """All stages but the classifier; adds ``_<name>_features``."""
+def _prepared(model: Transformer, df: DataFrame, name: str, mine: Column | None = None) -> DataFrame:
+    """All stages but the classifier; adds ``_<name>_features`` and ``_<name>_ready``.
+
+    With ``mine`` the stages see NULLs in the rows of the other group, and no row is ever dropped or
+    raises: a row with a NULL among the assembled columns is not ready.
+    """
     if _cut(model) is None:
         return df
     *front, last = _stages(model)
-    out = PipelineModel(front).transform(df)
-    return out.select(*_columns(df), F.col(last.getFeaturesCol()).alias(f"_{name}_features"))
+    front = [s.copy({s.handleInvalid: "keep"}) if isinstance(s, VectorAssembler) else s for s in front]
+    inputs = [c for s in front if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    row = F.struct(*_columns(df)).alias("_row")
+    seen = [F.col(f"`{c}`") if mine is None else F.when(mine, F.col(f"`{c}`")).alias(c) for c in df.columns]
+    out = PipelineModel(front).transform(df.select(row, *seen))
+    ready = " AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(cast(`{c}` AS double))" for c in inputs) or "true"
+    return out.select("_row.*", F.col(last.getFeaturesCol()).alias(f"_{name}_features"), F.expr(ready).alias(f"_{name}_ready"))
 
 
 def _scored(model: Transformer, df: DataFrame, name: str) -> DataFrame:
@@ -144,7 +153,7 @@ def _scored(model: Transformer, df: DataFrame, name: str) -> DataFrame:
         lean = {last.featuresCol: f"_{name}_features", last.probabilityCol: "_probability",
                 last.rawPredictionCol: "", last.predictionCol: ""}
         out = last.copy(lean).transform(df)
-        score, given = vector_to_array("_probability")[1], F.lit(None)
+        score, given = F.when(F.col(f"_{name}_ready"), vector_to_array("_probability")[1]), F.lit(None)
     else:
         out = model.transform(df)
         score = vector_to_array("probability")[1] if "probability" in out.columns else F.col("score")
@@ -157,18 +166,20 @@ def _above(score: Column, cut: float | None) -> Column:
 
 
 def score_table(model: Transformer, df: DataFrame) -> DataFrame:
-    """Adds ``score`` (probability of class 1) and ``prediction`` to a table."""
+    """Adds ``score`` (probability of class 1) and ``prediction`` to a table; both are NULL where the model
+    cannot take a row, so that the metrics count it as invalid."""
     out = _scored(model, _prepared(model, df, "m"), "m").withColumn("score", F.col("_m_score"))
     prediction = F.coalesce("_m_given", _above(F.col("score"), _cut(model)))
     return out.select(*_columns(df), "score", prediction.alias("prediction"))
 
 
 def score_groups(df: DataFrame, champion: Transformer, challenger: Transformer, group: str = "ab_group") -> DataFrame:
-    """Every row scored by the model of its group: one scan, and one classifier run per row,
-    because the classifiers end up in the branches of a CASE."""
-    ready = _prepared(challenger, _prepared(champion, df, "champion"), "challenger")
+    """Every row scored by the model of its group, and by that one only: one scan, and one classifier run per
+    row, because the classifiers end up in the branches of a CASE. A row that its model cannot take (a NULL
+    feature) keeps its place with a NULL score; what the other model needs does not matter to it."""
+    mine = F.coalesce(F.col(group) == CHALLENGER, F.lit(False))
+    ready = _prepared(challenger, _prepared(champion, df, "champion", ~mine), "challenger", mine)
     both = _scored(challenger, _scored(champion, ready, "champion"), "challenger")
-    mine = F.col(group) == CHALLENGER
     scored = both.select(
         *_columns(df),
         F.when(mine, F.col("_challenger_score")).otherwise(F.col("_champion_score")).alias("score"),

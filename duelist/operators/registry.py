@@ -74,15 +74,19 @@ def register(
 ) -> DataFrame:
     """New versions for runs (model, run_id, path, run_seq), with their alias events.
 
-    Runs already registered are left out, so a repeated call changes nothing. Versions go
-    on from the model's last one in ``run_seq`` order, which must be unique. Every new
+    Runs already registered are left out, so a repeated call changes nothing; of a run that occurs
+    several times the row with the smallest ``run_seq`` counts. A NULL model, run_id or run_seq is an
+    error. Versions go on from the model's last one in ``run_seq`` order, ties by run_id. Every new
     version becomes challenger; the first one also champion if the model has none.
     ``run_order_width`` is the range of ``run_seq`` numbered in one task.
 
     One row per version: version columns plus ``events``, an array of alias events.
     """
-    fresh = runs.join(versions.select("run_id"), "run_id", "left_anti")
-    ordered = with_position(fresh, "run_seq", f"floor(run_seq / {run_order_width})", ("model",), "_n")
+    checked = runs.select("run_id", "run_seq", "model", "path").selectExpr(
+        *(f"coalesce({c}, raise_error('{c} of a run must not be NULL')) AS {c}" for c in ("run_id", "run_seq", "model")), "path")
+    once = checked.groupBy("run_id").agg(F.min(F.struct("run_seq", "model", "path")).alias("_first")).select("run_id", "_first.*")
+    fresh = once.join(versions.select("run_id"), "run_id", "left_anti")
+    ordered = with_position(fresh, "run_seq, run_id", f"floor(run_seq / {run_order_width})", ("model",), "_n")
     def event(step: int, alias: str) -> str:
         return (
             f"struct(_seq + {step} AS event_seq, model, '{alias}' AS alias, version, "
@@ -114,6 +118,17 @@ def event_rows(registered: DataFrame) -> DataFrame:
     return registered.select(F.inline("events"))
 
 
+def promotion_outcome(report: DataFrame, events: DataFrame, key: str = "model") -> DataFrame:
+    """``report`` with the ``promotion_status`` that the alias events allow: ``success`` only where promotion
+    has events to write, ``failed`` where a winner that should be promoted has none (its alias is gone or
+    already moved)."""
+    moved = promote(report, events).select(F.col("model").alias("_moved")).distinct()
+    return report.join(moved, report[key] == moved["_moved"], "left").withColumn(
+        "promotion_status",
+        F.expr("CASE WHEN NOT coalesce(promote, false) THEN 'not_promoted' WHEN _moved IS NULL THEN 'failed' ELSE 'success' END"),
+    ).drop("_moved")
+
+
 def promote(decisions: DataFrame, events: DataFrame) -> DataFrame:
     """Alias events for every model whose decision says ``promote``: the champion alias is
     dropped and set to the challenger's version, and the challenger alias is dropped.

@@ -13,6 +13,8 @@ from duelist.functions.hashing import hash_sql, quote
 
 SPLIT_SALT = "42"
 POSITION_BUCKETS = 1 << 16
+#: Buckets whose offsets are summed in one task.
+OFFSET_RUN = 4096
 
 # Default split weights of the training job and of the A/B job.
 TRAIN_TEST_WEIGHTS = [0.005, 0.0001]
@@ -140,25 +142,38 @@ def with_position(df: DataFrame, order: str, bucket: str, keys: tuple[str, ...]
 
     ``bucket`` (SQL text) must never decrease along the order. Rows are numbered inside a
     bucket and shifted by the number of rows in earlier buckets, so no task holds a whole
-    key. Offsets are one row per (keys, bucket); without keys their number is the number
-    of buckets.
+    key. Offsets are one row per (keys, bucket). They are summed on two levels, inside runs of
+    ``OFFSET_RUN`` buckets and over the runs, so a key with very many buckets is not one task either.
+    NULL keys and NULL order values are values like others.
     """
     by = ", ".join([*keys, "_bucket"])
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     part = f"PARTITION BY {', '.join(keys)} " if keys else ""
     rows = df.selectExpr("*", f"{bucket} AS _bucket")
-    offsets = rows.groupBy(*keys, "_bucket").agg(F.expr("count(*) AS _rows")).selectExpr(
-        *keys,
-        "_bucket",
-        f"coalesce(sum(_rows) OVER ({part}ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _offset",
+    counted = rows.groupBy(*keys, "_bucket").agg(F.expr("count(*) AS _rows")).selectExpr("*", f"floor(_bucket / {OFFSET_RUN}) AS _run")
+    inner = counted.selectExpr(
+        *keys, "_bucket", "_run",
+        f"coalesce(sum(_rows) OVER (PARTITION BY {', '.join([*keys, '_run'])} ORDER BY _bucket {earlier}), 0) AS _inner",
     )
+    outer = counted.groupBy(*keys, "_run").agg(F.expr("sum(_rows) AS _rows")).selectExpr(
+        *keys, "_run", f"coalesce(sum(_rows) OVER ({part}ORDER BY _run {earlier}), 0) AS _outer"
+    )
+    offsets = _join_null_safe(inner, outer, [*keys, "_run"]).selectExpr(*keys, "_bucket", "_inner + _outer AS _offset")
+    numbered = rows.selectExpr("*", f"row_number() OVER (PARTITION BY {by} ORDER BY {order}) AS _rn")
     return (
-        rows.selectExpr("*", f"row_number() OVER (PARTITION BY {by} ORDER BY {order}) AS _rn")
-        .join(offsets, [*keys, "_bucket"])
+        _join_null_safe(numbered, offsets, [*keys, "_bucket"])
         .selectExpr("*", f"_offset + _rn - 1 AS {column}")
         .drop("_bucket", "_rn", "_offset")
     )
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which NULL equals NULL; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, on).drop(*(f"_right_{k}" for k in keys))
+
+
 def seeded_shuffle(df: DataFrame, key: str, salt: str = SPLIT_SALT, buckets: int = POSITION_BUCKETS,
                    column: str = "position", method: str = "md5") -> DataFrame:
     """Position of every row in a random order that depends only on key and salt.

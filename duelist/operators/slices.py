@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelist.functions.stats import Z_95, two_proportion_z, two_sided_p
+from duelist.functions.stats import two_proportion_z, two_sided_p
 from duelist.operators.metrics import COUNTS, metrics_from_cells, score_cells
 
 ALL = "(all)"
+FALSE_DISCOVERY_RATE = 0.05
 QUOTED = "'{0}'"
 
 
@@ -35,19 +36,26 @@ def slice_metrics(scored: DataFrame, label: str, factors: list[str], group: str
     return metrics_from_cells(named_cells, [group, "factor", "segment"])
 
 
-def slice_bias(metrics: DataFrame, group: str = "ab_group", z_limit: float = Z_95) -> DataFrame:
+def slice_bias(metrics: DataFrame, group: str = "ab_group", rate: float = FALSE_DISCOVERY_RATE) -> DataFrame:
     """Accuracy of each segment against the rest of its group.
 
-    The joined side is one row per group.
+    ``q_value`` is the p value corrected for the number of segments of the group (Benjamini and Hochberg): of the
+    segments called ``biased`` at most ``rate`` are expected to be noise. Works on metric rows, one per segment;
+    the group's own row is read by a window, so the metrics are computed once, and a NULL group stays.
     """
-    totals = metrics.filter(f"factor = '{ALL}'").selectExpr(
-        group, "positives + negatives AS _all_n", "tp + tn AS _all_hits", "accuracy AS group_accuracy"
+    whole = lambda value: f"max(if(factor = '{ALL}', {value}, NULL)) OVER (PARTITION BY {group})"
+    with_totals = metrics.selectExpr(
+        "*", f"{whole('positives + negatives')} AS _all_n", f"{whole('tp + tn')} AS _all_hits", f"{whole('accuracy')} AS group_accuracy"
     )
     z = two_proportion_z("tp + tn", "positives + negatives", "_all_hits - tp - tn", "_all_n - positives - negatives")
     return (
-        metrics.filter(f"factor <> '{ALL}'")
-        .join(totals, group)
+        with_totals.filter(f"factor <> '{ALL}'")
         .selectExpr("*", "accuracy - group_accuracy AS accuracy_gap", f"{z} AS z")
-        .selectExpr("*", f"{two_sided_p('z')} AS p_value", f"coalesce(abs(z) > {z_limit!r}D, false) AS biased")
-        .drop("_all_n", "_all_hits")
+        .selectExpr("*", f"{two_sided_p('z')} AS p_value")
+        .selectExpr(
+            "*", f"p_value * count(p_value) OVER (PARTITION BY {group}) / "
+                 f"nullif(count(p_value) OVER (PARTITION BY {group} ORDER BY p_value), 0) AS _scaled")
+        .selectExpr("*", f"if(p_value IS NULL, NULL, least(1D, min(_scaled) OVER (PARTITION BY {group} ORDER BY p_value DESC))) AS q_value")
+        .selectExpr("*", f"coalesce(q_value <= {rate!r}D, false) AS biased")
+        .drop("_all_n", "_all_hits", "_scaled")
     )

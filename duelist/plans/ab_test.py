@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from duelist.functions.hashing import quote
 from duelist.operators import decision, models, registry
 from duelist.operators.features import select_features
 from duelist.operators.sampling import ab_holdout, assign_group, holdout_start
+from duelist.plans.training import split_record
 from duelist.sources.runs import RunTables, load_by_alias
 
 
@@ -38,14 +41,16 @@ def ab_job(
     auto_promote: bool = False,
     normalise: bool = True,
     bins: int | None = None,
+    max_invalid_share: float = 0.0,
     hash_method: str = "xxhash64",
     now: dt.datetime | None = None,
 ) -> AbRun:
     """One A/B test of the experiment's champion against its challenger.
 
-    Missing models and undefined metrics end in a typed status; other errors are raised.
-    Everything is decided before anything is written, and written once. ``bins`` trades the
-    exact AUC for one on that many score steps, without the sort of all distinct scores.
+    Missing models, refused holdouts and undefined metrics end in a typed status with a stored result
+    document; other errors are raised. Everything is decided before anything is written, aliases move last.
+    ``bins`` trades the exact AUC for one on that many score steps, without the sort of all distinct scores.
+    ``max_invalid_share`` is the share of rows without a usable label or score that a test survives.
     """
     tables, run_id = RunTables(spark, root), uuid.uuid4().hex
     name, now = registry.model_name(experiment), now or dt.datetime.now()
@@ -53,42 +58,62 @@ def ab_job(
     for alias in (decision.CHAMPION, decision.CHALLENGER):
         loaded[alias] = load_by_alias(tables, name, alias)
         if loaded[alias] is None:
-            return AbRun(run_id, "skipped", f"no {alias} model")
+            return refused(tables, run_id, test_name, now, "skipped", f"no {alias} model")
     champion, challenger = loaded[decision.CHAMPION][0], loaded[decision.CHALLENGER][0]
     tested = loaded[decision.CHALLENGER][1]
-    if overlaps_training(tables, name, [v for _, v in loaded.values()], holdout_start(weights, normalise), hash_method):
-        return AbRun(run_id, "failed", "holdout overlaps training rows")
+    start = holdout_start(weights, normalise)
+    problem = holdout_problem(tables, name, [v for _, v in loaded.values()], split_record(key, start, hash_method))
+    if problem:
+        return refused(tables, run_id, test_name, now, "failed", problem)
 
     slim = select_features(rows, label, time, (key, *exclude), keep=(key,))
     test = ab_holdout(slim, key, weights, method=hash_method, normalise=normalise)
     scored = models.score_groups(assign_group(test, key, test_name, traffic_split, hash_method), champion, challenger)
     report = decision.promotion_gate(
-        decision.ab_report(scored, label, test_name=test_name, traffic_split=traffic_split, bins=bins), auto_promote
+        decision.ab_report(scored, label, test_name=test_name, traffic_split=traffic_split, bins=bins,
+                           max_invalid_share=max_invalid_share), auto_promote
     ).withColumns({"run_id": F.lit(run_id), "timestamp": F.lit(now), "model": F.lit(name),
                     "challenger_version": F.lit(tested)})
-    row = report.first()  # one row per test; the scored rows are not read again
-    done = spark.createDataFrame([row], report.schema)
-
-    if row["promote"]:
-        events = tables.read("alias_events").filter(F.col("model") == name)
-        tables.append("alias_events", registry.promote(done, events))
-    store(tables, done)
+    decided = spark.createDataFrame([report.first()], report.schema)  # one row per test; the scored rows are not read again
+    log = tables.read("alias_events").filter(F.col("model") == name)
+    events = registry.promote(decided, log).collect()  # at most three rows
+    row = registry.promotion_outcome(decided, log).first()
+    store(tables, spark.createDataFrame([row], report.schema))
+    if events:
+        tables.append("alias_events", spark.createDataFrame(events, registry.ALIAS_EVENTS))
     return AbRun(run_id, row["status"], row["reason"], row)
 
 
-def overlaps_training(tables: RunTables, model: str, versions: list[int], start: float, hash_method: str) -> bool:
-    """Whether a holdout from ``start`` up may hold rows that one of the versions was trained on,
-    by the split that its training run wrote down."""
-    split = (
+def refused(tables: RunTables, run_id: str, test_name: str, now: dt.datetime, status: str, reason: str) -> AbRun:
+    """Stores the record of a test that was not run."""
+    row = [(run_id, test_name, json.dumps({"timestamp": str(now), "test_name": test_name, "status": status, "reason": reason}))]
+    tables.append("reports", tables.spark.createDataFrame(row, "run_id string, test_name string, document string"))
+    return AbRun(run_id, status, reason)
+
+
+def holdout_problem(tables: RunTables, model: str, versions: list[int], holdout: dict[str, str]) -> str | None:
+    """Why a holdout may hold rows that one of the versions was trained on; None if it cannot.
+
+    ``holdout`` is a split record whose end is where the holdout starts. A version's own record must
+    name the same key, salt and hash, and end no later. Without a complete record nothing can be said.
+    """
+    same = " AND ".join(f"max(value) FILTER (WHERE name = '{n}') = {quote(holdout[n])}" for n in ("split_key", "split_salt", "split_hash"))
+    end = "try_cast(max(value) FILTER (WHERE name = 'split_end') AS double)"
+    known = (
         tables.read("versions")
         .filter((F.col("model") == model) & F.col("version").isin(versions))
-        .join(tables.read("params"), "run_id")
-        .agg(
-            F.expr(f"""coalesce(bool_or(name = 'train_share' AND cast(if(name = 'train_share', value, '0') AS double) > {start!r}D
-                                        OR name = 'split_hash' AND value <> '{hash_method}'), false) AS overlaps""")
-        )
+        .select("version", "run_id").join(tables.read("params").filter(F.col("name").startswith("split_")), "run_id", "left")
+        .groupBy("version")
+        .agg(F.count_distinct("name").alias("n"), F.expr(f"coalesce({same}, false)").alias("same"), F.expr(end).alias("end"))
+        .collect()  # one row per version of the test, so two at most
     )
-    return split.first()["overlaps"]
+    if len(known) < len(set(versions)) or any(r["n"] < len(holdout) or r["end"] is None for r in known):
+        return "training split of a model is not recorded"
+    if not all(r["same"] for r in known):
+        return "training split by another key, salt or hash"
+    if any(r["end"] > float(holdout["split_end"]) for r in known):
+        return "holdout overlaps training rows"
+    return None
 
 
 def store(tables: RunTables, report: DataFrame) -> None:
@@ -96,6 +121,6 @@ def store(tables: RunTables, report: DataFrame) -> None:
     metrics = decision.metrics_long(report, ["run_id", "timestamp"])
     tables.append("metrics", metrics.withColumn("step", F.lit(0)).withColumnRenamed("timestamp", "logged_at"))
     tables.append("params", decision.params_long(report, ["run_id"]))
-    documents = decision.document_json(report).withColumn("test_name", F.get_json_object("document", "$.test_name"))
+    documents = decision.document_json(report, ["run_id"]).withColumn("test_name", F.get_json_object("document", "$.test_name"))
     tables.append("reports", documents)
 

@@ -348,8 +348,12 @@ ORACLE: dict[str, str] = {
 SELECT seq AS event_seq, model, 'challenger' AS alias, version, 'set' AS op, 'alias' AS source FROM registered
 UNION ALL
 SELECT seq + 1, model, 'champion', version, 'set', 'alias' FROM registered WHERE n = 0 AND NOT has_champion""",
-    "promotion_status": _MODEL_REPORT + """SELECT model, winner, should_promote,
-       CASE WHEN should_promote THEN 'success' ELSE 'not_promoted' END AS promotion_status FROM r""",
+    "promotion_status": _MODEL_REPORT.rstrip() + """,
+able AS (SELECT DISTINCT r.model FROM r JOIN ends ON r.model = ends.model
+         JOIN resolved chal ON chal.model = r.model AND chal.alias = 'challenger' WHERE should_promote)
+SELECT r.model, winner, should_promote,
+       CASE WHEN NOT should_promote THEN 'not_promoted' WHEN able.model IS NULL THEN 'failed' ELSE 'success' END AS promotion_status
+FROM r LEFT JOIN able ON r.model = able.model""",
     "promote": _MODEL_REPORT.rstrip() + """,
 now AS (
   SELECT r.model, last_seq, champ.version AS champion, chal.version AS challenger
@@ -393,7 +397,12 @@ vals AS (SELECT rep, ab_group, sum(p * low_n) / nullif(sum(p) * sum(n), 0) AS va
 z AS (SELECT s.ab_group, s.factor, s.segment, s.accuracy, s.accuracy - t.accuracy AS gap, {two_proportion(
         '(s.tp + s.tn)', 's.sample_size', '(t.tp + t.tn - s.tp - s.tn)', '(t.sample_size - s.sample_size)')} AS z
       FROM m s JOIN m t ON s.ab_group = t.ab_group AND t.factor = '(all)' WHERE s.factor <> '(all)')
-SELECT ab_group, factor, segment, {r6('accuracy', 'accuracy')}, {r6('gap', 'accuracy_gap')}, {r6('z', 'z')}, {r6(p_value('z'), 'p_value')},
-       abs(z) > {Z_95!r} AS biased FROM z""",
+SELECT ab_group, factor, segment, {r6('accuracy', 'accuracy')}, {r6('gap', 'accuracy_gap')}, {r6('z', 'z')}, {r6('p', 'p_value')},
+       {r6('q', 'q_value')}, coalesce(q <= 0.05, false) AS biased
+FROM (SELECT *, CASE WHEN p IS NOT NULL THEN least(1.0, min(p * m / r) OVER (PARTITION BY ab_group ORDER BY p DESC)) END AS q
+      FROM (SELECT *, count(p) OVER (PARTITION BY ab_group) AS m, nullif(count(p) OVER (PARTITION BY ab_group ORDER BY p), 0) AS r
+            FROM (SELECT *, {p_value('z')} AS p FROM z)))""",
+    # no transaction can be in both parts, whatever the hash
+    "holdout_leak_check": "SELECT count(*) - count(o_orderkey) AS common_rows FROM orders",
     "model_round_trip": "SELECT 1::BIGINT AS version, count(*) AS rows, 0::BIGINT AS changed FROM orders",
 }

@@ -16,7 +16,7 @@ from duelist.plans.training import register_run
 from duelist.sources.runs import RunTables, load_by_alias, save_model
 from duelist.sources.session import shared_dir
 from duelist.sources.tables import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA, read_csv, write_csv
-from duelist.streaming.scored_log import append_new, scored_rows
+from duelist.streaming.scored_log import append_new, scored_rows, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -311,8 +311,7 @@ def ab_report_by_period(spark, sf_dir):
 def period_report_incremental(spark, sf_dir):
     """The same report from a log that a stream of the events keeps up to date."""
     root = work_dir(spark, "log")
-    schema = fx.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = table_stream(spark, f"{sf_dir}/events.parquet", fx.table(spark, sf_dir, "events").schema)
     rows = events.select("event_id", "ts", (F.col("event_type") == "error").cast("int").alias("is_error"))
     scored = scored_rows(rows, "event_id", "ts", "is_error", *fx.rule_models("event_id", "is_error"))
     append_new(scored, f"{root}/rows", f"{root}/checkpoint")
@@ -320,6 +319,15 @@ def period_report_incremental(spark, sf_dir):
     return _report(decision.ab_report(log, "is_error", ["period_start"]), "period_start")
 
 
+@query
+def holdout_leak_check(spark, sf_dir):
+    """Keys of the jobs' default training part that are also in the default holdout: none."""
+    tx = fx.transactions(spark, sf_dir).select("tx_id")
+    train, _ = sampling.train_test(tx, "tx_id", method="xxhash64")
+    held_out = sampling.ab_holdout(tx, "tx_id", method="xxhash64")
+    return held_out.join(train, "tx_id", "left_semi").agg(F.count("*").alias("common_rows"))
+
+
 # --- versions and aliases ----------------------------------------------------------------
 
 
@@ -358,7 +366,9 @@ def _model_decisions(spark, sf_dir):
 
 @query
 def promotion_status(spark, sf_dir):
-    return _model_decisions(spark, sf_dir).select("model", "winner", "should_promote", "promotion_status")
+    """What became of every test; some winners have lost their challenger alias meanwhile."""
+    outcome = registry.promotion_outcome(_model_decisions(spark, sf_dir), fx.alias_log(spark, sf_dir))
+    return outcome.select("model", "winner", "should_promote", "promotion_status")
 
 
 @query
@@ -390,13 +400,13 @@ SUMMARY = ["mean", "sd", "low", "high", "share_positive"]
 
 @query
 def bootstrap_accuracy(spark, sf_dir):
-    values = bootstrap.bootstrap_accuracy(fx.scored_transactions(spark, sf_dir), "tx_id", LABEL, replicates=50)
+    values = bootstrap.bootstrap_accuracy(fx.scored_transactions(spark, sf_dir), "tx_id", LABEL, replicates=50, units=1000)
     return rounded(bootstrap.summarise(values), *SUMMARY)
 
 
 @query
 def bootstrap_auc(spark, sf_dir):
-    values = bootstrap.bootstrap_auc(fx.scored_transactions(spark, sf_dir), "tx_id", LABEL, replicates=20, units=200)
+    values = bootstrap.bootstrap_auc(fx.scored_transactions(spark, sf_dir), "tx_id", LABEL, replicates=20, units=200, exact=True)
     return rounded(bootstrap.summarise(values), *SUMMARY)
 
 
@@ -416,8 +426,8 @@ def slice_metrics(spark, sf_dir):
 @query
 def slice_bias(spark, sf_dir):
     out = slices.slice_bias(_segment_metrics(spark, sf_dir))
-    return rounded(out.select("ab_group", "factor", "segment", "accuracy", "accuracy_gap", "z", "p_value", "biased"),
-                   "accuracy", "accuracy_gap", "z", "p_value")
+    return rounded(out.select("ab_group", "factor", "segment", "accuracy", "accuracy_gap", "z", "p_value", "q_value", "biased"),
+                   "accuracy", "accuracy_gap", "z", "p_value", "q_value")
 
 
 # --- fitted models -----------------------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from duelist.operators import models, registry
 from duelist.operators.features import feature_columns, select_features
 from duelist.operators.profile import column_profile
-from duelist.operators.sampling import train_test, training_end
+from duelist.operators.sampling import SPLIT_SALT, train_test, training_end
 from duelist.sources.runs import RunTables, save_model
 
 # Names of the logged training metrics and the columns they come from.
@@ -85,7 +85,7 @@ def train_job(
     metrics = {n: row[c] if row else None for n, c in TRAINING_METRICS.items()}
 
     settings = {**({"numTrees": models.NUM_TREES, "maxDepth": models.MAX_DEPTH} if model_type == "rf" else {}), **params}
-    split = [("train_share", repr(training_end(weights, normalise))), ("split_hash", hash_method)]
+    split = list(split_record(key, training_end(weights, normalise), hash_method).items())
     pairs = [("run_name", name), *split, *((k, str(v)) for k, v in settings.items()), *models.fitted_params(model)]
     tables.append("params", spark.createDataFrame([(run_id, k, v) for k, v in pairs], "run_id string, name string, value string"))
     tables.append(
@@ -102,6 +102,11 @@ def train_job(
     return TrainingRun(run_id, name, model, features, metrics, column_profile(rows), version)
 
 
+def split_record(key: str, end: float, hash_method: str, salt: str = SPLIT_SALT) -> dict[str, str]:
+    """What a later test must know to keep its rows apart from the training rows: which part of which hash."""
+    return {"split_key": key, "split_salt": salt, "split_hash": hash_method, "split_start": repr(0.0), "split_end": repr(end)}
+
+
 def register_runs(tables: RunTables, runs: DataFrame) -> DataFrame:
     """Registers any number of runs (model, run_id, path, run_seq); returns the new versions.
 

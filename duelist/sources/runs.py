@@ -17,7 +17,7 @@ from duelist.sources.tables import is_missing
 SCHEMAS = {
     "metrics": "run_id string, name string, value double, step bigint, logged_at timestamp",
     "params": "run_id string, name string, value string",
-    "reports": "test_name string, document string",
+    "reports": "run_id string, test_name string, document string",
     "versions": registry.VERSIONS,
     "alias_events": registry.ALIAS_EVENTS,
 }
@@ -46,10 +46,6 @@ class RunTables:
         columns = self.spark.createDataFrame([], SCHEMAS[table]).columns
         rows.select(*columns).write.mode("append").parquet(self.path(table))
 
-    def write_documents(self, name: str, documents: DataFrame) -> None:
-        """JSON lines, one result record each."""
-        documents.write.mode("append").json(f"{self.root}/{name}")
-
 
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def engine_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     """Settings the plans rely on; on a cluster give about one shuffle partition per 128 MB."""
@@ -42,16 +38,10 @@ def session(app_name: str, conf: dict[str, str] | None = None) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without it: it gets a temporary folder of its own.
-    """
+    """The folder named by ``spark.checkpoint.dir``; in a local session without it, one below the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        _local_dirs[app] = tempfile.mkdtemp(prefix="duelist-")
-    return _local_dirs[app]
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/duelist-work"

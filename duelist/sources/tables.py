@@ -57,8 +57,3 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
-
-
-def is_empty(df: DataFrame) -> bool:
-    """True without rows; stops at the first row found."""
-    return df.isEmpty()

@@ -147,3 +147,13 @@ def test_cells_merge(spark, sf_dir):
     merged = metrics.metrics_from_cells(metrics.merge_cells(parts[0].unionByName(parts[1]), ["ab_group"]), ["ab_group"])
     whole = metrics.group_metrics(scored, ["ab_group"], "tx_fraud")
     assert sorted(merged.collect()) == sorted(whole.collect())
+
+
+def test_raw_margins_spread_over_buckets(spark):
+    from duelist.functions.scores import logit_bucket
+
+    df = spark.range(10_000).selectExpr("cast(id - 5000 AS double) AS score")
+    buckets = df.selectExpr("score", f"{logit_bucket('score')} AS b")
+    assert buckets.select("b").distinct().count() > 2_000
+    out_of_order = buckets.selectExpr("b", "lag(b) OVER (ORDER BY score) AS before").filter("b < before")
+    assert out_of_order.count() == 0

@@ -9,7 +9,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from duelist.operators import features, models, registry
+from duelist.operators import decision, features, models, registry
+from duelist.operators.metrics import group_metrics
 from duelist.plans.ab_test import ab_job
 from duelist.plans.training import register_runs, train_job
 from duelist.sources.runs import RunTables, load_by_alias
@@ -71,7 +72,7 @@ def test_each_row_gets_the_model_of_its_group(rows):
         mine = scored.filter(F.col("ab_group") == group).join(want, "tx_id")
         assert mine.filter("s <> score OR p <> prediction").count() == 0
     plan = scored.select("tx_id", "score", "prediction")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Range") == 1 and "CASE WHEN (ab_group" in plan
+    assert plan.count("Range") == 1 and plan.count("UDF") <= 6
 
 
 def test_same_seed_same_forest(rows):
@@ -88,7 +89,7 @@ def test_nulls(rows):
     with pytest.raises(Exception, match="null"):
         models.fit(holes, FEATURES, "tx_fraud", "lr")
     skipped = models.score_table(models.fit(holes, FEATURES, "tx_fraud", "lr", on_null="skip"), holes)
-    assert skipped.count() == 3600
+    assert skipped.count() == 4000 and skipped.filter("score IS NOT NULL AND prediction IS NOT NULL").count() == 3600
     filled = models.score_table(models.fit(holes, FEATURES, "tx_fraud", "rf", on_null="impute"), holes)
     assert filled.filter("score IS NOT NULL").count() == 4000
     with pytest.raises(ValueError):
@@ -135,7 +136,8 @@ def test_jobs_end_to_end(spark, rows, folder):
 
     refused = ab_job(spark, rows, folder, key="tx_id", weights=[0.6, 0.4])
     assert (refused.status, refused.reason) == ("failed", "holdout overlaps training rows")
-    assert ab_job(spark, rows, folder, hash_method="md5", **options).status == "failed"
+    assert ab_job(spark, rows, folder, hash_method="md5", **options).reason == "training split by another key, salt or hash"
+    assert ab_job(spark, rows, folder, key="day", weights=[0.7, 0.3]).reason == "training split by another key, salt or hash"
 
     test = ab_job(spark, rows, folder, auto_promote=True, **options)
     assert test.status == "ok" and test.report["winner"] == "challenger" and test.report["promotion_status"] == "success"
@@ -147,7 +149,9 @@ def test_jobs_end_to_end(spark, rows, folder):
     assert len({n for r, n in metrics if r == test.run_id}) == 11
     params = {r["name"]: r["value"] for r in tables.read("params").filter(F.col("run_id") == test.run_id).collect()}
     assert params["winner"] == "challenger" and len(params) == 8
-    assert '"promotion_status":"success"' in tables.read("reports").first()["document"]
+    reports = {r["run_id"]: r["document"] for r in tables.read("reports").collect()}
+    assert '"promotion_status":"success"' in reports[test.run_id]
+    assert '"status": "failed"' in reports[refused.run_id] and len(reports) == 6
 
     # the model that lost its challenger alias goes on as champion against the next one
     train_job(spark, rows, folder, model_type="lr", auto_register=True, now=at + dt.timedelta(hours=2), **options)
@@ -155,6 +159,31 @@ def test_jobs_end_to_end(spark, rows, folder):
     assert after.status == "ok" and after.report["promotion_status"] == "not_promoted"
 
 
+def test_models_without_a_recorded_split_are_refused(spark, rows, folder):
+    from duelist.plans.training import register_run
+
+    trained = train_job(spark, rows, folder, key="tx_id", weights=[0.7, 0.3])
+    tables = RunTables(spark, folder)
+    at = dt.datetime(2024, 1, 1)
+    register_run(tables, "unknown", f"{tables.root}/models/{trained.run_id}", "fraud_detection", at)
+    assert ab_job(spark, rows, folder, key="tx_id", weights=[0.7, 0.3]).reason == "training split of a model is not recorded"
+
+
+@pytest.mark.parametrize("on_null", ["error", "skip"])
+def test_rows_need_only_their_own_model(rows, on_null):
+    """A NULL that only the challenger reads costs champion rows nothing."""
+    champion = models.fit(rows, ["amount"], "tx_fraud", "lr")
+    challenger = models.fit(rows, ["amount", "hour"], "tx_fraud", "lr", on_null=on_null)
+    holes = rows.withColumn("hour", F.when(F.col("tx_id") % 5 > 0, F.col("hour")))
+    assigned = holes.withColumn("ab_group", F.when(F.col("tx_id") % 2 == 0, "champion").otherwise("challenger"))
+    scored = models.score_groups(assigned, champion, challenger)
+    got = {r["ab_group"]: (r["sample_size"], r["invalid"]) for r in group_metrics(scored, ["ab_group"], "tx_fraud").collect()}
+    assert got == {"champion": (2000, 0), "challenger": (2000, 400)}
+    report = decision.ab_report(scored, "tx_fraud").first()
+    assert report["status"] == "failed" and report["challenger_invalid"] == 400
+    assert decision.ab_report(scored, "tx_fraud", max_invalid_share=0.2).first()["status"] == "ok"
+
+
 def test_empty_holdout_is_a_failure_record(spark, rows, folder):
     train_job(spark, rows, folder, key="tx_id", weights=[0.7, 0.3], auto_register=True)
     run = ab_job(spark, rows.limit(0), folder, key="tx_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from duelist.operators import registry
 from duelist.plans import fixtures
 
@@ -123,3 +124,30 @@ def test_has_alias(spark):
 def test_one_version_per_alias(spark, sf_dir):
     resolved = registry.resolve(fixtures.alias_log(spark, sf_dir))
     assert resolved.count() == resolved.select("model", "alias").distinct().count() > 0
+
+
+def test_registration_rejects_nulls_and_takes_a_run_once(spark):
+    rows = [("a", "r1", "p", 1), (None, "r2", "p", 2), ("a", "r3", "p", None), ("b", "r4", "p", 5), ("b", "r4", "p", 6)]
+    empty = log(spark, [])
+    for k in (1, 2):
+        with pytest.raises(Exception, match="must not be NULL"):
+            registry.register(runs(spark, [rows[0], rows[k]]), versions(spark), empty).collect()
+    new = registry.register(runs(spark, [rows[0], *rows[3:]]), versions(spark), empty)
+    assert sorted((r["model"], r["version"], r["run_id"], r["created_seq"]) for r in new.collect()) == [("a", 1, "r1", 1), ("b", 1, "r4", 5)]
+    assert {(r["model"], r["alias"]) for r in registry.event_rows(new).collect()} == {
+        (m, a) for m in "ab" for a in ("champion", "challenger")}
+
+
+def test_runs_of_a_hot_model_far_apart_in_time(spark):
+    """More offset buckets than one run of them, so both levels are summed."""
+    df = spark.range(9_000).selectExpr("'hot' AS model", "concat('r', id) AS run_id", "'p' AS path", "id * 3000000 AS run_seq")
+    new = registry.version_rows(registry.register(df, versions(spark), log(spark, [])))
+    assert new.filter("version <> created_seq / 3000000 + 1").count() == 0 and new.count() == 9_000
+
+
+def test_promotion_outcome(spark):
+    events = log(spark, [(1, "m", "champion", 1, "set", "alias"), (2, "m", "challenger", 2, "set", "alias"),
+                         (1, "gone", "champion", 1, "set", "alias"), (1, "lost", "challenger", 1, "set", "alias")])
+    report = spark.createDataFrame([("m", True), ("gone", True), ("lost", False)], "model string, promote boolean")
+    got = {r["model"]: r["promotion_status"] for r in registry.promotion_outcome(report, events).collect()}
+    assert got == {"m": "success", "gone": "failed", "lost": "not_promoted"}

@@ -54,7 +54,7 @@ def test_bootstrap_spread(spark, sf_dir, units):
     scored = fixtures.scored_transactions(spark, sf_dir).cache()
     m = {r["ab_group"]: r for r in metrics.group_metrics(scored, ["ab_group"], "tx_fraud").collect()}
     acc = {r["series"]: r for r in bootstrap.summarise(bootstrap.bootstrap_accuracy(scored, "tx_id", "tx_fraud", 200, units)).collect()}
-    auc = {r["series"]: r for r in bootstrap.summarise(bootstrap.bootstrap_auc(scored, "tx_id", "tx_fraud", 200, units)).collect()}
+    auc = {r["series"]: r for r in bootstrap.summarise(bootstrap.bootstrap_auc(scored, "tx_id", "tx_fraud", 200, units, exact=True)).collect()}
     for group, row in m.items():
         a = row["accuracy"]
         se = math.sqrt(a * (1 - a) / row["sample_size"])
@@ -67,7 +67,35 @@ def test_bootstrap_spread(spark, sf_dir, units):
 
 
 def test_weights_table_is_bounded_by_its_parameters(spark):
-    assert bootstrap._weights(spark, "ab_group", 50, 7).count() == 2 * 50 * 7
+    drawn = bootstrap._weights(spark, "ab_group", 50, 7)
+    assert drawn.count() <= 2 * 50 * 7 and drawn.filter("weight <= 0").count() == 0
+
+
+def test_bootstrap_leaves_out_rows_without_a_label(spark, sf_dir):
+    scored = fixtures.scored_transactions(spark, sf_dir).selectExpr("*", "if(tx_id % 4 = 0, NULL, tx_fraud) AS y")
+    point = {r["ab_group"]: r["accuracy"] for r in metrics.group_metrics(scored, ["ab_group"], "y").collect()}
+    for units in (None, 200):
+        drawn = {r["series"]: r for r in bootstrap.summarise(bootstrap.bootstrap_accuracy(scored, "tx_id", "y", 100, units)).collect()}
+        for group, accuracy in point.items():
+            assert abs(drawn[group]["mean"] - accuracy) < 3 * drawn[group]["sd"] / 10
+    with pytest.raises(ValueError):
+        bootstrap.bootstrap_auc(scored, "tx_id", "y")
+
+
+def test_large_weight_tables_are_not_broadcast(spark, sf_dir, capsys):
+    scored = fixtures.scored_transactions(spark, sf_dir)
+    bootstrap.bootstrap_auc(scored, "tx_id", "tx_fraud", 1000, 1_000_000, bins=50).explain()
+    assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_noise_slices_are_not_called_biased(spark):
+    df = spark.range(80_000).selectExpr(
+        "if(id % 2 = 0, 'champion', 'challenger') AS ab_group", "concat('s', pmod(xxhash64(id), 40)) AS seg",
+        "cast(pmod(xxhash64(id, 1), 2) AS int) AS y", "pmod(xxhash64(id, 2), 1000) / 1000D AS score",
+    ).selectExpr("*", "cast(score > 0.5 AS double) AS prediction")
+    out = slices.slice_bias(slices.slice_metrics(df, "y", ["seg"]))
+    assert out.count() == 80 and out.filter("biased").count() <= 1
+    assert out.filter("q_value < p_value - 1e-12").count() == 0
 
 
 def test_slices_add_up_and_bias_is_found(spark):
