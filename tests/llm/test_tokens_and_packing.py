@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from duelist.llm import best_fit, token_binary
+from duelist.llm.common import tokenizer_path
+from duelist.llm.tokens import Encoder
+
+PATH = tokenizer_path()
+HARD = ["", " ", " a", "a ", "\n", "a\n", "\na", "a\nb c", "a  b", "a \nb", "don't 's it's 's", "tab\tx y", "x<|endoftext|> y", "12 34,5. A.B,",
+        "\x1f \x1f a\x1c b", "é ñ,", "a,b, c..", "日本 語", "﻿ x", "a\r\nb", ".\n.", " .", "ab' c", "a\t \tb c", " a\tb", "a²³, b_c,, x%%% \n", "\n\nq"]
+
+
+@pytest.fixture(scope="module")
+def encode():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_pieces_give_the_ids_of_whole_texts(encode):
+    enc = Encoder(PATH)
+    assert enc.splits
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_batch([*HARD, None])] == [encode(t) for t in [*HARD, None]]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aBé'.,%1 \n\t ²_", max_size=25))
+def test_pieces_give_the_ids_of_any_text(text):
+    enc = test_pieces_give_the_ids_of_any_text.__dict__.setdefault("enc", Encoder(PATH))
+    assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choices(["the", "of", "thonnd,", "erha.\nIn", "ñandú"], k=rng.choice([0, 1, 5, 60, 700, 2500])))) for k in range(120)]
+    return spark.createDataFrame([*rows, (500, None), (500, None), (501, "x  y"), (None, "z")], "doc_id long, text string").repartition(5)
+
+
+def test_shards_round_trip(spark, docs, encode, folder):
+    path = f"{folder}/tokens"
+    token_binary.write(docs, path, PATH, shard_chars=20_000)
+    got = sorted(((r["doc_id"], r["start"], r["n_tokens"], r["c"]) for r in token_binary.read(spark, path).withColumn("c", F.crc32("ids")).collect()), key=lambda r: r[1])
+    expected, start = [], 0
+    for row in sorted(docs.collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0)):
+        ids = [*encode(row["text"]), 0]
+        expected.append((row["doc_id"], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert got == expected
+    assert spark.read.parquet(f"{path}/manifest").count() > 5
+
+    few = token_binary.fetch(spark, path, [3, 77, 500, 9_999]).withColumn("ids", token_binary.as_array("ids"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert sorted((r["doc_id"], r["ids"]) for r in few.collect()) == [(k, [*encode(texts[k]), 0]) for k in (3, 77, 500, 500)]
+    assert token_binary.fetch(spark, path, []).count() == 0
+
+
+def test_empty_table_and_wrong_dictionary(spark, docs, folder):
+    token_binary.write(docs.limit(0), f"{folder}/none", PATH)
+    assert token_binary.read(spark, f"{folder}/none").count() == 0
+    token_binary.write(docs, f"{folder}/some", PATH)
+    spark.createDataFrame([("00" * 16, bytearray(b""), 2, 0)], "hash string, dictionary binary, id_bytes int, end_id int").write.mode(
+        "overwrite").parquet(f"{folder}/some/dictionary")
+    with pytest.raises(ValueError, match="hash"):
+        token_binary.read(spark, f"{folder}/some").count()
+
+
+def simulated(counts, capacity):
+    """Contents of the sequences that a plan describes."""
+    by_length, bins = {}, {}
+    for length, first_rank, first, each, offset in best_fit.plan(counts, capacity):
+        by_length.setdefault(length, []).append((first_rank, first, each, offset))
+    for length, n in counts.items():
+        rows = by_length[length]
+        for k, (rank, first, each, offset) in enumerate(rows):
+            end = rows[k + 1][0] if k + 1 < len(rows) else n
+            for i in range(end - rank):
+                bins.setdefault(first + i // each, []).append((offset + i % each * length, length))
+    return bins
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.data())
+def test_plans_are_gapless_and_fit(data):
+    capacity = data.draw(st.sampled_from([3, 10, 64]))
+    counts = data.draw(st.dictionaries(st.integers(1, capacity), st.integers(1, 30), min_size=1, max_size=20))
+    bins = simulated(counts, capacity)
+    assert sorted(bins) == list(range(len(bins)))
+    for content in bins.values():
+        at = 0
+        for offset, length in sorted(content):
+            assert offset == at
+            at += length
+        assert at <= capacity and sum(3 * n > capacity for _, n in content) <= 2
+
+
+def test_few_sequences_and_a_plan_that_does_not_grow():
+    rng = random.Random(1)
+    counts = {n: rng.randrange(1, 300) for n in range(1, 1025)}
+    needed = -(-sum(n * c for n, c in counts.items()) // 1024)
+    assert len(simulated(counts, 1024)) < 1.02 * needed
+    assert len(best_fit.plan({n: c * 10**6 for n, c in counts.items()}, 1024)) < 5_000
+
+
+def test_packing_equals_brute_force(spark, docs, encode):
+    packed = best_fit.pack(docs, PATH)
+    rows = packed.collect()
+    expected = []
+    for row in docs.collect():
+        ids = [*encode(row["text"]), 2]
+        for k, (start, length) in enumerate(best_fit.cut(len(ids), 1024)):
+            raw = np.array(ids[start : start + length], "<u4").tobytes()
+            expected.append((row["doc_id"], k, start, length, zlib.crc32(raw), raw))
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"], bytes(r["ids"])) for r in rows), key=key) == sorted(expected, key=key)
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for content in bins.values():
+        at = 0
+        for offset, length in sorted(content):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    total = sum(r["length"] for r in rows)
+    assert len(bins) <= 1.1 * total / 1024 + 1
+    assert best_fit.sequences(packed).agg(F.sum(F.length("ids"))).first()[0] == 4 * total
+    assert best_fit.pack(docs.limit(0), PATH).count() == 0
