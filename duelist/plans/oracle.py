@@ -254,6 +254,13 @@ _PERIOD = (
     + f"SELECT period_start, {REPORT_SELECT} FROM r"
 )
 _MANY_REPORT = with_(TX, MANY, report("many", ["test"]))
+_MODEL_ROWS = with_(TX, WIDE, f"""labelled AS (
+  SELECT tx_id, CAST(tx_amount / 500000.0 + acct_bal / 20000.0 + {u('tx_id', repr('noise'))} / 2.0 > 0.9 AS INTEGER) AS y,
+         CASE WHEN {u('tx_id', repr('ab_test'))} < 0.5 THEN 'challenger' ELSE 'champion' END AS ab_group FROM wide)""")
+# a challenger row without a balance is not scored
+_USED = "(ab_group = 'champion' OR tx_id % 5 <> 0)"
+_HOLDOUT = """SELECT count(*) AS sample_size, sum(y)::BIGINT AS positives, sum(1 - y)::BIGINT AS negatives, 0::BIGINT AS invalid,
+       true AS auc_as_mllib, true AS accuracy_as_mllib, true AS f1_weighted_as_mllib, true AS auc_above_floor"""
 _STAMP = "'2001-08-01 00:00:00'"
 _SLICES = with_(
     TX, WIDE, scored("wide"),
@@ -402,6 +409,19 @@ SELECT ab_group, factor, segment, {r6('accuracy', 'accuracy')}, {r6('gap', 'accu
 FROM (SELECT *, CASE WHEN p IS NOT NULL THEN least(1.0, min(p * m / r) OVER (PARTITION BY ab_group ORDER BY p DESC)) END AS q
       FROM (SELECT *, count(p) OVER (PARTITION BY ab_group) AS m, nullif(count(p) OVER (PARTITION BY ab_group ORDER BY p), 0) AS r
             FROM (SELECT *, {p_value('z')} AS p FROM z)))""",
+    **{name: _MODEL_ROWS + _HOLDOUT + extra + f" FROM labelled WHERE {u('tx_id', repr('42'))} >= 0.8" for name, extra in (
+        ("train_rf", ", true AS metrics_stored"), ("train_lr", ""), ("train_cv", ""))},
+    "model_params": """SELECT * FROM (VALUES
+  ('rf', 'model_type', 'RandomForestClassificationModel'), ('rf', 'best_numTrees', '10'), ('rf', 'best_maxDepth', '5'), ('rf', 'seed', '42'),
+  ('rf', 'weight_tx_amount', 'used'), ('rf', 'weight_acct_bal', 'used'),
+  ('lr', 'model_type', 'LogisticRegressionModel'), ('lr', 'best_regParam', '0.0'), ('lr', 'best_maxIter', '100'),
+  ('lr', 'weight_tx_amount', 'used'), ('lr', 'weight_acct_bal', 'used')) AS p(run_id, name, value)""",
+    "score_champion_challenger": _MODEL_ROWS + """SELECT tx_id, ab_group, ab_group = 'champion' OR tx_id % 5 <> 0 AS scored,
+       true AS in_range, true AS prediction_follows FROM labelled""",
+    "ab_report_rf": _MODEL_ROWS + "SELECT " + ", ".join(
+        f"count(*) FILTER ({g} AND {c}) AS {name}_{n}" for name, g in (("champion", "ab_group = 'champion'"), ("challenger", "ab_group = 'challenger'"))
+        for n, c in (("sample_size", "true"), ("invalid", f"NOT ({_USED})"), ("positives", f"{_USED} AND y = 1"), ("negatives", f"{_USED} AND y = 0"))
+    ) + ", 'challenger' AS winner, 'ok' AS status FROM labelled",
     # no transaction can be in both parts, whatever the hash
     "holdout_leak_check": "SELECT count(*) - count(o_orderkey) AS common_rows FROM orders",
     "model_round_trip": "SELECT 1::BIGINT AS version, count(*) AS rows, 0::BIGINT AS changed FROM orders",

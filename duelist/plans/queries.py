@@ -6,13 +6,15 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duelist.functions.hashing import hash_sql, quote
 from duelist.operators import bootstrap, decision, features, metrics, models, profile, registry, sampling, significance, slices
 from duelist.plans import fixtures as fx
 from duelist.plans.periodic import report_by_period
-from duelist.plans.training import register_run
+from duelist.plans.training import register_run, train_job
 from duelist.sources.runs import RunTables, load_by_alias, save_model
 from duelist.sources.session import shared_dir
 from duelist.sources.tables import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA, read_csv, write_csv
@@ -436,65 +438,95 @@ MODEL_FEATURES = ["tx_amount", "acct_bal"]
 
 
 def _model_rows(spark, sf_dir):
-    """Key, features and label, joined once and written: a fit reads its rows several times."""
+    """Key, features and a label that follows the features with noise; joined once and written, since a fit reads
+    its rows several times."""
     path = work_dir(spark, "model-rows")
-    rows = fx.customer_transactions(spark, sf_dir)
+    noise = hash_sql("tx_id", quote("noise"))
+    rows = fx.customer_transactions(spark, sf_dir).withColumn(
+        LABEL, F.expr(f"cast(tx_amount / 500000D + acct_bal / 20000D + {noise} / 2D > 0.9D AS int)"))
     features.select_features(rows, LABEL, "tx_timestamp", TX_EXCLUDE, keep=("tx_id",)).write.parquet(path)
     return spark.read.parquet(path)
 
 
+MODEL_WEIGHTS = [0.8, 0.2]
+AUC_FLOOR = 0.8
+
+
 def _train_test(rows):
-    return sampling.train_test(rows, "tx_id", [0.8, 0.2])
+    return sampling.train_test(rows, "tx_id", MODEL_WEIGHTS)
 
 
 def _fit(rows, model_type, **options):
     return models.fit(_train_test(rows)[0], MODEL_FEATURES, LABEL, model_type, **options)
 
 
+def _checked(model, test):
+    """Holdout size and classes, and whether the metrics are those of MLlib's own evaluators."""
+    scored = model.transform(test)
+    theirs = {"auc": BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="probability", numBins=0).evaluate(scored)}
+    for ours, name in (("accuracy", "accuracy"), ("f1_weighted", "f1")):
+        theirs[ours] = MulticlassClassificationEvaluator(labelCol=LABEL, metricName=name).evaluate(scored)
+    return models.holdout_metrics(model, test, LABEL).selectExpr(
+        "sample_size", "positives", "negatives", "invalid",
+        *(f"abs({n} - {v!r}D) < 1e-9 AS {n}_as_mllib" for n, v in theirs.items()), f"auc > {AUC_FLOOR}D AS auc_above_floor")
+
+
 @query
 def train_rf(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
-    return models.holdout_metrics(_fit(rows, "rf"), _train_test(rows)[1], LABEL)
+    """A whole training job; its stored metrics are compared with the model's."""
+    rows, root = _model_rows(spark, sf_dir).withColumn("tx_timestamp", F.lit("")), work_dir(spark, "runs")
+    run = train_job(spark, rows, root, key="tx_id", weights=MODEL_WEIGHTS, hash_method="md5")
+    stored = {r["name"]: r["value"] for r in RunTables(spark, root).read("metrics").filter(F.col("run_id") == run.run_id).collect()}
+    return _checked(run.model, _train_test(rows)[1]).withColumn("metrics_stored", F.lit(stored == run.metrics))
 
 
 @query
 def train_lr(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)
-    return models.holdout_metrics(_fit(rows, "lr"), _train_test(rows)[1], LABEL)
+    return _checked(_fit(rows, "lr"), _train_test(rows)[1])
 
 
 @query
 def train_cv(spark, sf_dir):
     train, test = _train_test(_model_rows(spark, sf_dir))
     tuned = models.fit_tuned(train, MODEL_FEATURES, LABEL, "tx_id", grid={"maxDepth": [2, 5]}, folds=2)
-    return models.holdout_metrics(tuned.bestModel, test, LABEL)
+    return _checked(tuned.bestModel, test)
 
 
 @query
 def model_params(spark, sf_dir):
+    """Parameters of both kinds of model; of weights only whether the model uses the feature."""
     tables, rows = RunTables(spark, work_dir(spark, "runs")), _model_rows(spark, sf_dir)
     for kind in ("rf", "lr"):
         model = _fit(rows, kind)
         pairs = [(kind, name, value) for name, value in models.fitted_params(model)]
-        pairs += [(kind, f"weight_{f}", repr(w)) for f, w in models.feature_importance(model, MODEL_FEATURES)]
+        pairs += [(kind, f"weight_{f}", "used" if w else "unused") for f, w in models.feature_importance(model, MODEL_FEATURES)]
         tables.append("params", spark.createDataFrame(pairs, "run_id string, name string, value string"))
     return tables.read("params")
 
 
 def _champion_challenger(spark, sf_dir):
+    """Champion without the balance, challenger with it; a fifth of the rows have no balance when tested."""
     rows = _model_rows(spark, sf_dir)
-    assigned = sampling.assign_group(rows, "tx_id", fx.TEST_NAME)
-    return models.score_groups(assigned, _fit(rows, "rf"), _fit(rows, "lr"))
+    champion = models.fit(_train_test(rows)[0], ["tx_amount"], LABEL, "rf")
+    holes = rows.withColumn("acct_bal", F.expr("if(tx_id % 5 = 0, NULL, acct_bal)"))
+    assigned = sampling.assign_group(holes, "tx_id", fx.TEST_NAME)
+    return models.score_groups(assigned, champion, _fit(rows, "lr"))
 
 
 @query
 def score_champion_challenger(spark, sf_dir):
-    return _champion_challenger(spark, sf_dir).select("tx_id", "ab_group", "score", "prediction")
+    """Champion rows are all scored, whatever the challenger needs."""
+    return _champion_challenger(spark, sf_dir).selectExpr(
+        "tx_id", "ab_group", "score IS NOT NULL AS scored", "coalesce(score BETWEEN 0 AND 1, true) AS in_range",
+        "prediction <=> cast(score > 0.5 AS double) AS prediction_follows")
 
 
 @query
 def ab_report_rf(spark, sf_dir):
-    return decision.ab_report(_champion_challenger(spark, sf_dir), LABEL).select(*REPORT_COLUMNS)
+    report = decision.ab_report(_champion_challenger(spark, sf_dir), LABEL, max_invalid_share=0.2)
+    sides = [f"{g}_{c}" for g in ("champion", "challenger") for c in ("sample_size", "invalid", "positives", "negatives")]
+    return report.select(*sides, "winner", "status")
 
 
 @query
