@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duelist.llm.common import importable, staged
-from duelist.llm.tokens import encoder
+from duelist.llm.tokens import encoded_texts, encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -51,8 +51,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         for batch in batches:
             rows: list[tuple] = []
             held = 0
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(enc.ids(value.as_py()).astype("<u4"), np.array([end_id], "<u4"))
+            for key, raw_ids in zip(batch.column(0).to_pylist(), encoded_texts(enc, batch.column(1))):
+                ids = np.append(np.frombuffer(raw_ids, enc.dtype).astype("<u4"), np.array([end_id], "<u4"))
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
                     raw = ids[start : start + length].tobytes()
                     rows.append((key, k, start, length, zlib.crc32(raw), raw, part, int(seen[length])))

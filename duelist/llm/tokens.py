@@ -4,35 +4,50 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 400_000
-
-_TWO_SPACES = re.compile(r"\s\s")
-
-
-class _Cache(dict):
-    """Ids of text pieces as bytes. Of two generations of bounded size the older one is dropped when the younger
-    is full; what is still in use moves over."""
-
-    def __init__(self, encode, lead: str):
-        self.encode, self.lead, self.older = encode, lead, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.older = dict(self)
-            self.clear()
-        if (known := self.older.get(piece)) is not None:
-            self[piece] = known
-            return known
-        if len(piece) > 1 and piece[-1] in ".," and piece[:-1].isalpha():
-            ids = self[piece[:-1]] + self.encode(piece[-1])
-        else:
-            ids = self.encode(self.lead + piece)
-        self[piece] = ids
-        return ids
+CACHE_ENTRIES = 500_000
+BATCH = 500
+TOGETHER = 1_000
+
+#: A word and the marks behind it, which a byte-level tokenizer always splits.
+_MARKED = re.compile(r"(\n?[^\W_]+)([^\w\s]+)")
+
+
+class _Pieces:
+    """Ids of text pieces as bytes, in ``known``. Of two generations of bounded size the older one is dropped when the
+    younger is full; what is still in use moves over. Pieces with white space inside are never kept."""
+
+    def __init__(self, encode_all):
+        self.encode_all, self.known, self.older = encode_all, {}, {}
+
+    def learn(self, wanted: set[str]) -> None:
+        """Adds what is not known yet, in one go."""
+        if len(self.known) >= CACHE_ENTRIES:
+            self.known, self.older = {}, self.known
+        wanted = wanted.difference(self.known)
+        again = {p: self.older[p] for p in wanted if p in self.older}
+        self.known.update(again)
+        plain, marked = [], []
+        for piece in wanted.difference(again):
+            body = piece[1:] if piece[:1] == "\n" else piece
+            if body.split() == [body]:
+                if found := _MARKED.fullmatch(piece):
+                    marked.append((piece, *found.groups()))
+                else:
+                    plain.append(piece)
+        words = list({w for _, w, _ in marked}.union(plain))
+        ids = dict(zip(words, self.encode_all(words)))
+        marks = list({m for _, _, m in marked})
+        ends = dict(zip(marks, self.encode_all(marks, "")))
+        self.known.update(ids)
+        self.known.update((piece, ids[word] + ends[mark]) for piece, word, mark in marked)
 
 
 class Encoder:
@@ -40,8 +55,8 @@ class Encoder:
 
     A byte-level tokenizer without a normalizer splits a text before it merges: a space or line end
     between two other characters always starts a new split. Such texts are cut there and every
-    different piece is encoded once per task. Texts with white space in a row, and other kinds of tokenizer,
-    go through the tokenizer whole. Both ways give the same ids. Strings of special tokens are ordinary text.
+    different piece is encoded once per task. Texts with other white space, or several in a row, and other kinds
+    of tokenizer go through the tokenizer whole. Both ways give the same ids. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -56,28 +71,52 @@ class Encoder:
             and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
         )
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
-        self.line_start, self.spaced = _Cache(self._whole, ""), _Cache(self._whole, " ")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.line_end = self._whole("\n")
+        self.splits &= len(self.line_end) == self.dtype.itemsize
+        self.pieces = _Pieces(self._many)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        # without offsets, which nobody needs here
+        ids = array(self.code, self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _many(self, pieces: list[str], lead: str = " ") -> list[bytes]:
+        """Ids of each piece behind ``lead``, or behind a line end where it has its own; many pieces as lines of one text."""
+        spaced = [p for p in pieces if p[0] != "\n"]
+        own = [p for p in pieces if p[0] == "\n"]
+        done: dict[str, bytes] = {}
+        for group, start, lines in ((spaced, b"", [lead + p for p in spaced]), (own, self.line_end, [p[1:] for p in own])):
+            for k in range(0, len(group), TOGETHER):
+                raw = self._whole("\n".join(lines[k : k + TOGETHER]))
+                cut = np.flatnonzero(np.frombuffer(raw, self.dtype) == np.frombuffer(self.line_end, self.dtype)[0])
+                size = self.dtype.itemsize
+                begins, ends = [0, *(cut * size + size).tolist()], [*(cut * size).tolist(), len(raw)]
+                done.update((p, start + raw[b:e]) for p, b, e in zip(group[k : k + TOGETHER], begins, ends, strict=True))
+        return [done[p] for p in pieces]
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        out: list[bytes] = []
+        for k in range(0, len(texts), BATCH):
+            some = [t or "" for t in texts[k : k + BATCH]]
+            if not self.splits:
+                out += map(self._whole, some)
+                continue
+            # the first piece of a text has no space before it: it counts as behind a line end, which is cut off
+            parts = [("\n" + t).replace("\n", " \n").split(" ")[1:] for t in some]
+            self.pieces.learn(set().union(*parts))
+            known, width = self.pieces.known.__getitem__, self.dtype.itemsize
+            for text, own in zip(some, parts):
+                try:
+                    out.append(b"".join(map(known, own))[width:] if text else b"")
+                except KeyError:
+                    out.append(self._whole(text))
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.splits or _TWO_SPACES.search(text):
-            return self._whole(text)
-        out, spaced = [], self.spaced
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append(self.line_start["\n"])
-            first, *rest = line.split(" ")
-            if first:
-                out.append(self.line_start[first])
-            out += map(spaced.__getitem__, rest)
-        return b"".join(out)
-
-    def ids(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(self.encode(text), self.dtype)
+        return self.encode_batch([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -88,3 +127,9 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def encoded_texts(enc: Encoder, texts: pa.Array) -> Iterator[bytes]:
+    """Ids of the texts of an Arrow column, a few hundred texts in memory at a time."""
+    for k in range(0, len(texts), BATCH):
+        yield from enc.encode_batch(texts.slice(k, BATCH).to_pylist())
