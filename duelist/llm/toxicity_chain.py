@@ -5,7 +5,7 @@ take endings). A later model also sees the log odds that the earlier ones give.
 scored by a model that has not seen them, so a later model learns to trust its predecessors only as far as they
 carry over to new texts. In use the models trained on all rows take their place.
 
-Training reads a bounded sample of labelled rows, ``MAX_TRAIN`` by smallest hash of the id; folds are hashes as
+Training reads a bounded sample of labelled rows, about ``MAX_TRAIN``, those with the smallest hash of the id; folds are hashes as
 well, so nothing depends on row order. The vocabulary is what occurs in ``MIN_TEXTS`` texts of the sample; an L1
 penalty leaves a few hundred weights that matter. Fitting and scoring run as Spark ML jobs; every text is scored whole.
 """
@@ -89,7 +89,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     words. Without labelled rows, or with labels of one class, a category is that constant (0 without rows)."""
     known = labels.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in categories)).groupBy(doc_id).agg(
         *(F.max(c).cast("double").alias(c) for c in categories))
-    sample = known.orderBy(F.xxhash64(doc_id), doc_id).limit(max_train).select(F.col(doc_id).alias("_id"), *categories)
+    share = min(1.0, max_train / max(known.count(), 1))
+    chosen = F.pmod(F.xxhash64(doc_id), F.lit(1 << 40)) < int(share * (1 << 40))
+    sample = known.filter(chosen).select(F.col(doc_id).alias("_id"), *categories)
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(sample, "_id")
     rows = staged(texts.select("_id", *categories, F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)).alias("_fold"),
                                plain_words(F.col("_text")).alias("_plain")).withColumn("_tokens", _tokens("_plain")).drop("_plain"),
