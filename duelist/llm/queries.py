@@ -31,25 +31,25 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = f"""
 WITH lines AS (
-  SELECT doc_id, i - 1 AS at, trim(a[i], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS l
+  SELECT doc_id, i - 1 AS pos, trim(a[i], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS l
   FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i
         FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL))
 ), numbered AS (
-  SELECT doc_id, at, l, count(*) OVER d AS n, row_number() OVER o AS r, lead(l, 1) OVER o AS l2, lead(l, 2) OVER o AS l3,
-         lead(at, 1) OVER o AS at2, lead(at, 2) OVER o AS at3
-  FROM lines WHERE l <> '' WINDOW d AS (PARTITION BY doc_id), o AS (PARTITION BY doc_id ORDER BY at)
+  SELECT doc_id, pos, l, count(*) OVER d AS n, row_number() OVER o AS r, lead(l, 1) OVER o AS l2, lead(l, 2) OVER o AS l3,
+         lead(pos, 1) OVER o AS pos2, lead(pos, 2) OVER o AS pos3
+  FROM lines WHERE l <> '' WINDOW d AS (PARTITION BY doc_id), o AS (PARTITION BY doc_id ORDER BY pos)
 ), windows AS (
-  SELECT doc_id, at, at3 AS until, [l, l2, l3] AS k FROM numbered WHERE n >= 3 AND r <= n - 2
-  UNION ALL SELECT doc_id, at, at2, [l, l2] FROM numbered WHERE n = 2 AND r = 1
-  UNION ALL SELECT doc_id, at, at, [l] FROM numbered WHERE n = 1 OR length(l) > {line_dedup.LONG_LINE}
+  SELECT doc_id, pos, pos3 AS until, [l, l2, l3] AS k FROM numbered WHERE n >= 3 AND r <= n - 2
+  UNION ALL SELECT doc_id, pos, pos2, [l, l2] FROM numbered WHERE n = 2 AND r = 1
+  UNION ALL SELECT doc_id, pos, pos, [l] FROM numbered WHERE n = 1 OR length(l) > {line_dedup.LONG_LINE}
 ), later AS (
-  SELECT doc_id, unnest(range(at, until + 1)) AS line
-  FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, at) AS r FROM windows) WHERE r > 1
+  SELECT doc_id, unnest(range(pos, until + 1)) AS line
+  FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) AS r FROM windows) WHERE r > 1
 ), cut AS (SELECT doc_id, list_sort(list(DISTINCT line)) AS gone FROM later GROUP BY doc_id)
 SELECT doc_id,
-       CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transform(
-         list_filter(range(0, len(string_split(text, chr(10)))), i -> NOT list_contains(gone, i)),
-         i -> string_split(text, chr(10))[i + 1]), chr(10)) END AS text,
+       CASE WHEN gone IS NULL THEN text ELSE array_to_string(
+         [string_split(text, chr(10))[i + 1] FOR i IN range(0, len(string_split(text, chr(10)))) IF NOT list_contains(gone, i)], chr(10))
+       END AS text,
        coalesce(array_to_string(gone, ','), '') AS removed_lines
 FROM documents LEFT JOIN cut USING (doc_id)
 """
