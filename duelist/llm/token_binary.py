@@ -27,13 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelist.llm.common import importable
-from duelist.llm.tokens import encoder
+from duelist.llm.tokens import encoded_texts, encoder
 
 END_ID = 0
 LEVEL = 3
 SHARD_CHARS = 16_000_000
 DICTIONARY_BYTES = 64 * 1024
-#: The dictionary is trained on this many documents of at most so many characters, those with the smallest hash of
+#: The dictionary is trained on about so many documents of at most so many characters, those with the smallest hash of
 #: their id. It changes sizes only; what is read back never depends on it.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 1_000, 8_192
 
@@ -47,15 +47,16 @@ def dictionary_hash(data: bytes) -> bytes:
     return hashlib.sha256(data).digest()[:16]
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id") -> bytes:
-    """A dictionary from the bounded sample above; empty if there is too little to train on."""
+def train_dictionary(docs: DataFrame, tokenizer: str, n: int) -> bytes:
+    """A dictionary from the bounded sample above, out of ``n`` short documents; empty if there is too little to train on."""
+    share = min(1.0, SAMPLE_DOCUMENTS / max(n, 1))
     sample = (
-        docs.filter(F.length(text).between(1, SAMPLE_CHARS))
-        .orderBy(F.xxhash64(doc_id), F.xxhash64(text)).limit(SAMPLE_DOCUMENTS).select(text)
+        docs.filter(F.length("text").between(1, SAMPLE_CHARS))
+        .filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < int(share * (1 << 40)))
+        .select("text").limit(2 * SAMPLE_DOCUMENTS)
     )
-    enc = encoder(tokenizer)
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, [enc.encode(r[0]) for r in sample.collect()]).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, encoder(tokenizer).encode_batch(sorted(r[0] for r in sample.collect()))).as_bytes()
     except zstandard.ZstdError:
         return b""
 
@@ -74,18 +75,18 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, text
     """
     spark = docs.sparkSession
     narrow = importable(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    dictionary = train_dictionary(narrow, tokenizer)
-    enc = encoder(tokenizer)
-    width = enc.dtype.itemsize
-    chars = narrow.agg(F.sum(F.length("text"))).first()[0] or 0
+    sizes = narrow.agg(F.sum(F.length("text")).alias("chars"), F.count_if(F.length("text").between(1, SAMPLE_CHARS)).alias("short")).first()
+    chars = sizes["chars"] or 0
+    dictionary = train_dictionary(narrow, tokenizer, sizes["short"])
+    width = encoder(tokenizer).dtype.itemsize
     digest = dictionary_hash(dictionary)
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, codec = encoder(tokenizer), zstandard.ZstdCompressor(level=LEVEL, write_content_size=True, **_codec(dictionary))
         end, index, at, held, size = np.array([end_id], enc.dtype).tobytes(), [], 0, [], 0
         for batch in batches:
-            for key, value in zip(batch.column(0), batch.column(1)):
-                raw = enc.encode(value.as_py()) + end
+            for key, ids in zip(batch.column(0), encoded_texts(enc, batch.column(1))):
+                raw = ids + end
                 frame, key = codec.compress(raw), key.as_py()
                 index.append((key or 0, at, len(frame), len(raw) // width, key is None))
                 held.append(frame)
