@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 350_000
 BATCH = 500
 TOGETHER = 1_000
 
@@ -31,23 +31,34 @@ class _Pieces:
         """Adds what is not known yet, in one go."""
         if len(self.known) >= CACHE_ENTRIES:
             self.known, self.older = {}, self.known
-        wanted = wanted.difference(self.known)
-        again = {p: self.older[p] for p in wanted if p in self.older}
-        self.known.update(again)
-        plain, marked = [], []
-        for piece in wanted.difference(again):
-            body = piece[1:] if piece[:1] == "\n" else piece
-            if body.split() == [body]:
+        known, older = self.known, self.older
+        spaced, own, marked = [], [], []
+        for piece in wanted.difference(known):
+            if piece in older:
+                known[piece] = older[piece]
+                continue
+            behind_line_end = piece[:1] == "\n"
+            body = piece[1:] if behind_line_end else piece
+            if body.isalnum():
+                (own if behind_line_end else spaced).append(body)
+            elif body.split() == [body]:
                 if found := _MARKED.fullmatch(piece):
                     marked.append((piece, *found.groups()))
                 else:
-                    plain.append(piece)
-        words = list({w for _, w, _ in marked}.union(plain))
-        ids = dict(zip(words, self.encode_all(words)))
-        marks = list({m for _, _, m in marked})
-        ends = dict(zip(marks, self.encode_all(marks, "")))
-        self.known.update(ids)
-        self.known.update((piece, ids[word] + ends[mark]) for piece, word, mark in marked)
+                    (own if behind_line_end else spaced).append(body)
+        for _, word, _ in marked:
+            if word not in known:
+                if word in older:
+                    known[word] = older[word]
+                elif word[0] == "\n":
+                    own.append(word[1:])
+                else:
+                    spaced.append(word)
+        spaced, own, marks = list(set(spaced)), list(set(own)), list({m for _, _, m in marked})
+        known.update(zip(spaced, self.encode_all(spaced, " "), strict=True))
+        known.update(zip(["\n" + w for w in own], self.encode_all(own, "\n"), strict=True))
+        ends = dict(zip(marks, self.encode_all(marks, ""), strict=True))
+        known.update((piece, known[word] + ends[mark]) for piece, word, mark in marked)
 
 
 class Encoder:
@@ -83,19 +94,19 @@ class Encoder:
             ids.byteswap()
         return ids.tobytes()
 
-    def _many(self, pieces: list[str], lead: str = " ") -> list[bytes]:
-        """Ids of each piece behind ``lead``, or behind a line end where it has its own; many pieces as lines of one text."""
-        spaced = [p for p in pieces if p[0] != "\n"]
-        own = [p for p in pieces if p[0] == "\n"]
-        done: dict[str, bytes] = {}
-        for group, start, lines in ((spaced, b"", [lead + p for p in spaced]), (own, self.line_end, [p[1:] for p in own])):
-            for k in range(0, len(group), TOGETHER):
-                raw = self._whole("\n".join(lines[k : k + TOGETHER]))
-                cut = np.flatnonzero(np.frombuffer(raw, self.dtype) == np.frombuffer(self.line_end, self.dtype)[0])
-                size = self.dtype.itemsize
-                begins, ends = [0, *(cut * size + size).tolist()], [*(cut * size).tolist(), len(raw)]
-                done.update((p, start + raw[b:e]) for p, b, e in zip(group[k : k + TOGETHER], begins, ends, strict=True))
-        return [done[p] for p in pieces]
+    def _many(self, words: list[str], lead: str) -> list[bytes]:
+        """Ids of each word behind a space, a line end or nothing; many words as lines of one text."""
+        out: list[bytes] = []
+        size, line_end = self.dtype.itemsize, np.frombuffer(self.line_end, self.dtype)[0]
+        before, start = ("", self.line_end) if lead == "\n" else (lead, b"")
+        for k in range(0, len(words), TOGETHER):
+            raw = self._whole(before + f"\n{before}".join(words[k : k + TOGETHER]))
+            cut = (np.flatnonzero(np.frombuffer(raw, self.dtype) == line_end) * size).tolist()
+            begin = 0
+            for end in [*cut, len(raw)]:
+                out.append(start + raw[begin:end])
+                begin = end + size
+        return out
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
