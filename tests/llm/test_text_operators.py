@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -144,3 +145,41 @@ def test_decontamination_edge_cases(spark):
     assert kept.columns == docs.columns and sorted(r["text_hash"] for r in kept.collect()) == [4, 5]
     assert decontaminate.leaks(docs.limit(0), benchmark).count() == 0
     assert decontaminate.drop_leaks(docs, benchmark.limit(0)).count() == 5
+
+
+def accepted(same):
+    """The diagonal verification on its own: hits of the best-scoring stretch against the number needed."""
+    score = hits = best = found = 0
+    for m in same:
+        score, hits = (score, hits) if score > 0 else (0, 0)
+        score, hits = score + (1 if m else -decontaminate.MISMATCH), hits + m
+        if score > best:
+            best, found = score, hits
+    return found >= min(decontaminate.MIN_MATCHES, -(-len(same) * 8 // 10))
+
+
+def seeded(same):
+    return any(all(same[i + p] for p in mask) for mask in decontaminate.MASKS for i in range(len(same) - mask[-1]))
+
+
+def test_every_period_and_offset_of_changed_words_has_a_seed():
+    cases = [[i % period != offset for i in range(n)]
+             for n in [*range(9, 61), 200] for period in range(4, 13) for offset in range(period)]
+    assert [c for c in cases if accepted(c) and not seeded(c)] == []
+    short = [[i not in gone for i in range(n)] for n in range(9, 16) for k in range(5) for gone in itertools.combinations(range(n), k)]
+    assert [c for c in short if accepted(c) and not seeded(c)] == []
+
+
+def test_periodic_changes_are_found_as_brute_force_accepts_them(spark):
+    items, docs, expected = [], [], {}
+    for n in (9, 10, 15, 38, 59, 200):
+        items.append((n, " ".join(f"i{n}w{k}" for k in range(n))))
+        for period in range(4, 13):
+            for offset in range(period):
+                same = [i % period != offset for i in range(n)]
+                words = [w if m else "changed" for w, m in zip(items[-1][1].split(), same)]
+                docs.append((len(docs), " ".join(["before"] * 20 + words + ["after"] * 20)))
+                if accepted(same):
+                    expected[docs[-1][0]] = [n]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: r["item_ids"] for r in found.collect()} == expected
