@@ -170,8 +170,12 @@ def _block_links(threshold: float, tolerance: float):
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD,
             tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per document: ``doc_id``, ``row_key``, ``class_id`` (smallest doc_id of the connected class), ``n_links``
-    (different shingle sets at or above the threshold) and ``n_copies`` (documents with the same set, itself included).
+    """One row per document: ``doc_id``, ``row_key``, ``class_key`` (its connected class), ``class_id`` (smallest doc_id of
+    the class), ``n_links`` (different shingle sets at or above the threshold) and ``n_copies`` (documents with the same set,
+    itself included).
+
+    Only ``class_key`` tells classes apart: ids may be NULL or shared by unrelated texts, so several classes can have the
+    same ``class_id``. It is the smallest set digest of the class, the same in every run.
 
     Words are lower-case runs of letters and digits. A text of one to four words is one shingle; texts without words
     (NULL, empty) are copies of each other. Repeated rows are copies. NULL ids come into a class but do not name it
@@ -208,18 +212,18 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     named = components(found.selectExpr("v AS a", "root AS b")).join(linked, "v").join(sets.select("v", "first_id"), "v")
     named = staged(named, "jaccard-named")
     lowest = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    joined = named.join(staged(lowest, "jaccard-lowest"), "label").select("v", "class_id", "n_links")
+    joined = named.join(staged(lowest, "jaccard-lowest"), "label").select("v", F.col("label").alias("class_key"), "class_id", "n_links")
     described = staged(sets.select("v", "first_id", "n_copies").join(joined, "v", "left").selectExpr(
-        "v", "coalesce(class_id, first_id) AS class_id", "coalesce(n_links, 0L) AS n_links", "n_copies"), "jaccard-classes")
-    return keys.select("row_key", "doc_id", "v").join(described, "v").select("doc_id", "row_key", "class_id", "n_links", "n_copies")
+        "v", "coalesce(class_key, v) AS class_key", "if(class_key IS NULL, first_id, class_id) AS class_id", "coalesce(n_links, 0L) AS n_links", "n_copies"), "jaccard-classes")
+    return keys.select("row_key", "doc_id", "v").join(described, "v").select("doc_id", "row_key", "class_key", "class_id", "n_links", "n_copies")
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """One document of every class stays, the one with the smallest id; columns as they were."""
+    """One document of every class stays, the one with the smallest id (NULL last), then row key; columns as they were."""
     key = fresh(docs, "row_key")
     kept = (
-        classes(docs, text, doc_id, threshold).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-        .groupBy("class_id").agg(F.min("row_key").alias("_kept")).select("_kept")
+        classes(docs, text, doc_id, threshold).groupBy("class_key")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")).select(F.col("first.row_key").alias("_kept"))
     )
     keyed = docs.withColumn(key, row_key(doc_id, text))
     return keyed.join(kept, keyed[key] == kept["_kept"], "left_semi").dropDuplicates([key]).drop(key)

@@ -83,7 +83,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_copies")
+    return jaccard_join.classes(documents(spark, sf_dir)).select(
+        "doc_id", "class_id", "n_links", "n_copies", F.hex("class_key").alias("class_key"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,19 @@ def test_one_document_of_each_class_stays(spark, near_rows):
     assert jaccard_join.classes(df.limit(0)).count() == 0
 
 
+def test_classes_with_null_or_shared_ids_stay_apart(spark):
+    texts = [" ".join(f"{name}{k}" for k in range(60)) for name in "abcdef"]
+    near = " ".join([*texts[0].split()[:-1], "z"])
+    rows = [(None, texts[0]), (None, near), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]),
+            (8, texts[5]), (None, texts[5]), (None, None), (None, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in jaccard_join.keep_one(df).collect()]
+    assert len(kept) == 8 and ((None, texts[0]) in kept) != ((None, near) in kept)
+    assert set(kept) - {(None, texts[0]), (None, near)} == {
+        (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (None, None), (None, "a b")}
+    assert len({r["class_key"] for r in jaccard_join.classes(df).collect()}) == 8
+
+
 def test_bayes_bounds():
     """Pairs at the threshold are kept, clearly different ones are dropped early."""
     least = dict(jaccard_join.least_matches(0.8, 1e-5))
