@@ -5,6 +5,9 @@ lines of a page and of its neighbour are aligned by their longest common subsequ
 template and are deleted. Page structure comes first where it speaks plainly: scripts, menus, adverts, forms,
 comments and the like are no text, and what stands inside ``<article>`` or ``<main>`` is the article, of which
 differencing may only delete lines that are nothing but links. Articles of a host often share sentences; those stay.
+Classes and ids speak less plainly: they rule out no ``<html>``, ``<body>``, ``<main>`` or ``<article>`` and no element that holds
+the larger part of the text. Where the text outside ``<article>`` and ``<main>`` outweighs the text inside, both are kept, unless
+the page's one ``<h1>`` stands inside.
 
 The neighbour is found without a window over a host: addresses are ranked in one range-sorted table and joined
 with ranks one higher and one lower. Of the neighbour only line hashes travel. Pages are read twice (hashes, then
@@ -37,6 +40,7 @@ NOT_ARTICLE = set(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer masthead menu "
     "modal nav navbar navigation newsletter notice popup promo related share sharing sidebar social sponsor sponsored subscribe widget".split())
 ARTICLE = {"article", "main"}
+NEVER_MARKED = ARTICLE | {"html", "body"}
 #: Pages that share more of their lines are the same page under two addresses.
 SAME_PAGE = 0.8
 
@@ -45,12 +49,16 @@ _PART = re.compile(r"[^a-z0-9]+")
 
 
 class _Lines(HTMLParser):
-    """Blocks of a page in order: text, whether the structure rules it out, whether in an article, whether links only."""
+    """Blocks of a page in order: text, whether the structure rules it out, whether in an article, whether links only,
+    whether a main heading."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = [("", False, False)]  # tag, ruled out, in article
-        self.lines: list[tuple[str, bool, bool, bool]] = []
+        # tag, ruled out, in article, elements around it with a word of NOT_ARTICLE
+        self.open: list[tuple[str, bool, bool, tuple[int, ...]]] = [("", False, False, ())]
+        self.lines: list[tuple[str, bool, bool, bool, bool, tuple[int, ...]]] = []
+        self.marked: list[int] = []  # length of the text in each element with such a word
+        self.total = 0
         self.text: list[str] = []
         self.in_link = 0
         self.plain = False
@@ -58,8 +66,12 @@ class _Lines(HTMLParser):
     def flush(self) -> None:
         line = _SPACE.sub(" ", "".join(self.text)).strip()
         if line:
-            _, out, article = self.open[-1]
-            self.lines.append((line, out, article, not self.plain))
+            tag, out, article, marks = self.open[-1]
+            self.lines.append((line, out, article, not self.plain, tag == "h1", marks))
+            if not out:
+                self.total += len(line)
+                for k in marks:
+                    self.marked[k] += len(line)
         self.text, self.plain = [], False
 
     def handle_starttag(self, tag, attrs):
@@ -73,15 +85,18 @@ class _Lines(HTMLParser):
             self.in_link += 1
         if tag in VOID or (tag not in BLOCKS and tag not in NO_TEXT):
             return
-        _, out, article = self.open[-1]
+        _, out, article, marks = self.open[-1]
         named = {k: (v or "").lower() for k, v in attrs}
-        marks = set(_PART.split(f"{named.get('class', '')} {named.get('id', '')} {named.get('role', '')}"))
+        words = set(_PART.split(f"{named.get('class', '')} {named.get('id', '')} {named.get('role', '')}"))
         out = (
-            out or tag in NO_TEXT or bool(marks & NOT_ARTICLE) or "hidden" in named
+            out or tag in NO_TEXT or "hidden" in named
             or named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "")
             or (tag == "header" and not article)
         )
-        self.open.append((tag, out, article or tag in ARTICLE))
+        if words & NOT_ARTICLE and tag not in NEVER_MARKED:
+            marks = (*marks, len(self.marked))
+            self.marked.append(0)
+        self.open.append((tag, out, article or tag in ARTICLE, marks))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -103,17 +118,19 @@ class _Lines(HTMLParser):
             self.plain = True
 
 
-def page_lines(html: str | None) -> list[tuple[str, bool, bool, bool]]:
+def page_lines(html: str | None) -> list[tuple[str, bool, bool, bool, bool]]:
     if not html:
         return []
     parser = _Lines()
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.lines
+    # an element with the larger part of the text is not beside the article, whatever it is called
+    beside = {k for k, n in enumerate(parser.marked) if 2 * n <= parser.total}
+    return [(line, out or not beside.isdisjoint(marks), *rest) for line, out, *rest, marks in parser.lines]
 
 
-def _hashes(lines: list[tuple[str, bool, bool, bool]]) -> list[int]:
+def _hashes(lines: list[tuple[str, bool, bool, bool, bool]]) -> list[int]:
     return [xxhash.xxh64_intdigest(line[0]) - (1 << 63) for line in lines]
 
 
@@ -151,9 +168,15 @@ def main_text(html: str | None, neighbour: list[int] | None) -> tuple[str, int]:
     common = set(shared(np.array(_hashes(lines), np.int64), np.array(neighbour, np.int64))) if neighbour and lines else set()
     if lines and len(common) > SAME_PAGE * len(lines):
         common = set()  # the same article under another address says nothing about the template
-    has_article = any(article and not out for _, out, article, _ in lines)
-    body = [(k, line) for k, line in enumerate(lines) if not line[1] and line[2] >= has_article]
-    kept = [line[0] for k, line in body if k not in common or (has_article and not line[3])]
+    has_article = any(article and not out for _, out, article, *_ in lines)
+    body = [(k, line) for k, line in enumerate(lines) if not line[1]]
+    kept = [line for k, line in body if k not in common or (line[2] and not line[3])]
+    inside = sum(len(line[0]) for line in kept if line[2])
+    headings = [line[2] for _, line in body if line[4]]
+    if has_article and (headings == [True] or sum(len(line[0]) for line in kept) <= 2 * inside):
+        body = [(k, line) for k, line in body if line[2]]
+        kept = [line for line in kept if line[2]]
+    kept = [line[0] for line in kept]
     return "\n\n".join(kept), len(body) - len(kept)
 
 

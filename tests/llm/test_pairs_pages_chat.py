@@ -111,6 +111,30 @@ def test_longest_common_subsequence():
         assert len(found) == table[-1][-1] and found == sorted(found) and all(a[k] in rest for k in found)
 
 
+LONG = "A sentence of the article that is long enough to outweigh the rest of this page."
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="has-sidebar"><p>{}</p></body>', '<html class="no-sidebar"><body id="menu"><p>{}</p></body></html>',
+    '<article class="post related"><p>{}</p></article>', '<main role="main" class="social"><p>{}</p></main>',
+    '<div id="page" class="cookie-bar-open menu"><p>{}</p><div class="ad">Buy</div></div><div class="footer">Us</div>',
+    '<body class="no-sidebar"><div class="share"><article><p>{}</p></article></div><div class="related">More</div></body>',
+])
+def test_class_words_around_everything_lose_no_text(page):
+    assert html_diff.main_text(page.format(LONG), None) == (LONG, 0)
+
+
+def test_an_article_in_a_div_with_teaser_cards_stays():
+    cards = "<article><p>Teaser one</p></article><article><p>Teaser two</p></article>"
+    page = f"<body><div class='menu'>Home</div><div class='post'><p>{LONG}</p><p>Shared by all pages</p></div>{cards}</body>"
+    other = html_diff._hashes(html_diff.page_lines("<p>Other</p><p>Shared by all pages</p><p>Words</p>"))
+    assert html_diff.main_text(page, other) == (f"{LONG}\n\nTeaser one\n\nTeaser two", 1)
+    # an article that has the page's heading or outweighs what is around it is the text, as before
+    assert html_diff.main_text(f"<p>{LONG}</p><article><h1>Title</h1><p>Short</p></article>", None) == ("Title\n\nShort", 0)
+    assert html_diff.main_text(f"<div>Around</div><article><p>{LONG}</p></article>", None) == (LONG, 0)
+    assert html_diff.main_text(f"<div class='ad'>Buy</div><p>{LONG}</p>", None) == (LONG, 0)
+
+
 def test_articles_of_the_test_pages(spark, sf_dir):
     import html
 
