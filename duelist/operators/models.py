@@ -8,10 +8,11 @@ from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, ProbabilisticClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 from duelist.functions.hashing import unit_hash
 from duelist.operators.decision import CHALLENGER
@@ -124,6 +125,17 @@ def _columns(df: DataFrame) -> list[str]:
     return [f"`{c}`" for c in df.columns]
 
 
+def _assembled(stage: VectorAssembler, df: DataFrame) -> DataFrame:
+    """The stage's vector, NULLs as NaN. MLlib's own assembler is a function that the optimizer must not move;
+    for plain numbers this form says the same and can go into a branch."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    inputs = stage.getInputCols()
+    if not all(isinstance(kinds.get(c), (NumericType, BooleanType)) for c in inputs):
+        return stage.copy({stage.handleInvalid: "keep"}).transform(df)
+    values = ", ".join(f"coalesce(cast(`{c}` AS double), double('NaN'))" for c in inputs)
+    return df.withColumn(stage.getOutputCol(), array_to_vector(F.expr(f"array({values})")))
+
+
 def _prepared(model: Transformer, df: DataFrame, name: str, mine: Column | None = None) -> DataFrame:
     """All stages but the classifier; adds ``_<name>_features`` and ``_<name>_ready``.
 
@@ -133,13 +145,20 @@ def _prepared(model: Transformer, df: DataFrame, name: str, mine: Column | None
     if _cut(model) is None:
         return df
     *front, last = _stages(model)
-    front = [s.copy({s.handleInvalid: "keep"}) if isinstance(s, VectorAssembler) else s for s in front]
     inputs = [c for s in front if isinstance(s, VectorAssembler) for c in s.getInputCols()]
-    row = F.struct(*_columns(df)).alias("_row")
-    seen = [F.col(f"`{c}`") if mine is None else F.when(mine, F.col(f"`{c}`")).alias(c) for c in df.columns]
-    out = PipelineModel(front).transform(df.select(row, *seen))
+    own = {c: f"_own_{name}_{i}" for i, c in enumerate(df.columns)}
+    out = df
+    if mine is not None:
+        seen = [F.when(mine, F.col(f"`{c}`")).alias(c) for c in df.columns]
+        out = df.select(*[F.col(f"`{c}`").alias(k) for c, k in own.items()], *seen, mine.alias(f"_mine_{name}"))
+    for stage in front:
+        out = _assembled(stage, out) if isinstance(stage, VectorAssembler) else stage.transform(out)
     ready = " AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(cast(`{c}` AS double))" for c in inputs) or "true"
-    return out.select("_row.*", F.col(last.getFeaturesCol()).alias(f"_{name}_features"), F.expr(ready).alias(f"_{name}_ready"))
+    kept = _columns(df) if mine is None else [F.col(k).alias(c) for c, k in own.items()]
+    ready = ready if mine is None else f"_mine_{name} AND {ready}"
+    # the condition keeps the stages in a branch even where the optimizer does not merge the projections
+    vector = F.when(F.expr(ready), F.col(last.getFeaturesCol()))
+    return out.select(*kept, vector.alias(f"_{name}_features"), F.expr(ready).alias(f"_{name}_ready"))
 
 
 def _scored(model: Transformer, df: DataFrame, name: str) -> DataFrame:
@@ -174,8 +193,8 @@ def score_table(model: Transformer, df: DataFrame) -> DataFrame:
 
 
 def score_groups(df: DataFrame, champion: Transformer, challenger: Transformer, group: str = "ab_group") -> DataFrame:
-    """Every row scored by the model of its group, and by that one only: one scan, and one classifier run per
-    row, because the classifiers end up in the branches of a CASE. A row that its model cannot take (a NULL
+    """Every row scored by the model of its group, and by that one only: one scan, and one run of one
+    model per row, because both models end up in the branches of a CASE, all their stages included. A row that its model cannot take (a NULL
     feature) keeps its place with a NULL score; what the other model needs does not matter to it."""
     mine = F.coalesce(F.col(group) == CHALLENGER, F.lit(False))
     ready = _prepared(challenger, _prepared(champion, df, "champion", ~mine), "challenger", mine)
