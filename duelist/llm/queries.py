@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import best_fit, decontaminate, html_diff, jaccard_join, line_dedup, pii, quality_em, quote_link, token_binary, toxicity_chain
+from duelist.llm import best_fit, covering_simhash, decontaminate, html_diff, jaccard_join, line_dedup, pii, quality_em, quote_link, token_binary, toxicity_chain
 from duelist.llm.common import documents, tokenizer_path
 from duelist.sources.session import shared_dir
 
@@ -100,6 +100,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = covering_simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.expr("lower(lpad(hex(fp), 16, '0')) AS fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_token_binary": op1_token_binary,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -111,5 +116,6 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_covering_simhash": op12_covering_simhash,
 }
 ORACLE = {"op3_line_dedup": OP3_SQL}
