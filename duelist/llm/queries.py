@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import best_fit, covering_simhash, decontaminate, html_diff, jaccard_join, line_dedup, pii, quality_em, quote_link, token_binary, toxicity_chain
+from duelist.llm import best_fit, blocked_search, covering_simhash, decontaminate, html_diff, jaccard_join, line_dedup, pii, quality_em, quote_link, token_binary, toxicity_chain
 from duelist.llm.common import documents, tokenizer_path
 from duelist.sources.session import shared_dir
 
@@ -100,6 +100,37 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocked_search.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH doc_terms AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, * FROM documents)
+), tf AS (SELECT row, doc_id, term, count(*) AS tf FROM doc_terms GROUP BY ALL
+), sizes AS (SELECT row, count(*) AS n FROM doc_terms GROUP BY row
+), corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY term, docs
+), item_terms AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+), scores AS (
+  SELECT item_id, row, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total)))) AS BIGINT) AS score
+  FROM item_terms JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (row), corpus GROUP BY item_id, row, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op12_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = covering_simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.expr("lower(lpad(hex(fp), 16, '0')) AS fingerprint"), "component_id")
@@ -116,6 +147,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_ranked_search": op11_ranked_search,
     "op12_covering_simhash": op12_covering_simhash,
 }
-ORACLE = {"op3_line_dedup": OP3_SQL}
+ORACLE = {"op3_line_dedup": OP3_SQL, "op11_ranked_search": OP11_SQL}
