@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelist.llm import best_fit, blocked_search, covering_simhash, decontaminate, html_diff, jaccard_join, line_dedup, pii, quality_em, quote_link, token_binary, toxicity_chain
+from duelist.llm import best_fit, blocked_search, covering_simhash, decontaminate, html_diff, jaccard_join, line_dedup, pii, prefix_trie, quality_em, quote_link, token_binary, toxicity_chain
 from duelist.llm.common import documents, tokenizer_path
 from duelist.sources.session import shared_dir
 
@@ -136,6 +136,51 @@ def op12_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr("lower(lpad(hex(fp), 16, '0')) AS fingerprint"), "component_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(documents(spark, sf_dir, "conversations")).drop("node")
+
+
+OP13_SQL = r"""
+WITH ordered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten([[CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+                                                FOR ch IN string_split(CAST(conv_id AS VARCHAR), '')])),
+                         lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM ordered)
+), seq AS (
+  SELECT c.conv_id, o.pos, o.role, o.text FROM convs c JOIN ordered o ON o.conv_id = c.base AND o.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, o.pos - c.h + least(c.h, coalesce(b.n, 0)), o.role, o.text
+  FROM convs c JOIN ordered o ON o.conv_id = c.conv_id AND o.pos >= c.h
+  LEFT JOIN (SELECT conv_id, count(*) AS n FROM ordered GROUP BY conv_id) b ON b.conv_id = c.base
+), paths AS (
+  SELECT conv_id, pos + 1 AS depth, length(text) AS cp, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM seq
+  UNION ALL SELECT conv_id, 0, 0, [] FROM convs
+), sizes AS (SELECT conv_id, max(depth) AS size FROM paths GROUP BY conv_id
+), nodes AS (
+  SELECT path, any_value(depth) AS depth, any_value(cp) AS cp, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = size), '')) AS ends_sha256
+  FROM paths JOIN sizes USING (conv_id) GROUP BY path
+), named AS (SELECT p.conv_id AS member, n.depth, n.conv_id AS first FROM paths p JOIN nodes n USING (path)
+), kids AS (
+  SELECT n.conv_id, n.depth, count(k.path) AS n_children
+  FROM nodes n LEFT JOIN (SELECT k.path, k.depth, m.first AS parent FROM nodes k JOIN named m ON m.member = k.conv_id AND m.depth = k.depth - 1) k
+    ON k.parent = n.conv_id AND k.depth = n.depth + 1 GROUP BY n.conv_id, n.depth
+), sums AS (
+  SELECT m.first AS conv_id, m.depth, count(*) FILTER (WHERE k.n_children = 0) AS n_leaves, CAST(sum((d.n_convs - 1) * d.cp) AS BIGINT) AS saved_tokens
+  FROM nodes d JOIN kids k ON k.conv_id = d.conv_id AND k.depth = d.depth JOIN named m ON m.member = d.conv_id AND m.depth <= d.depth
+  GROUP BY m.first, m.depth
+)
+SELECT n.conv_id, n.depth, m.first AS parent_conv_id, n.n_convs, k.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN kids k ON k.conv_id = n.conv_id AND k.depth = n.depth JOIN sums s ON s.conv_id = n.conv_id AND s.depth = n.depth
+LEFT JOIN named m ON m.member = n.conv_id AND m.depth = n.depth - 1
+"""
+
+
 QUERIES = {
     "op1_token_binary": op1_token_binary,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -149,5 +194,6 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_ranked_search": op11_ranked_search,
     "op12_covering_simhash": op12_covering_simhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }
-ORACLE = {"op3_line_dedup": OP3_SQL, "op11_ranked_search": OP11_SQL}
+ORACLE = {"op3_line_dedup": OP3_SQL, "op11_ranked_search": OP11_SQL, "op13_prefix_trie": OP13_SQL}
