@@ -253,6 +253,22 @@ _PERIOD = (
     with_(EV, scored("ev", "event_id", "is_error"), report("scored", ["period_start"]))
     + f"SELECT period_start, {REPORT_SELECT} FROM r"
 )
+# every look over all rows up to it, then the smallest inverse ratio so far; 0.02 is the spread of the mixture
+_LOOKS = with_(
+    EV, scored("ev", "event_id", "is_error"),
+    """looks AS (SELECT period_start AS upto, row_number() OVER (ORDER BY period_start) AS look FROM (SELECT DISTINCT period_start FROM ev)),
+cumulated AS (
+  SELECT look, ab_group, y, pred, floor(s.score * 100) / 100.0 AS score FROM scored s JOIN looks ON period_start <= upto)""",
+    report("cumulated", ["look"]),
+).rstrip() + """,
+spread AS (SELECT *, champion_auc_se * champion_auc_se + challenger_auc_se * challenger_auc_se AS v FROM r),
+ratios AS (
+  SELECT *, CASE WHEN least(champion_positives, champion_negatives) >= 30 AND least(challenger_positives, challenger_negatives) >= 30 AND v > 0
+            THEN 0.5 * ln(v / (v + 0.0004)) + auc_improvement * auc_improvement * 0.0004 / (2 * v * (v + 0.0004)) END AS log_ratio FROM spread),
+looked AS (SELECT *, least(1.0, exp(-greatest(0.0, coalesce(max(log_ratio) OVER (ORDER BY look), 0.0)))) AS p FROM ratios)
+SELECT look, champion_sample_size, challenger_sample_size, round(auc_improvement, 6) + 0.0 AS auc_improvement,
+       round(log_ratio, 6) + 0.0 AS log_ratio, round(p, 6) + 0.0 AS sequential_p, p <= 0.05 AS sequentially_significant,
+       should_promote AND p <= 0.05 AS promote_now FROM looked"""
 _MANY_REPORT = with_(TX, MANY, report("many", ["test"]))
 _MODEL_ROWS = with_(TX, WIDE, f"""labelled AS (
   SELECT tx_id, CAST(tx_amount / 500000.0 + acct_bal / 20000.0 + {u('tx_id', repr('noise'))} / 2.0 > 0.9 AS INTEGER) AS y,
@@ -348,6 +364,8 @@ ORACLE: dict[str, str] = {
     + "SELECT customer_id, 'ab_test' AS test_name, status, reason FROM r WHERE status <> 'ok'",
     "ab_report_by_period": _PERIOD,
     "period_report_incremental": _PERIOD,
+    "period_report_stateful": _PERIOD,
+    "sequential_report": _LOOKS,
     "resolve_alias": with_(ALIASES) + "SELECT model, alias, version, source FROM resolved",
     "alias_exists": with_(ALIASES) + "SELECT model FROM resolved GROUP BY model HAVING count(*) = 2",
     "register_version": with_(ALIASES, REGISTERED) + "SELECT model, version, run_id, path, created_seq FROM registered",

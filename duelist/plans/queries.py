@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelist.functions.hashing import hash_sql, quote
-from duelist.operators import bootstrap, decision, features, metrics, models, profile, registry, sampling, significance, slices
+from duelist.operators import bootstrap, decision, features, metrics, models, profile, registry, sampling, sequential, significance, slices
 from duelist.plans import fixtures as fx
-from duelist.plans.periodic import report_by_period
+from duelist.plans.periodic import report_by_period, with_period
 from duelist.plans.training import register_run, train_job
 from duelist.sources.runs import RunTables, load_by_alias, save_model
 from duelist.sources.session import shared_dir
 from duelist.sources.tables import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA, read_csv, write_csv
+from duelist.streaming.period_cells import PeriodCells, run_tick
 from duelist.streaming.scored_log import append_new, scored_rows, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -321,6 +322,29 @@ def period_report_incremental(spark, sf_dir):
     return _report(decision.ab_report(log, "is_error", ["period_start"]), "period_start")
 
 
+@query
+def period_report_stateful(spark, sf_dir):
+    """The same report from cells of three ticks, each with a third of the events of every period."""
+    root = work_dir(spark, "cells")
+    state = PeriodCells(f"{root}/state", "is_error", compact_every=2)
+    events = fx.table(spark, sf_dir, "events")
+    for tick in range(3):
+        events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == tick).write.mode("append").parquet(f"{root}/in")
+        rows = table_stream(spark, f"{root}/in", events.schema).select(
+            "event_id", "ts", (F.col("event_type") == "error").cast("int").alias("is_error"))
+        run_tick(scored_rows(rows, "event_id", "ts", "is_error", *fx.rule_models("event_id", "is_error")), state, f"{root}/checkpoint")
+    return _report(state.current(spark), "period_start")
+
+
+@query
+def sequential_report(spark, sf_dir):
+    """After every hour: the gain so far, and whether it may be acted on although one looks every hour."""
+    scored = with_period(fx.scored_events(spark, sf_dir), "ts")
+    out = sequential.report_by_look(scored, "is_error", bins=100)
+    return rounded(out.select("look", "champion_sample_size", "challenger_sample_size", "auc_improvement", "log_ratio", "sequential_p",
+                              "sequentially_significant", "promote_now"), "auc_improvement", "log_ratio", "sequential_p")
+
+
 @query
 def holdout_leak_check(spark, sf_dir):
     """Keys of the jobs' default training part that are also in the default holdout: none."""
