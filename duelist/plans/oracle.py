@@ -3,6 +3,8 @@ plain windows, joins and subqueries, without the two-level sums and cells of the
 
 from __future__ import annotations
 
+import math
+
 from duelist.functions.hashing import poisson_thresholds
 from duelist.functions.stats import ERF_A, ERF_P, Z_95
 from duelist.plans.fixtures import CHALLENGER_PULL, CHAMPION_PULL, MANY_TESTS
@@ -287,6 +289,74 @@ _SLICES = with_(
     metrics("sliced", ["ab_group", "factor", "segment"]),
 )
 
+def row_bootstrap(replicates: int, columns: str) -> list[str]:
+    return [TX, scored("tx"), f"counts AS (SELECT ab_group, tx_id AS unit, {columns} FROM scored)", replicated("counts", replicates)]
+
+
+AUC_VALUES = """weighted AS (SELECT rep, ab_group, score, sum(weight * p)::DOUBLE AS p, sum(weight * n)::DOUBLE AS n FROM reps GROUP BY ALL),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY rep, ab_group ORDER BY score) - n / 2 AS low_n FROM weighted),
+vals AS (SELECT rep, ab_group, sum(p * low_n) / nullif(sum(p) * sum(n), 0) AS value FROM ranked GROUP BY ALL)"""
+
+
+def little(bags: int, replicates: int) -> str:
+    """Little bootstraps of the AUC: Poisson draws with mean ``bags`` inside each bag, spread per bag, mean over bags."""
+    term, steps = math.exp(-bags), []
+    total = term
+    while total < 1 - 2.0**-32:
+        steps.append(total)
+        term *= bags / len(steps)
+        total += term
+    draw = " + ".join(f"CAST(u >= {c!r} AS INTEGER)" for c in steps)
+    where = "tx_id || '|' || ab_group || '|' || y || '|' || CAST(y = pred AS INTEGER) || '|' || CAST(floor(score * 1000000) AS BIGINT)"
+    word = "('0x' || substr(md5(CAST(tx_id AS VARCHAR) || ':little'), {0}, 8))::BIGINT"
+    low = "& 4294967295::UBIGINT"
+    return with_(TX, scored("tx"), f"""bagged AS (
+  SELECT ab_group, y, score, CAST(floor({u(where, "'bag'")} * {bags}) AS BIGINT) AS bag, {word.format(1)} AS h1, {word.format(9)} AS h2
+  FROM scored),
+x0 AS (SELECT *, CAST(h1 + rep * (h2 | 1) AS UBIGINT) {low} AS x
+       FROM bagged, (SELECT unnest(generate_series(1, {replicates})) AS rep)),
+x1 AS (SELECT * REPLACE ((xor(x, x >> 16) * 2246822507::UBIGINT) {low} AS x) FROM x0),
+x2 AS (SELECT * REPLACE ((xor(x, x >> 13) * 3266489909::UBIGINT) {low} AS x) FROM x1),
+drawn AS (SELECT *, xor(x, x >> 16)::DOUBLE / 4294967296.0 AS u FROM x2),
+weighted AS (
+  SELECT bag, rep, ab_group, score, sum(w * y)::DOUBLE AS p, sum(w * (1 - y))::DOUBLE AS n FROM (SELECT *, {draw} AS w FROM drawn) GROUP BY ALL),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY bag, rep, ab_group ORDER BY score) - n / 2 AS low_n FROM weighted),
+vals AS (SELECT bag, rep, ab_group, sum(p * low_n) / nullif(sum(p) * sum(n), 0) AS value FROM ranked GROUP BY ALL),
+series AS (
+  SELECT bag, rep, max(CASE WHEN ab_group = 'champion' THEN value END) AS champion,
+         max(CASE WHEN ab_group = 'challenger' THEN value END) AS challenger FROM vals GROUP BY bag, rep),
+stacked AS (
+  SELECT bag, 'champion' AS series, champion AS value FROM series
+  UNION ALL SELECT bag, 'challenger', challenger FROM series
+  UNION ALL SELECT bag, 'gain', challenger - champion FROM series),
+per_bag AS (
+  SELECT series, bag, count(value) AS replicates, avg(value) AS mean, stddev_samp(value) AS sd, quantile_cont(value, 0.025) AS low,
+         quantile_cont(value, 0.975) AS high, sum(CASE WHEN value > 0 THEN 1.0 ELSE 0.0 END) / nullif(count(value), 0) AS share_positive
+  FROM stacked GROUP BY series, bag)""") + "SELECT series, count(*) AS bags, CAST(sum(replicates) AS BIGINT) AS replicates, " + ", ".join(
+        r6(f"avg({c})", c) for c in ("mean", "sd", "low", "high", "share_positive")) + " FROM per_bag GROUP BY series"
+
+
+_LATTICE = with_(TX, WIDE, scored("wide"), """lat AS (
+  SELECT ab_group, CAST(y = pred AS INTEGER) AS hit, 'segment=' || coalesce(segment, '(null)') AS c1,
+         'priority=' || coalesce(priority, '(null)') AS c2, 'quarter=' || coalesce(CAST(quarter(tx_timestamp) AS VARCHAR), '(null)') AS c3
+  FROM scored),
+pairs AS (
+  SELECT ab_group, hit, unnest([[c1, ''], [c2, ''], [c3, ''], [c1, c2], [c1, c3], [c2, c3]]) AS c FROM lat),
+tot AS (SELECT ab_group, count(*) AS all_n, CAST(sum(hit) AS BIGINT) AS all_hits FROM lat GROUP BY ab_group),
+lev AS (
+  SELECT ab_group, c[1] AS a, c[2] AS b, count(*) AS n, CAST(sum(hit) AS BIGINT) AS hits, any_value(all_n) AS all_n, any_value(all_hits) AS all_hits
+  FROM pairs JOIN tot USING (ab_group) GROUP BY ALL HAVING count(*) >= 0.01 * any_value(all_n)),
+parts AS (
+  SELECT *, all_n AS pn, all_hits AS ph FROM lev WHERE b = ''
+  UNION ALL SELECT k.*, p.n, p.hits FROM lev k JOIN lev p ON p.ab_group = k.ab_group AND p.b = '' AND p.a IN (k.a, k.b) WHERE k.b <> '')""").rstrip() + f""",
+z AS (SELECT *, {two_proportion('hits', 'n', '(ph - hits)', '(pn - n)')} AS z FROM parts),
+pv AS (SELECT ab_group, a, b, n, hits, all_n, all_hits, CASE WHEN count(z) = count(*) THEN max({p_value('z')}) END AS p FROM z GROUP BY ALL)
+SELECT ab_group, a || CASE WHEN b = '' THEN '' ELSE ' & ' || b END AS conditions, CASE WHEN b = '' THEN 1 ELSE 2 END AS depth, n,
+       {r6('hits::DOUBLE / n', 'accuracy')}, {r6('hits::DOUBLE / n - all_hits::DOUBLE / all_n', 'accuracy_gap')}, {r6('p', 'p_value')},
+       {r6('q', 'q_value')}, coalesce(q <= 0.05, false) AS biased
+FROM (SELECT *, CASE WHEN p IS NOT NULL THEN least(1.0, min(p * m / r) OVER (PARTITION BY ab_group ORDER BY p DESC)) END AS q
+      FROM (SELECT *, count(p) OVER (PARTITION BY ab_group) AS m, nullif(count(p) OVER (PARTITION BY ab_group ORDER BY p), 0) AS r FROM pv))"""
+
 ORACLE: dict[str, str] = {
     "scan_transactions": with_(TX) + "SELECT * FROM tx",
     "csv_round_trip": _event_transaction_sql(),
@@ -417,6 +487,12 @@ SELECT test, {r6('champion_auc_se', 'champion_auc_se')}, {r6('challenger_auc_se'
 ranked AS (SELECT *, sum(n) OVER (PARTITION BY rep, ab_group ORDER BY score) - n / 2 AS low_n FROM weighted),
 vals AS (SELECT rep, ab_group, sum(p * low_n) / nullif(sum(p) * sum(n), 0) AS value FROM ranked GROUP BY ALL)""",
         SUMMARY),
+    "bootstrap_accuracy_rows": with_(
+        *row_bootstrap(50, "1 AS rows, CAST(y = pred AS INTEGER) AS hits"),
+        "vals AS (SELECT rep, ab_group, sum(weight * hits)::DOUBLE / nullif(sum(weight * rows), 0) AS value FROM reps GROUP BY ALL)", SUMMARY),
+    "bootstrap_auc_rows": with_(*row_bootstrap(20, "score, y AS p, 1 - y AS n"), AUC_VALUES, SUMMARY),
+    "bootstrap_auc_little": little(8, 40),
+    "slice_lattice": _LATTICE,
     "slice_metrics": _SLICES + f"SELECT ab_group, factor, segment, {METRIC_COLUMNS} FROM m",
     "slice_bias": _SLICES.rstrip() + f""",
 z AS (SELECT s.ab_group, s.factor, s.segment, s.accuracy, s.accuracy - t.accuracy AS gap, {two_proportion(

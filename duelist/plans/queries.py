@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelist.functions.hashing import hash_sql, quote
-from duelist.operators import bootstrap, decision, features, metrics, models, profile, registry, sampling, sequential, significance, slices
+from duelist.operators import bootstrap, decision, features, lattice, little_bootstrap, metrics, models, profile, registry, sampling, sequential, significance, slices
 from duelist.plans import fixtures as fx
 from duelist.plans.periodic import report_by_period, with_period
 from duelist.plans.training import register_run, train_job
@@ -436,6 +436,24 @@ def bootstrap_auc(spark, sf_dir):
     return rounded(bootstrap.summarise(values), *SUMMARY)
 
 
+@query
+def bootstrap_accuracy_rows(spark, sf_dir):
+    values = bootstrap.bootstrap_accuracy(fx.scored_transactions(spark, sf_dir), "tx_id", LABEL, replicates=50)
+    return rounded(bootstrap.summarise(values), *SUMMARY)
+
+
+@query
+def bootstrap_auc_rows(spark, sf_dir):
+    values = bootstrap.bootstrap_auc(fx.scored_transactions(spark, sf_dir), "tx_id", LABEL, replicates=20, exact=True)
+    return rounded(bootstrap.summarise(values), *SUMMARY)
+
+
+@query
+def bootstrap_auc_little(spark, sf_dir):
+    values = little_bootstrap.little_bootstrap(fx.scored_transactions(spark, sf_dir), "tx_id", LABEL, replicates=40, bags=8)
+    return rounded(little_bootstrap.summarise_bags(values), *SUMMARY)
+
+
 SLICE_DOUBLES = ["auc", "auc_se", "tied_pairs", "accuracy", "f1_positive", "f1_weighted"]
 
 
@@ -456,6 +474,14 @@ def slice_bias(spark, sf_dir):
                    "accuracy", "accuracy_gap", "z", "p_value", "q_value")
 
 
+@query
+def slice_lattice(spark, sf_dir):
+    """Conditions and pairs of conditions under which a model is wrong more often than their parts explain."""
+    scored = fx.rule_scored(fx.customer_transactions(spark, sf_dir)).withColumn("quarter", F.quarter("tx_timestamp"))
+    out = lattice.error_lattice(scored, LABEL, ["segment", "priority", "quarter"])
+    return rounded(out, "accuracy", "accuracy_gap", "p_value", "q_value")
+
+
 # --- fitted models -----------------------------------------------------------------------
 
 MODEL_FEATURES = ["tx_amount", "acct_bal"]

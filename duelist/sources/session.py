@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import os
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def engine_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
@@ -45,3 +50,22 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/duelist-work"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written as Parquet below the shared folder and read again: computed once, and a lost executor costs
+    a reread. The folder is new for every call."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def importable(df: DataFrame) -> DataFrame:
+    """Lets Python workers on this machine import the package from where the driver did; on a cluster, install it or
+    pass it with ``--py-files``."""
+    env = df.sparkSession.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
+    return df
