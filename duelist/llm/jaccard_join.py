@@ -6,8 +6,10 @@ bucket, never all pairs). Within a family the MinHash values of a pair are compa
 prior, ``m`` equal values of ``n`` leave the similarity a Beta(m + 1, n - m + 1), and the pair is dropped as
 soon as the probability of reaching the threshold is below ``TOLERANCE``. What is left is verified on the sets.
 
-Families are split into blocks; one group holds two blocks, so no task holds a family. Groups return link counts
-and a spanning forest of the links, not the links: rows grow with documents, also in a group of many near copies.
+Families are cut into blocks of bounded size, each packed into one row: most families are one. Links are first found inside
+blocks, then between any two blocks of a family, which meet in one task, so no task holds a family. Exact numbers of links
+of n near copies take n^2 / 2 comparisons, but no row for any of them: a pair of blocks returns one array of numbers for
+each side and edges between the parts that the blocks already have, so rows grow with documents, also in a large group.
 
 With 25 bands of five values a pair at 0.8 misses every band with probability 5e-5, at 0.85 with 2e-6.
 """
@@ -20,6 +22,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +33,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 VALUES, BANDS, ROWS, STEP = 128, 25, 5, 16
 TOLERANCE = 1e-5
-BLOCK = 128
+#: Members and words of a packed block; a task holds two blocks.
+BLOCK, BLOCK_WORDS = 1024, 1 << 20
 
 _SEEDS = np.random.default_rng(20240229)
 _A = _SEEDS.integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,8 +98,9 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 bands.append(np.empty(0, np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row_key"), batch.column("doc_id"), pa.array(sets, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["row_key", "doc_id", "v", "bands"])
+            [batch.column("row_key"), batch.column("doc_id"), pa.array(sets, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+             pc.list_value_length(batch.column("words")).cast(pa.int64())],
+            names=["row_key", "doc_id", "v", "bands", "n_words"])
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -123,49 +128,129 @@ def _linked(a: np.ndarray, b: np.ndarray, sets: list[np.ndarray], threshold: flo
     return both >= threshold * (sizes[a] + sizes[b] - both)
 
 
-def _block_links(threshold: float, tolerance: float):
+def _pairs(values: list[np.ndarray], least: list[tuple[int, int]], first: np.ndarray, second: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (inside ``first``, or between ``first`` and ``second``) that the incremental comparison keeps."""
+    found = []
+    others = first if second is None else second
+    for k in range(0, len(first), 64):
+        some = first[k : k + 64]
+        n, fewest = least[0]
+        equal = (values[some][:, None, :n] == values[others][None, :, :n]).sum(axis=2)
+        keep = equal >= fewest
+        if second is None:
+            keep &= np.arange(len(first))[None] > np.arange(k, k + len(some))[:, None]
+        x, y = np.nonzero(keep)
+        equal, a, b, seen = equal[x, y], some[x], others[y], n
+        for n, fewest in least[1:]:
+            equal = equal + (values[a, seen:n] == values[b, seen:n]).sum(axis=1)
+            good = equal >= fewest
+            a, b, equal, seen = a[good], b[good], equal[good], n
+        found.append((a, b))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+
+
+def _roots(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index of the connected part of each index."""
+    root = np.arange(size)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    return root
+
+
+def _sets(words: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    sets = [shingles(h) for h in _arrays(words)]
+    return sets, np.array([signature(s) for s in sets])
+
+
+_INSIDE = "label binary, block int, roots array<int>, counts array<long>"
+_BETWEEN = "label binary, block int, counts array<long>, edges array<struct<a: binary, b: binary>>"
+
+
+def _inside_blocks(threshold: float, tolerance: float):
+    """Links inside each packed block: the part of the block a member belongs to, and its number of links."""
     least = least_matches(threshold, tolerance)
 
-    def links(group: pa.Table) -> pa.Table:
-        table = group.combine_chunks()
-        members: dict[bytes, tuple[int, np.ndarray]] = {}
-        words = table.column("words").chunk(0) if table.num_rows else []
-        for v, block, hashes in zip(table.column("v").to_pylist(), table.column("block").to_pylist(), _arrays(words)):
-            members.setdefault(v, (block, hashes))
-        names = sorted(members)
-        block = np.array([members[v][0] for v in names])
-        sets = [shingles(members[v][1]) for v in names]
-        values = np.array([signature(s) for s in sets])
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        if i == j:
-            a, b = np.triu_indices(len(names), 1)
-        else:
-            a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(block == i), np.flatnonzero(block == j), indexing="ij"))
-        equal, seen = np.zeros(len(a), np.int64), 0
-        for n, fewest in least:
-            equal = equal + (values[a, seen:n] == values[b, seen:n]).sum(axis=1)
-            keep = equal >= fewest
-            a, b, equal, seen = a[keep], b[keep], equal[keep], n
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            roots, counts = [], []
+            for k in range(batch.num_rows):
+                sets, values = _sets(batch.column("words").slice(k, 1).flatten())
+                a, b = _pairs(values, least, np.arange(len(sets)), None)
+                keep = _linked(a, b, sets, threshold)
+                a, b = a[keep], b[keep]
+                roots.append(_roots(len(sets), a, b).astype(np.int32))
+                counts.append(np.bincount(a, minlength=len(sets)) + np.bincount(b, minlength=len(sets)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("label"), batch.column("block"), pa.array(roots, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64()))],
+                names=["label", "block", "roots", "counts"])
+
+    return inside
+
+
+def _between_blocks(threshold: float, tolerance: float):
+    """Links between two packed blocks: what they add to each member's number, and edges between the blocks' parts."""
+    least = least_matches(threshold, tolerance)
+
+    def between(group: pa.Table) -> pa.Table:
+        table = group.sort_by("block").combine_chunks()
+        lists = [table.column(c).chunk(0) for c in ("vs", "words", "roots")]
+        size = [len(lists[0].slice(k, 1).flatten()) for k in (0, 1)]
+        sets, values = _sets(lists[1].flatten())
+        a, b = _pairs(values, least, np.arange(size[0]), np.arange(size[0], sum(size)))
         keep = _linked(a, b, sets, threshold)
         a, b = a[keep], b[keep]
-        count = np.bincount(a, minlength=len(names)) + np.bincount(b, minlength=len(names))
-        root = np.arange(len(names))
-        while len(a):
-            low = np.minimum(root[a], root[b])
-            new = root.copy()
-            np.minimum.at(new, a, low)
-            np.minimum.at(new, b, low)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
-        some = np.flatnonzero(count)
+        part = np.concatenate([lists[2].slice(k, 1).flatten().to_numpy() + k * size[0] for k in (0, 1)])
+        # one edge per part and part of the other side it reaches, through the smallest of them
+        root = _roots(sum(size), part[a], part[b])
+        names = lists[0].flatten().to_pylist()
+        edges = [{"a": names[k], "b": names[r]} for k, r in enumerate(root) if r != k]
+        counts = np.bincount(a, minlength=sum(size)) + np.bincount(b, minlength=sum(size))
         return pa.table({
-            "v": pa.array([names[k] for k in some], pa.binary()), "root": pa.array([names[root[k]] for k in some], pa.binary()),
-            "links": pa.array(count[some], pa.int64()),
+            "label": table.column("label"), "block": table.column("block"),
+            "counts": pa.array([counts[: size[0]], counts[size[0] :]], pa.list_(pa.int64())),
+            "edges": pa.array([edges, []], pa.list_(pa.struct([("a", pa.binary()), ("b", pa.binary())]))),
         })
 
-    return links
+    return between
+
+
+def families(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """``v``, ``row_key``, ``label`` and ``block`` of every candidate; blocks have about ``BLOCK`` members and
+    ``BLOCK_WORDS`` words at most."""
+    family = components(edges).join(sets.select("v", "row_key", "n_words"), "v")
+    sizes = staged(family.groupBy("label").agg(
+        F.expr(f"cast(greatest(ceil(count(*) / {BLOCK}), ceil(sum(n_words) / {BLOCK_WORDS})) AS int) AS blocks")), "jaccard-families")
+    return staged(family.join(sizes, "label").selectExpr("v", "row_key", "label", "blocks", "cast(pmod(xxhash64(v), blocks) AS int) AS block"), "jaccard-members")
+
+
+def links(blocks: DataFrame, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """Edges (``a``, ``b``) that connect what links connect, and ``v``, ``n_links``.
+
+    ``blocks``: packed members of each family, ``label``, ``block``, ``blocks``, ``vs`` and ``words``, one row per block. Pairs
+    of blocks meet as two rows, and return one array of counts each and edges between their parts, so nothing has a row per
+    member and other block.
+    """
+    inside = staged(importable(blocks.select("label", "block", "words")).mapInArrow(_inside_blocks(threshold, tolerance), _INSIDE), "jaccard-inside")
+    many = blocks.filter("blocks > 1").join(inside.select("label", "block", "roots"), ["label", "block"])
+    met = many.selectExpr("*", "explode(filter(sequence(0, blocks - 1), o -> o <> block)) AS other").selectExpr(
+        "label", "block", "vs", "words", "roots", "least(block, other) AS i", "greatest(block, other) AS j")
+    between = staged(importable(met).groupBy("label", "i", "j").applyInArrow(_between_blocks(threshold, tolerance), _BETWEEN), "jaccard-between")
+    own = blocks.select("label", "block", "vs").join(inside, ["label", "block"])
+    tops = own.selectExpr("explode(filter(transform(vs, (v, k) -> struct(v AS a, vs[roots[k]] AS b)), e -> e.a <> e.b)) AS e")
+    edges = tops.union(between.selectExpr("explode(edges) AS e")).select("e.a", "e.b")
+    more = between.groupBy("label", "block").agg(F.collect_list("counts").alias("more"))
+    summed = own.join(more, ["label", "block"], "left").selectExpr(
+        "vs", "aggregate(coalesce(more, array()), counts, (s, m) -> zip_with(s, m, (x, y) -> x + y)) AS counts")
+    return edges, summed.selectExpr("explode(arrays_zip(vs, counts)) AS z").selectExpr("z.vs AS v", "z.counts AS n_links").filter("n_links > 0")
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD,
@@ -184,32 +269,30 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     own = docs.select(
         row_key(doc_id, text).alias("row_key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
     words = own.select("row_key", "doc_id", word_hashes(plain_words(F.col("_text"))).alias("words"))
-    keys = staged(importable(words).mapInArrow(_keys, "row_key string, doc_id long, v binary, bands array<long>"), "jaccard-keys")
+    keys = staged(importable(words).mapInArrow(_keys, "row_key string, doc_id long, v binary, bands array<long>, n_words long"), "jaccard-keys")
     sets = staged(keys.groupBy("v").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"), F.min("row_key").alias("row_key"), F.first("bands").alias("bands"),
+        F.max("n_words").alias("n_words"),
     ), "jaccard-sets")
 
-    # star edges: bucket members to the smallest of them
+    # the smallest member of a bucket is its hub
     buckets = sets.select("v", F.explode("bands").alias("band"))
     stars = staged(buckets.groupBy("band").agg(F.min("v").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub"), "jaccard-stars")
-    edges = buckets.join(stars, "band").selectExpr("v AS a", "hub AS b").filter("a <> b").distinct()
-    family = components(edges)
-    sizes = staged(family.groupBy("label").agg(F.expr(f"cast(ceil(count(*) / {BLOCK}) AS int)").alias("blocks")), "jaccard-families")
-    placed = family.join(sizes, "label").selectExpr("v", "label", "blocks", "pmod(xxhash64(v), blocks) AS block")
-    members = sets.select("v", "row_key").join(staged(placed, "jaccard-blocks"), "v").withColumnRenamed("row_key", "_key")
-
-    grouped = (
-        own.join(members, F.col("row_key") == F.col("_key"))
+    # at most one hub a band; all hubs of a member are joined to the smallest of them, so most edges coincide
+    hubs = staged(buckets.join(stars, "band").groupBy("v").agg(F.collect_set("hub").alias("hubs")), "jaccard-hubs")
+    edges = hubs.selectExpr("explode(concat(array(v), hubs)) AS a", "array_min(hubs) AS b").filter("a <> b").distinct()
+    members = families(edges, sets)
+    packed = (
+        own.join(members.withColumnRenamed("row_key", "_key"), F.col("row_key") == F.col("_key"))
         .select("v", "label", "block", "blocks", word_hashes(plain_words(F.col("_text"))).alias("words"))
-        .select("v", "label", "block", "words", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-        .selectExpr("v", "label", "cast(block AS int) AS block", "words",
-                    "cast(least(block, other) AS int) AS i", "cast(greatest(block, other) AS int) AS j")
+        # repeated rows have the same key
+        .groupBy("v", "label", "block", "blocks").agg(F.first("words").alias("words"))
+        .groupBy("label", "block", "blocks").agg(F.expr("sort_array(collect_list(struct(v, words))) AS m"))
+        .selectExpr("label", "block", "blocks", "m.v AS vs", "m.words AS words")
     )
-    found = staged(importable(grouped).groupBy("label", "i", "j").applyInArrow(
-        _block_links(threshold, tolerance), "v binary, root binary, links long"), "jaccard-links")
-
-    linked = found.groupBy("v").agg(F.sum("links").alias("n_links"))
-    named = components(found.selectExpr("v AS a", "root AS b")).join(linked, "v").join(sets.select("v", "first_id"), "v")
+    joined_by, linked = links(staged(packed, "jaccard-blocks"), threshold, tolerance)
+    linked = staged(linked, "jaccard-links")
+    named = components(joined_by).join(linked, "v").join(sets.select("v", "first_id"), "v")
     named = staged(named, "jaccard-named")
     lowest = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
     joined = named.join(staged(lowest, "jaccard-lowest"), "label").select("v", F.col("label").alias("class_key"), "class_id", "n_links")

@@ -1,0 +1,88 @@
+"""Groups of many near copies: whole results, and rows in proportion to the group."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from duelist.llm import components, jaccard_join
+
+
+def near_copies(n: int, seed: int = 1, words: int = 60, changes: int = 3) -> list[tuple[int, str]]:
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(words)]
+    rows = []
+    for k in range(n):
+        own = list(base)
+        for _ in range(rng.randint(0, changes)):
+            own[rng.randrange(words)] = f"x{rng.randrange(1_000_000)}"
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+def brute(rows, threshold=0.8):
+    """(class as a set of ids, links to other sets) of every id."""
+    grams = {}
+    for key, text in rows:
+        w = re.findall(r"[^\W_]+", text.lower())
+        grams.setdefault(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))), []).append(key)
+    sets = list(grams)
+    root, count = list(range(len(sets))), [0] * len(sets)
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both >= threshold * (len(a) + len(sets[j]) - both):
+                count[i] += 1
+                count[j] += 1
+                root[find(i)] = find(j)
+    members: dict[int, list] = {}
+    for k, s in enumerate(sets):
+        members.setdefault(find(k), []).extend(grams[s])
+    return {key: (tuple(sorted(members[find(k)])), count[k]) for k, s in enumerate(sets) for key in grams[s]}
+
+
+@pytest.mark.parametrize("block,words", [(1024, 1 << 20), (40, 1 << 20), (1024, 2000)])
+def test_classes_and_links_of_many_near_copies(spark, monkeypatch, block, words):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "BLOCK_WORDS", words)
+    rows = near_copies(300) + [(1000 + k, t) for k, t in near_copies(40, 2)] + [(5000 + k, f"alone {k} " * 6) for k in range(20)]
+    rows += [(7000, rows[5][1]), (rows[6][0], rows[6][1])]  # a copy, and a repeated row
+    got = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(rows)
+    assert len(got) == len(rows)
+    named: dict = {}
+    for r in got:
+        named.setdefault(bytes(r["class_key"]), set()).add(r["doc_id"])
+    for r in got:
+        members, links = want[r["doc_id"]]
+        assert named[bytes(r["class_key"])] == set(members) and r["class_id"] == members[0]
+        assert r["n_links"] == links, r["doc_id"]
+
+
+def test_rows_grow_with_the_group(spark, monkeypatch):
+    """Every table written on the way: twice the near copies, at most 2.1 times the rows."""
+    sizes: dict[int, dict[str, int]] = {}
+    for n in (750, 1500, 3000):
+        seen: dict[str, int] = {}
+
+        def counted(df, name, staged=jaccard_join.__dict__["staged"], seen=seen):
+            out = staged(df, name)
+            seen[name] = max(seen.get(name, 0), out.count())
+            return out
+
+        with monkeypatch.context() as patch:
+            patch.setattr(jaccard_join, "staged", counted)
+            patch.setattr(components, "staged", counted)
+            jaccard_join.classes(spark.createDataFrame(near_copies(n, changes=6), "doc_id long, text string")).count()
+        sizes[n] = seen
+    for small, large in ((750, 1500), (1500, 3000)):
+        for name, rows in sizes[large].items():
+            assert rows <= max(2.1 * sizes[small][name], 32), (name, sizes)
