@@ -22,7 +22,7 @@ from duelist.llm.common import fresh, staged, window_hashes, word_hashes, words
 REPEAT_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-ITERATIONS = 12
+ITERATIONS, TOLERANCE = 30, 1e-5
 
 # Very frequent words of English, German, French and Spanish.
 STOP_WORDS = [
@@ -122,9 +122,10 @@ def initial_model() -> dict[str, float]:
     return model
 
 
-def fit(patterns: DataFrame, iterations: int = ITERATIONS) -> dict[str, float]:
-    """EM over ``(votes, n)``. Only the row of new parameters reaches the driver. Add-one smoothing; with no
-    rows the initial model is returned."""
+def fit(patterns: DataFrame, iterations: int = ITERATIONS, tolerance: float = TOLERANCE) -> dict[str, float]:
+    """EM over ``(votes, n)``, until no parameter moves by more than ``tolerance``, or ``iterations`` times. Only the row of
+    new parameters reaches the driver. Add-one smoothing; with no rows the initial model is returned. Every iteration reads
+    ``patterns`` again, so give a written table, at most one row per pattern of votes."""
     model = initial_model()
     for _ in range(iterations):
         weighed = patterns.select("votes", "n", posterior(model).alias("p"))
@@ -137,12 +138,14 @@ def fit(patterns: DataFrame, iterations: int = ITERATIONS) -> dict[str, float]:
         row = weighed.agg(*sums).first()
         if not row["all"]:
             return model
-        total = {"good": row["good"], "bad": row["all"] - row["good"]}
+        total, before = {"good": row["good"], "bad": row["all"] - row["good"]}, model
         model = {"prior": (total["good"] + 1) / (row["all"] + 2)}
         for r in range(len(RULES)):
             for v in "-0+":
                 for y in total:
                     model[f"{r}{v}{y}"] = (row[f"{r}{v}{y}"] + 1) / (total[y] + 3)
+        if max(abs(model[k] - before[k]) for k in model) <= tolerance:
+            break
     return model
 
 
@@ -158,7 +161,7 @@ def score(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFr
                      "_text").drop("_text")
     # the texts are counted once; both the fit and the verdicts read this table
     rows = staged(counted.withColumn("votes", votes()).withColumn("base_failed", base_failed()), "quality")
-    model = fit(rows.groupBy("votes").agg(F.count("*").alias("n")))
+    model = fit(staged(rows.groupBy("votes").agg(F.count("*").alias("n")), "quality-votes"))
     judged = rows.withColumn("p_good", posterior(model))
     judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
     return judged.select("_row.*", F.struct(*(c for c in judged.columns if c != "_row")).alias(out))
