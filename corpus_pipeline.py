@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelist.llm import best_fit, decontaminate, jaccard_join, line_dedup, quality_em
-from duelist.llm.common import documents, staged, tokenizer_path
+from duelist.llm.common import documents, fresh, staged, tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +19,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut out; documents of which nothing is left go."""
-    cut = line_dedup.drop_repeats(docs)
-    left = cut.filter((F.size("removed") == 0) | F.col("text").rlike(r"\S")).drop("removed")
+    removed = fresh(docs, "removed")
+    cut = line_dedup.drop_repeats(docs, removed=removed)
+    left = cut.filter((F.size(removed) == 0) | F.col("text").rlike(r"\S")).drop(removed)
     return left.withColumn("n_chars", F.length("text").cast("long"))
 
 

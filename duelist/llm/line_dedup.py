@@ -3,10 +3,10 @@
 Every run of three consecutive lines of a document is hashed; a document of fewer lines is one window. The
 first place of each hash, by (doc_id, line number), is kept over the whole corpus, later ones are covered. Covered
 windows overlap; a line goes if any covered window holds it. Single frequent lines ("Share this page") stay,
-passages of three lines and more that recur go. Lines longer than ``LONG_LINE`` characters count as a passage of their own:
-a window of that one line, so that a repeated paragraph is found in whatever surroundings.
+passages of three lines and more that recur go. One line of more than ``LONG_WORDS`` words, or two lines in a row that
+together have more, count as a passage of their own, so that a repeated paragraph is found in whatever surroundings.
 
-Only hashes are shuffled, four numbers a window, summed up per hash before the shuffle. A hot window is one row for
+Only hashes are shuffled, two of 64 bits a window, so that unlike windows practically never agree, summed up per hash before the shuffle. A hot window is one row for
 each task; the join that finds its later places is a sort-merge join that AQE splits.
 """
 
@@ -15,14 +15,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelist.llm.common import fresh, staged
+from duelist.llm.common import SPACE, fresh, staged
 
 WINDOW = 3
-LONG_LINE = 250
+LONG_WORDS = 50
 
 
 def windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``text_hash``, ``at`` (first line), ``n_lines`` and ``hash`` of every window.
+    """``doc_id``, ``text_hash``, ``at`` (first line), ``n_lines``, ``hash`` and ``hash2`` of every window.
 
     Lines are split at ``\\n`` and compared without white space at their ends; blank lines are skipped.
     """
@@ -30,18 +30,23 @@ def windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
         "filter(transform(split({t}, '\\n'), (l, i) -> struct(i AS at, btrim(l, ' \\t\\r\\u000b\\f') AS l)), x -> x.l <> '')"
     ).format(t=f"`{text}`")
     df = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.expr(lines).alias("_lines"))
-    df = df.select("doc_id", "text_hash", F.expr("transform(_lines, x -> struct(x.at, xxhash64(x.l) AS h, length(x.l) AS n))").alias("_l"))
-    runs = (
-        f"transform(sequence(0, greatest(0, size(a) - {WINDOW})), i -> struct(a[i].at AS at, "
-        f"a[least(i + {WINDOW - 1}, size(a) - 1)].at - a[i].at + 1 AS n_lines, "
-        f"xxhash64(transform(slice(a, i + 1, {WINDOW}), x -> x.h)) AS hash))"
-    )
-    singles = (
-        f"transform(filter(a, x -> size(a) > 1 AND x.n > {LONG_LINE}), x -> struct(x.at AS at, 1 AS n_lines, xxhash64(array(x.h)) AS hash))"
-    )
+    words = SPACE.replace("\\", "\\\\") + "+"
+    df = df.select("doc_id", "text_hash", F.expr(
+        f"transform(_lines, x -> struct(x.at, xxhash64(x.l) AS h, xxhash64('second', x.l) AS g, size(split(x.l, '{words}')) AS n))").alias("_l"))
+
+    def window(at: str, size: int, until: str) -> str:
+        part = f"slice(a, {at} + 1, {size})"
+        return (f"struct(a[{at}].at AS at, a[{until}].at - a[{at}].at + 1 AS n_lines, xxhash64(transform({part}, x -> x.h)) AS hash, "
+                f"xxhash64(transform({part}, x -> x.g)) AS hash2)")
+
+    places = "sequence(0, size(a) - 1)"
+    runs = f"transform(sequence(0, greatest(0, size(a) - {WINDOW})), i -> {window('i', WINDOW, f'least(i + {WINDOW - 1}, size(a) - 1)')})"
+    singles = f"transform(filter({places}, i -> size(a) > 1 AND a[i].n > {LONG_WORDS}), i -> {window('i', 1, 'i')})"
+    pairs = (f"transform(filter({places}, i -> size(a) > 2 AND i < size(a) - 1 AND a[i].n + get(a, i + 1).n > {LONG_WORDS}), "
+             f"i -> {window('i', 2, 'i + 1')})")
     return (
         df.filter("size(_l) > 0")
-        .select("doc_id", "text_hash", F.explode(F.expr(f"transform(array(_l), a -> concat({runs}, {singles}))[0]")).alias("w"))
+        .select("doc_id", "text_hash", F.explode(F.expr(f"transform(array(_l), a -> concat({runs}, {singles}, {pairs}))[0]")).alias("w"))
         .select("doc_id", "text_hash", "w.*")
     )
 
@@ -51,9 +56,9 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     found = staged(windows(docs, text, doc_id), "line-windows")
     # written, so that both sides of the join are plain scans and AQE can split a hot hash
     first = staged(
-        found.groupBy("hash").agg(F.min(F.struct("doc_id", "text_hash", "at")).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1").select("hash", "first"), "line-firsts")
-    later = found.join(first, "hash").filter(~F.struct("doc_id", "text_hash", "at").eqNullSafe(F.col("first")))
+        found.groupBy("hash", "hash2").agg(F.min(F.struct("doc_id", "text_hash", "at")).alias("first"), F.count("*").alias("n"))
+        .filter("n > 1").select("hash", "hash2", "first"), "line-firsts")
+    later = found.join(first, ["hash", "hash2"]).filter(~F.struct("doc_id", "text_hash", "at").eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "text_hash").agg(
         F.expr("sort_array(array_distinct(flatten(collect_set(sequence(at, at + n_lines - 1)))))").alias("lines"))
 
@@ -64,16 +69,18 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", re
     Documents keep their rows: one whose lines all go has an empty text. NULL texts stay NULL, empty ones
     empty. Rows with equal id and text are one document that occurs twice: the one that is kept has the smallest id
     (NULL ids first), then text hash; rows equal in both are not told apart and stay as they are.
+    An empty table gives an empty result; other columns pass through, whatever their names.
     """
-    removed, key = fresh(docs, removed), fresh(docs, "_text_hash")
-    cut = repeated_lines(docs, text, doc_id).withColumnsRenamed({"doc_id": "_cut_id", "text_hash": "_cut_hash", "lines": "_cut"})
+    removed, key, gone = fresh(docs, removed), fresh(docs, "_text_hash"), fresh(docs, "_cut")
+    cut_id, cut_hash = fresh(docs, "_cut_id"), fresh(docs, "_cut_hash")
+    cut = repeated_lines(docs, text, doc_id).withColumnsRenamed({"doc_id": cut_id, "text_hash": cut_hash, "lines": gone})
     keyed = docs.withColumn(key, F.xxhash64(text))
-    joined = keyed.join(cut, keyed[doc_id].eqNullSafe(cut["_cut_id"]) & (keyed[key] == cut["_cut_hash"]), "left")
+    joined = keyed.join(cut, keyed[doc_id].eqNullSafe(cut[cut_id]) & (keyed[key] == cut[cut_hash]), "left")
     left = F.expr(
-        f"if(_cut IS NULL, `{text}`, array_join(flatten(transform(array(array_except(sequence(0, size(split(`{text}`, '\\n')) - 1), _cut)), "
+        f"if({gone} IS NULL, `{text}`, array_join(flatten(transform(array(array_except(sequence(0, size(split(`{text}`, '\\n')) - 1), {gone})), "
         f"k -> transform(array(split(`{text}`, '\\n')), l -> transform(k, i -> l[i])))[0]), '\\n'))"
     )
     return joined.select(
         *(left.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns),
-        F.coalesce("_cut", F.array().cast("array<int>")).alias(removed),
+        F.coalesce(gone, F.array().cast("array<int>")).alias(removed),
     )

@@ -29,19 +29,20 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc_id", "text", F.array_join("removed", ",").alias("removed_lines"))
 
 
-OP3_SQL = f"""
+OP3_SQL = """
 WITH lines AS (
   SELECT doc_id, i - 1 AS pos, trim(a[i], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS l
   FROM (SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i
         FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL))
 ), numbered AS (
   SELECT doc_id, pos, l, count(*) OVER d AS n, row_number() OVER o AS r, lead(l, 1) OVER o AS l2, lead(l, 2) OVER o AS l3,
-         lead(pos, 1) OVER o AS pos2, lead(pos, 2) OVER o AS pos3
-  FROM lines WHERE l <> '' WINDOW d AS (PARTITION BY doc_id), o AS (PARTITION BY doc_id ORDER BY pos)
+         lead(pos, 1) OVER o AS pos2, lead(pos, 2) OVER o AS pos3, n_words, lead(n_words, 1) OVER o AS n_words2
+  FROM (SELECT *, len(regexp_extract_all(l, '[^\\x20\\x09-\\x0D]+')) AS n_words FROM lines) WHERE l <> '' WINDOW d AS (PARTITION BY doc_id), o AS (PARTITION BY doc_id ORDER BY pos)
 ), windows AS (
   SELECT doc_id, pos, pos3 AS until, [l, l2, l3] AS k FROM numbered WHERE n >= 3 AND r <= n - 2
   UNION ALL SELECT doc_id, pos, pos2, [l, l2] FROM numbered WHERE n = 2 AND r = 1
-  UNION ALL SELECT doc_id, pos, pos, [l] FROM numbered WHERE n = 1 OR length(l) > {line_dedup.LONG_LINE}
+  UNION ALL SELECT doc_id, pos, pos, [l] FROM numbered WHERE n = 1 OR n_words > 50
+  UNION ALL SELECT doc_id, pos, pos2, [l, l2] FROM numbered WHERE n >= 3 AND r < n AND n_words + n_words2 > 50
 ), later AS (
   SELECT doc_id, unnest(range(pos, until + 1)) AS line
   FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) AS r FROM windows) WHERE r > 1

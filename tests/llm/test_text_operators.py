@@ -80,7 +80,9 @@ def brute_lines(rows):
         lines = text.split("\n")
         full = [(i, s) for i, s in ((i, line.strip(" \t\r\x0b\f")) for i, line in enumerate(lines)) if s]
         runs = [full[i : i + 3] for i in range(max(1, len(full) - 2))] if full else []
-        runs += [[x] for x in full if len(full) > 1 and len(x[1]) > line_dedup.LONG_LINE]
+        size = lambda *some: sum(len(re.findall(r"[^\x20\x09-\x0D]+", x[1])) for x in some)
+        runs += [[x] for x in full if len(full) > 1 and size(x) > 50]
+        runs += [list(x) for x in zip(full, full[1:]) if len(full) > 2 and size(*x) > 50]
         gone = set()
         for run in sorted(runs, key=lambda r: r[0][0]):
             words = tuple(x[1] for x in run)
@@ -100,6 +102,17 @@ def test_line_dedup_equals_brute_force(spark, sf_dir):
     assert {r["doc_id"]: (r["text"], r["removed"]) for r in got.collect()} == brute_lines(rows)
 
 
+def test_long_passages_of_one_and_two_lines_go_whatever_their_characters(spark):
+    one, short = " ".join(f"a{k}" for k in range(51)), " ".join(f"b{k}" for k in range(50))
+    two = "\n".join(" ".join(f"{c}{k}" for k in range(40)) for c in "cd")
+    rows = [(3 * k + j, f"own {k} {j}\n{text}\nends {k} {j}\nand {j} more {k}") for k in range(3) for j, text in enumerate((one, short, two))]
+    rows += [(100, "x" * 400 + "\nq1\nq2\nq3"), (101, "q4\nq5\nq6\n" + "x" * 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _cut", "2 AS removed", "3 AS hash", "4 AS lines", "5 AS _cut_id")
+    got = {r["doc_id"]: (r["text"], r["_removed"]) for r in line_dedup.drop_repeats(df).collect()}
+    assert got == brute_lines(rows)
+    assert [len(got[k][1]) for k in range(9)] == [0, 0, 0, 1, 0, 2, 1, 0, 2] and not got[101][1]
+
+
 def test_line_dedup_edge_cases(spark):
     df = spark.createDataFrame([(None, "a\nb\nc", 1), (1, "a\nb\nc", 2), (1, "a\nb\nc", 3)], "doc_id long, text string, removed int")
     got = line_dedup.drop_repeats(df)
