@@ -20,6 +20,11 @@ TOGETHER = 1_000
 _MARKED = re.compile(r"(\n?[^\W_]+)([^\w\s]+)")
 
 
+#: Byte-level tokenizers write each byte as a character: printable ones as themselves, the others from U+0100 on.
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_CHARS = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
 class _Pieces:
     """Ids of text pieces as bytes, in ``known``. Of two generations of bounded size the older one is dropped when the
     younger is full; what is still in use moves over. Pieces with white space inside are never kept."""
@@ -67,12 +72,14 @@ class Encoder:
     A byte-level tokenizer without a normalizer splits a text before it merges: a space or line end
     between two other characters always starts a new split. Such texts are cut there and every
     different piece is encoded once per task. Texts with other white space, or several in a row, and other kinds
-    of tokenizer go through the tokenizer whole. Both ways give the same ids. Strings of special tokens are ordinary text.
+    of tokenizer go through the tokenizer whole. Both ways give the same ids. A piece of letters alone is one unit for the
+    tokenizer's model, which is asked directly. Strings of the tokenizer's added tokens in a text become their ids, as
+    the library does by default; with ``specials=False`` they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not specials
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         conf = json.loads(self.tokenizer.to_str())
@@ -81,6 +88,11 @@ class Encoder:
             conf.get("normalizer") is None and conf.get("post_processor") is None and pre.get("type") == "ByteLevel"
             and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
         )
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if specials or not t.special]
+        self.added = re.compile("|".join(added)) if added else None
+        model = conf["model"]
+        self.letters = self.splits and model.get("type") == "BPE" and not model.get("dropout") and not any(
+            model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix"))
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.line_end = self._whole("\n")
@@ -95,7 +107,32 @@ class Encoder:
         return ids.tobytes()
 
     def _many(self, words: list[str], lead: str) -> list[bytes]:
-        """Ids of each word behind a space, a line end or nothing; many words as lines of one text."""
+        """Ids of each word behind a space, a line end or nothing."""
+        if not self.letters:
+            return self._lines(words, lead)
+        tokenize, start, before = self.tokenizer.model.tokenize, b"", ""
+        if lead == "\n":
+            start = self.line_end
+        elif lead:
+            before = lead.translate(_BYTE_CHARS)
+        out: list[bytes] = []
+        rest: list[int] = []
+        for k, word in enumerate(words):
+            if not word.isalpha():
+                rest.append(k)
+                out.append(b"")
+                continue
+            chars = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
+            ids = array(self.code, [t.id for t in tokenize(before + chars)])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            out.append(start + ids.tobytes())
+        for k, ids in zip(rest, self._lines([words[k] for k in rest], lead), strict=True):
+            out[k] = ids
+        return out
+
+    def _lines(self, words: list[str], lead: str) -> list[bytes]:
+        """The same by the tokenizer itself, many words as lines of one text."""
         out: list[bytes] = []
         size, line_end = self.dtype.itemsize, np.frombuffer(self.line_end, self.dtype)[0]
         before, start = ("", self.line_end) if lead == "\n" else (lead, b"")
@@ -121,7 +158,7 @@ class Encoder:
             known, width = self.pieces.known.__getitem__, self.dtype.itemsize
             for text, own in zip(some, parts):
                 try:
-                    out.append(b"".join(map(known, own))[width:] if text else b"")
+                    out.append(b"".join(map(known, own))[width:] if text and not (self.added and self.added.search(text)) else self._whole(text))
                 except KeyError:
                     out.append(self._whole(text))
         return out

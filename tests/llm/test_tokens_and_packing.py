@@ -22,7 +22,6 @@ HARD = ["", " ", " a", "a ", "\n", "a\n", "\na", "a\nb c", "a  b", "a \nb", "don
 @pytest.fixture(scope="module")
 def encode():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -32,6 +31,26 @@ def test_pieces_give_the_ids_of_whole_texts(encode):
     assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_batch([*HARD, None])] == [encode(t) for t in [*HARD, None]]
 
 
+def test_added_tokens_as_the_library_has_them_or_as_text():
+    text = "x<|endoftext|> y"
+    tokenizer = Tokenizer.from_file(PATH)
+    for specials in (True, False):
+        enc = Encoder(PATH, specials)
+        tokenizer.encode_special_tokens = not specials
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == want and (50256 in want) == specials
+
+
+def test_words_of_letters_go_to_the_model_with_equal_ids(encode, sf_dir):
+    import pyarrow.parquet as pq
+
+    enc = Encoder(PATH)
+    texts = pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"])["text"].to_pylist()
+    texts += ["ünïcödé ﬁ ß日本語 Ⅷ ٣٤ a1b2 İstanbul ǅ", "\u0130 \u01c5x é́", "Ωmega\nżółw\nπ3"]
+    assert enc.letters
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_batch(texts)] == [encode(t) for t in texts]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="aBé'.,%1 \n\t ²_", max_size=25))
 def test_pieces_give_the_ids_of_any_text(text):
