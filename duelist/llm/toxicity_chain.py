@@ -6,30 +6,38 @@ scored by a model that has not seen them, so a later model learns to trust its p
 carry over to new texts. In use the models trained on all rows take their place.
 
 Training reads a bounded sample of labelled rows, about ``MAX_TRAIN``, those with the smallest hash of the id; folds are hashes as
-well, so nothing depends on row order. The vocabulary is what occurs in ``MIN_TEXTS`` texts of the sample; an L1
-penalty leaves a few hundred weights that matter. Fitting and scoring run as Spark ML jobs; every text is scored whole.
+well, so nothing depends on row order. The vocabulary is all that occurs in ``MIN_TEXTS`` texts of the sample; an L1
+penalty leaves some thousand weights that matter. Fitting runs as Spark ML jobs. Scoring keeps only entries with a weight in some
+model, and works out once per different word which of them it is or begins with; every text is scored whole.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from duelist.llm.common import fresh, plain_words, staged
+from duelist.llm.common import fresh, importable, plain_words, staged
 
 CATEGORIES = ("quality", "toxic")
 MAX_TRAIN = 20_000
-MAX_FEATURES = 1 << 16
 MIN_TEXTS = 5
 PREFIXES = (3, 4, 5, 6, 7)
 FOLDS = 3
 MAX_ITER = 30
 REG = 3e-4
+CACHE_WORDS = 500_000
+#: What ``plain_words`` splits a lower-case text into.
+_WORD = re.compile(r"[^\W_]+")
 
 
 @dataclass
@@ -50,14 +58,6 @@ def _tokens(words: str) -> Column:
         f"transform(filter(array({begins}), n -> n < length(x)), n -> concat(left(x, n), '*')))))))[0]")
 
 
-def _featurized(df: DataFrame, text: str, vocabulary: CountVectorizerModel | None) -> DataFrame:
-    """``_words``: which entries of the vocabulary occur."""
-    if vocabulary is None:
-        return df
-    tokens = df.withColumn("_plain", plain_words(F.col(text))).withColumn("_tokens", _tokens("_plain"))
-    return vocabulary.transform(tokens).drop("_plain", "_tokens")
-
-
 def _inputs(df: DataFrame, k: int) -> DataFrame:
     """``_x``: word indicators and the log odds of the first ``k`` categories."""
     if not k:
@@ -96,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     rows = staged(texts.select("_id", *categories, F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)).alias("_fold"),
                                plain_words(F.col("_text")).alias("_plain")).withColumn("_tokens", _tokens("_plain")).drop("_plain"),
                   "toxicity-tokens")
-    vectorizer = CountVectorizer(inputCol="_tokens", outputCol="_words", binary=True, minDF=MIN_TEXTS, vocabSize=MAX_FEATURES)
+    vectorizer = CountVectorizer(inputCol="_tokens", outputCol="_words", binary=True, minDF=MIN_TEXTS, vocabSize=2**31 - 1)
     # fitting fails where no entry occurs often enough
     often = rows.select(F.explode("_tokens").alias("t")).groupBy("t").count().filter(F.col("count") >= MIN_TEXTS)
     vocabulary = None if often.isEmpty() else vectorizer.fit(rows)
@@ -126,16 +126,63 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     return chain
 
 
+def _entries(chain: Chain) -> tuple[dict[str, int], np.ndarray]:
+    """Vocabulary entries with a weight in some model, numbered, and their weights (entries x categories)."""
+    if chain.vocabulary is None:
+        return {}, np.zeros((0, len(chain.categories)))
+    names = chain.vocabulary.vocabulary
+    weights = np.zeros((len(names), len(chain.categories)))
+    for k, model in enumerate(chain.models):
+        if model is not None:
+            weights[:, k] = model.coefficients.toArray()[: len(names)]
+    used = np.flatnonzero(weights.any(axis=1))
+    return {names[i]: k for k, i in enumerate(used)}, weights[used]
+
+
+def _scores(chain: Chain, column: str, names: list[str]):
+    entries, weights = _entries(chain)
+    later = [None if m is None else (m.intercept, m.coefficients.toArray()[len(m.coefficients) - k :] if k else np.empty(0))
+             for k, m in enumerate(chain.models)]
+    constants = chain.constants
+    begins = sorted({len(t) - 1 for t in entries if t.endswith("*")})
+
+    def found(word: str) -> tuple[int, ...]:
+        own = [word, *(word[:n] + "*" for n in begins if n < len(word))]
+        return tuple(entries[t] for t in own if t in entries)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[int, ...]] = {}
+        for batch in batches:
+            texts = batch.column(column)
+            sums = np.zeros((batch.num_rows, len(names)))
+            for i in range(batch.num_rows):
+                if not (own := set(_WORD.findall((texts[i].as_py() or "").lower()))):
+                    continue
+                if len(known) > CACHE_WORDS:
+                    known.clear()
+                for word in own.difference(known):
+                    known[word] = found(word)
+                if hits := set().union(*filter(None, map(known.__getitem__, own))):
+                    sums[i] = weights[sorted(hits)].sum(axis=0)
+            odds, out = [], []
+            for k, model in enumerate(later):
+                p = np.full(batch.num_rows, constants[k])
+                if model is not None:
+                    margin = sums[:, k] + model[0] + sum((w * o for w, o in zip(model[1], odds)), np.zeros(batch.num_rows))
+                    p = 1 / (1 + np.exp(-margin))
+                out.append(pa.array(p))
+                odds.append(np.log(np.maximum(p, 1e-4) / np.maximum(1 - p, 1e-4)) / 4)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*batch.schema.names, *names])
+
+    return scored
+
+
 def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
-    """``docs`` with ``p_<category>`` for every category of the chain; all other columns pass through."""
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    df = _featurized(docs.select(row, F.col(f"`{text}`").alias("_text")), "_text", chain.vocabulary)
-    df = df.drop("_text")
-    for k in range(len(chain.categories)):
-        df = _probability(_inputs(df, k) if chain.models[k] else df, chain.models[k], chain.constants[k], f"_p{k}").drop("_x")
-        df = df.withColumn(f"_odds{k}", _odds(F.col(f"_p{k}")))
+    """``docs`` with ``p_<category>`` for every category of the chain; all other columns pass through. NULL, empty and
+    wordless texts have the models' intercepts for a score; repeated rows are scored alike; an empty table stays empty."""
     names = [fresh(docs, f"p_{c}") for c in chain.categories]
-    return df.select("_row.*", *(F.col(f"_p{k}").alias(n) for k, n in enumerate(names)))
+    schema = StructType([*docs.schema.fields, *(StructField(n, DoubleType()) for n in names)])
+    return importable(docs).mapInArrow(_scores(chain, text, names), schema)
 
 
 def flag(docs: DataFrame, chain: Chain, category: str = "toxic", threshold: float = 0.5, text: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -225,3 +226,23 @@ def test_no_labels_and_one_class(spark):
     assert {r["p_toxic"] for r in toxicity_chain.score(docs, none).collect()} == {0.0}
     one = toxicity_chain.fit(docs, spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int"))
     assert {(r["p_quality"], r["p_toxic"]) for r in toxicity_chain.score(docs, one).collect()} == {(1.0, 0.0)}
+
+
+def test_scores_are_those_of_the_whole_vocabulary(spark, sf_dir):
+    """Pruned scoring against the fitted vocabulary and models applied one after the other, without any pruning."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    chain = toxicity_chain.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    got = {r["doc_id"]: (r["p_quality"], r["p_toxic"]) for r in toxicity_chain.score(docs, chain).collect()}
+    words = docs.withColumn("_plain", toxicity_chain.plain_words(F.col("text"))).withColumn("_tokens", toxicity_chain._tokens("_plain"))
+    rows = chain.vocabulary.transform(words)
+    index = {r["doc_id"]: set(r["_words"].indices.tolist()) for r in rows.select("doc_id", "_words").collect()}
+    assert len(got) == len(index) and any(m is not None for m in chain.models)
+    for key, found in index.items():
+        odds = []
+        for k, model in enumerate(chain.models):
+            p = chain.constants[k]
+            if model is not None:
+                own, size = model.coefficients.toArray(), len(chain.vocabulary.vocabulary)
+                p = 1 / (1 + math.exp(-(model.intercept + sum(own[i] for i in found) + sum(w * o for w, o in zip(own[size:], odds)))))
+            assert abs(p - got[key][k]) < 1e-12
+            odds.append(math.log(max(p, 1e-4) / max(1 - p, 1e-4)) / 4)
