@@ -6,7 +6,7 @@ scored by a model that has not seen them, so a later model learns to trust its p
 carry over to new texts. In use the models trained on all rows take their place.
 
 Training reads a bounded sample of labelled rows, about ``MAX_TRAIN``, those with the smallest hash of the id; folds are hashes as
-well, so nothing depends on row order. The vocabulary is all that occurs in ``MIN_TEXTS`` texts of the sample; an L1
+well, so nothing depends on row order. The vocabulary is all that occurs in ``MIN_TEXTS`` texts and a share ``MIN_SHARE`` of the sample; an L1
 penalty leaves some thousand weights that matter. Fitting runs as Spark ML jobs. Scoring keeps only entries with a weight in some
 model, and works out once per different word which of them it is or begins with; every text is scored whole.
 """
@@ -30,7 +30,8 @@ from duelist.llm.common import fresh, importable, plain_words, staged
 
 CATEGORIES = ("quality", "toxic")
 MAX_TRAIN = 20_000
-MIN_TEXTS = 5
+#: A vocabulary entry occurs in so many texts of the sample, and in this share of them: rarer ones carry no weight to speak of.
+MIN_TEXTS, MIN_SHARE = 5, 0.001
 PREFIXES = (3, 4, 5, 6, 7)
 FOLDS = 3
 MAX_ITER = 30
@@ -96,9 +97,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     rows = staged(texts.select("_id", *categories, F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)).alias("_fold"),
                                plain_words(F.col("_text")).alias("_plain")).withColumn("_tokens", _tokens("_plain")).drop("_plain"),
                   "toxicity-tokens")
-    vectorizer = CountVectorizer(inputCol="_tokens", outputCol="_words", binary=True, minDF=MIN_TEXTS, vocabSize=2**31 - 1)
+    enough = max(MIN_TEXTS, MIN_SHARE * rows.count())
+    vectorizer = CountVectorizer(inputCol="_tokens", outputCol="_words", binary=True, minDF=enough, vocabSize=2**31 - 1)
     # fitting fails where no entry occurs often enough
-    often = rows.select(F.explode("_tokens").alias("t")).groupBy("t").count().filter(F.col("count") >= MIN_TEXTS)
+    often = rows.select(F.explode("_tokens").alias("t")).groupBy("t").count().filter(F.col("count") >= enough)
     vocabulary = None if often.isEmpty() else vectorizer.fit(rows)
     chain = Chain(categories, vocabulary, [], [])
     if vocabulary is not None:
