@@ -113,6 +113,60 @@ def sample(df: DataFrame, key: str | list[str], fraction: float,
     return df.filter(f"{u} < {fraction!r}D"), df.filter(f"{u} >= {fraction!r}D")
 
 
+def exact_split(df: DataFrame, key: str | list[str], fraction: float, by: tuple[str, ...] = (), salt: str = SPLIT_SALT,
+                method: str = "md5", column: str = "sampled") -> DataFrame:
+    """Marks exactly ``floor(fraction * rows + 0.5)`` rows, per class if ``by`` names columns, whatever the layout.
+
+    The marked rows are those with the smallest hash of the key. Where the hash has to end is found by counting,
+    without a sort of the table: rows per 16 bits of hash and class, a running sum over these at most 65,536
+    counts of a class, and a closer look at the one step where the sum passes the wanted number. Only rows of that
+    step are shuffled and ordered, by the rest of the hash and then by a hash of the whole row; equal rows are one
+    row with a number there, so neither a key nor a row that makes up much of the table is a task of its own.
+
+    Rows with equal keys, NULL keys too, are told apart by their other columns; of equal rows any are taken. NULL
+    classes are a class. An empty table stays empty. Columns must be of types that can be grouped (no maps).
+    The table is read three times: counts, rows off the step, rows on it.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be between 0 and 1")
+    if column in df.columns or any(c.startswith("_ex_") for c in df.columns):
+        raise ValueError(f"the table has a column {column} or one that starts with _ex_")
+    u = hash_sql(key, quote(salt), method)
+    hashed = df.selectExpr("*", f"cast(floor({u} * {2**32}D) AS bigint) AS _ex_h")
+    steps = hashed.groupBy(*by, F.expr("shiftright(_ex_h, 16) AS _ex_step")).agg(F.expr("count(*) AS _ex_rows"))
+    part = f"PARTITION BY {', '.join(f'`{c}`' for c in by)}" if by else "PARTITION BY 1"
+    edge = steps.selectExpr(
+        "*", f"sum(_ex_rows) OVER ({part} ORDER BY _ex_step) AS _ex_upto",
+        f"cast(floor({fraction!r}D * sum(_ex_rows) OVER ({part}) + 0.5D) AS bigint) AS _ex_want",
+    ).selectExpr(
+        # the first step that reaches the wanted number; its rows before are all marked
+        *(f"`{c}`" for c in by), "_ex_step AS _ex_edge", "_ex_want - (_ex_upto - _ex_rows) AS _ex_left", "_ex_want", "_ex_upto",
+        "_ex_rows").filter("_ex_upto >= _ex_want AND (_ex_upto - _ex_rows < _ex_want OR (_ex_want = 0 AND _ex_upto = _ex_rows))")
+    edge = edge.select(*by, "_ex_edge", "_ex_left")
+    names = [f"`{c}`" for c in df.columns]
+    if by:
+        joined = _join_null_safe(hashed, edge, list(by))
+    else:  # one row, or none for an empty table
+        row = edge.first()
+        joined = hashed.selectExpr("*", f"{row['_ex_edge'] if row else 0}L AS _ex_edge", f"{row['_ex_left'] if row else 0}L AS _ex_left")
+    off = joined.filter("shiftright(_ex_h, 16) <> _ex_edge").selectExpr(*names, f"shiftright(_ex_h, 16) < _ex_edge AS `{column}`")
+    on = joined.filter("shiftright(_ex_h, 16) = _ex_edge").groupBy(*df.columns, "_ex_h", "_ex_left").agg(F.expr("count(*) AS _ex_copies"))
+    on = on.selectExpr("*", f"xxhash64({', '.join(names)}) AS _ex_row")
+    keys = [key] if isinstance(key, str) else key
+    order = ", ".join(["_ex_h", "shiftright(_ex_row, 48)", *keys, "_ex_row"])
+    placed = with_position(on, order, "(_ex_h & 65535) * 65536 + shiftright(_ex_row, 48) + 32768", by, "_ex_at", weight="_ex_copies")
+    marked = placed.selectExpr(*names, "explode(sequence(1L, _ex_copies)) AS _ex_k", "_ex_at", "_ex_left").selectExpr(
+        *names, f"_ex_at + _ex_k <= _ex_left AS `{column}`")
+    return off.unionByName(marked)
+
+
+def exact_sample(df: DataFrame, key: str | list[str], fraction: float, by: tuple[str, ...] = (),
+                 salt: str = SPLIT_SALT, method: str = "md5") -> tuple[DataFrame, DataFrame]:
+    """A sample of exact size, see ``exact_split``, and its complement."""
+    marked = exact_split(df, key, fraction, by, salt, method, "_sampled")
+    return marked.filter("_sampled").drop("_sampled"), marked.filter("NOT _sampled").drop("_sampled")
+
+
 def complement(df: DataFrame, part: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows whose key is not in ``part``, for parts that did not come from a hash.
 
@@ -137,9 +191,11 @@ def assign_group_by(df: DataFrame, key: str | list[str], test_name: str, traffic
 
 
 def with_position(df: DataFrame, order: str, bucket: str, keys: tuple[str, ...] = (),
-                  column: str = "position") -> DataFrame:
+                  column: str = "position", weight: str | None = None) -> DataFrame:
     """Dense position 0, 1, 2, ... in the given total order (SQL text), per ``keys``.
 
+    With ``weight`` (SQL text) a row stands for so many equal ones; its position is that of the first.
+
     ``bucket`` (SQL text) must never decrease along the order. Rows are numbered inside a
     bucket and shifted by the number of rows in earlier buckets, so no task holds a whole
     key. Offsets are one row per (keys, bucket). They are summed on two levels, inside runs of
@@ -150,7 +206,7 @@ def with_position(df: DataFrame, order: str, bucket: str, keys: tuple[str, ...]
     earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     part = f"PARTITION BY {', '.join(keys)} " if keys else ""
     rows = df.selectExpr("*", f"{bucket} AS _bucket")
-    counted = rows.groupBy(*keys, "_bucket").agg(F.expr("count(*) AS _rows")).selectExpr("*", f"floor(_bucket / {OFFSET_RUN}) AS _run")
+    counted = rows.groupBy(*keys, "_bucket").agg(F.expr(f"sum({weight or 1}) AS _rows")).selectExpr("*", f"floor(_bucket / {OFFSET_RUN}) AS _run")
     inner = counted.selectExpr(
         *keys, "_bucket", "_run",
         f"coalesce(sum(_rows) OVER (PARTITION BY {', '.join([*keys, '_run'])} ORDER BY _bucket {earlier}), 0) AS _inner",
@@ -159,7 +215,8 @@ def with_position(df: DataFrame, order: str, bucket: str, keys: tuple[str, ...]
         *keys, "_run", f"coalesce(sum(_rows) OVER ({part}ORDER BY _run {earlier}), 0) AS _outer"
     )
     offsets = _join_null_safe(inner, outer, [*keys, "_run"]).selectExpr(*keys, "_bucket", "_inner + _outer AS _offset")
-    numbered = rows.selectExpr("*", f"row_number() OVER (PARTITION BY {by} ORDER BY {order}) AS _rn")
+    window = f"OVER (PARTITION BY {by} ORDER BY {order} ROWS UNBOUNDED PRECEDING)"
+    numbered = rows.selectExpr("*", f"sum({weight}) {window} - {weight} + 1 AS _rn" if weight else f"row_number() {window} AS _rn")
     return (
         _join_null_safe(numbered, offsets, [*keys, "_bucket"])
         .selectExpr("*", f"_offset + _rn - 1 AS {column}")
