@@ -12,7 +12,7 @@ from duelist.operators.models import EXPERIMENT
 from duelist.plans.ab_test import ab_job
 from duelist.plans.training import train_job
 from duelist.sources.session import object_store_conf, session
-from duelist.sources.tables import read_csv, read_parquet
+from duelist.sources.tables import TRANSACTION_SCHEMA, read_csv, read_parquet
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -20,6 +20,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--input", required=True, help="table: parquet, or a path that ends in .csv")
+    common.add_argument("--schema", help="columns and types as DDL, or 'transactions'; saves the pass that finds the types of a CSV")
     common.add_argument("--root", required=True, help="shared folder of the run tables")
     common.add_argument("--key", required=True, help="unique row key")
     common.add_argument("--label", default="tx_fraud")
@@ -33,6 +34,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     train = jobs.add_parser("train", parents=[common])
     train.add_argument("--output", help="model path (default: under --root)")
     train.add_argument("--model-type", default="rf", choices=["rf", "lr"])
+    train.add_argument("--tune", help='values to try as JSON, e.g. {"maxDepth": [3, 5, 8]}; by successive halving')
     train.add_argument("--on-null", default="error", choices=["error", "skip", "impute"])
     train.add_argument("--auto-register", action="store_true")
     train.add_argument("--run-name")
@@ -43,29 +45,29 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path) if path.rstrip("/").endswith(".csv") else read_parquet(spark, path)
+def load(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    schema = TRANSACTION_SCHEMA if schema == "transactions" else schema
+    return (read_csv if path.rstrip("/").endswith(".csv") else read_parquet)(spark, path, schema)
 
 
 def main(argv: list[str] | None = None) -> dict:
     """Runs a job, prints its result as JSON and returns it; errors are raised."""
     args = arguments(argv)
     spark = session(args.job, object_store_conf(args.s3_endpoint_url) if args.s3_endpoint_url else None)
-    rows = load(spark, args.input)
+    rows = load(spark, args.input, args.schema)
     shared = {
         "key": args.key, "label": args.label, "time": args.time, "exclude": tuple(args.exclude),
         "weights": args.weights, "experiment": args.experiment_name,
         "normalise": not args.fractions, "bins": args.auc_bins,
     }
+    profile.preview(rows, args.key).show(truncate=False)
     if args.job == "train":
-        profile.preview(rows, args.key).show(truncate=False)
         run = train_job(
             spark, rows, args.root, model_type=args.model_type, on_null=args.on_null, run_name=args.run_name,
-            input_path=args.input, output_path=args.output, auto_register=args.auto_register,
+            tune=json.loads(args.tune) if args.tune else None, input_path=args.input, output_path=args.output, auto_register=args.auto_register,
             stage=args.input.rstrip("/").endswith(".csv"), **shared,
         )
-        run.profile.show(len(rows.columns), truncate=False)
-        result = {"run_id": run.run_id, "run_name": run.run_name, "version": run.version, **run.metrics}
+        result = {"run_id": run.run_id, "run_name": run.run_name, "version": run.version, "dropped": run.dropped, **run.metrics}
     else:
         run = ab_job(
             spark, rows, args.root, traffic_split=args.traffic_split, test_name=args.test_name,
@@ -74,6 +76,7 @@ def main(argv: list[str] | None = None) -> dict:
         result = {"run_id": run.run_id, "status": run.status, "reason": run.reason}
         if run.report is not None:
             result |= {c: run.report[c] for c in ("winner", "should_promote", "promotion_status", "improvement_message")}
+    run.profile.show(len(rows.columns), truncate=False)
     print(json.dumps(result))
     return result
 

@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 from duelist.functions.hashing import quote
 from duelist.operators import decision, models, registry
 from duelist.operators.features import select_features
+from duelist.operators.profile import column_profile
 from duelist.operators.sampling import ab_holdout, assign_group, holdout_start
 from duelist.plans.training import split_record
 from duelist.sources.runs import RunTables, load_by_alias
 
+#: Characters of an error's text that its record keeps.
+MAX_REASON = 4000
+
 
 @dataclass
 class AbRun:
@@ -24,6 +28,8 @@ class AbRun:
     status: str
     reason: str | None
     report: Row | None = None
+    #: Types and NULL counts of the input columns; lazy, costs a pass over the input when shown.
+    profile: DataFrame | None = None
 
 
 def ab_job(
@@ -48,12 +54,28 @@ def ab_job(
     """One A/B test of the experiment's champion against its challenger.
 
     Missing models, refused holdouts and undefined metrics end in a typed status with a stored result
-    document; other errors are raised. Everything is decided before anything is written, aliases move last.
+    document; other errors are stored with the status ``error`` and raised. Everything is decided before anything is written, aliases move last.
     ``bins`` trades the exact AUC for one on that many score steps, without the sort of all distinct scores.
     ``max_invalid_share`` is the share of rows without a usable label or score that a test survives.
     """
-    tables, run_id = RunTables(spark, root), uuid.uuid4().hex
-    name, now = registry.model_name(experiment), now or dt.datetime.now()
+    tables, run_id, now = RunTables(spark, root), uuid.uuid4().hex, now or dt.datetime.now()
+    try:
+        run = _test(tables, rows, run_id, now, key, label, time, exclude, weights, experiment, traffic_split, test_name, auto_promote,
+                    normalise, bins, max_invalid_share, hash_method)
+    except Exception as error:
+        try:
+            refused(tables, run_id, test_name, now, "error", f"{type(error).__name__}: {str(error)[:MAX_REASON]}")
+        except Exception as second:  # the first error is the one to see
+            error.add_note(f"and no record could be written: {second}")
+        raise
+    run.profile = column_profile(rows)
+    return run
+
+
+def _test(tables: RunTables, rows: DataFrame, run_id: str, now: dt.datetime, key: str, label: str, time: str, exclude: tuple[str, ...],
+          weights: list[float] | None, experiment: str, traffic_split: float, test_name: str, auto_promote: bool, normalise: bool,
+          bins: int | None, max_invalid_share: float, hash_method: str) -> AbRun:
+    spark, name = tables.spark, registry.model_name(experiment)
     loaded = {}
     for alias in (decision.CHAMPION, decision.CHALLENGER):
         loaded[alias] = load_by_alias(tables, name, alias)

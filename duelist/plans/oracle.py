@@ -357,6 +357,25 @@ SELECT ab_group, a || CASE WHEN b = '' THEN '' ELSE ' & ' || b END AS conditions
 FROM (SELECT *, CASE WHEN p IS NOT NULL THEN least(1.0, min(p * m / r) OVER (PARTITION BY ab_group ORDER BY p DESC)) END AS q
       FROM (SELECT *, count(p) OVER (PARTITION BY ab_group) AS m, nullif(count(p) OVER (PARTITION BY ab_group ORDER BY p), 0) AS r FROM pv))"""
 
+def _delong(v: str, w: str) -> str:
+    return (f"covar_samp(x{v}, x{w}) FILTER (y = 1) / count(*) FILTER (y = 1) + covar_samp(x{v}, x{w}) FILTER (y = 0) / count(*) FILTER (y = 0)")
+
+
+# Share of the other class that a row beats (ties half), under both scores of every row.
+_PAIRED = f"""both_scores AS (
+  SELECT priority, tx_fraud AS y, round(({u('tx_id', "'champ'")} + {CHAMPION_PULL} * tx_fraud) / {1 + CHAMPION_PULL}, 3) AS a,
+         round(({u('tx_id', "'chal'")} + {CHALLENGER_PULL} * tx_fraud) / {1 + CHALLENGER_PULL}, 3) AS b FROM tx),
+placed AS (
+  SELECT priority, y, {", ".join(f"""CASE WHEN y = 1
+           THEN (sum(1 - y) OVER (PARTITION BY priority ORDER BY {s}) - sum(1 - y) OVER (PARTITION BY priority, {s}) / 2.0)
+                / sum(1 - y) OVER (PARTITION BY priority)
+           ELSE (sum(y) OVER (PARTITION BY priority ORDER BY {s} DESC) - sum(y) OVER (PARTITION BY priority, {s}) / 2.0)
+                / sum(y) OVER (PARTITION BY priority) END AS x{s}""" for s in "ab")} FROM both_scores),
+delong AS (
+  SELECT priority, count(*) FILTER (y = 1) AS positives, count(*) FILTER (y = 0) AS negatives, avg(xa) FILTER (y = 1) AS a,
+         avg(xb) FILTER (y = 1) AS b, {_delong('a', 'a')} AS va, {_delong('b', 'b')} AS vb, {_delong('a', 'b')} AS vab
+  FROM placed GROUP BY priority)"""
+
 ORACLE: dict[str, str] = {
     "scan_transactions": with_(TX) + "SELECT * FROM tx",
     "csv_round_trip": _event_transaction_sql(),
@@ -401,6 +420,10 @@ ORACLE: dict[str, str] = {
     "ab_holdout": with_(TX) + f"SELECT tx_id, tx_fraud FROM tx WHERE {_SPLIT} >= {HOLDOUT_FROM!r}",
     "sample_fraction": with_(TX) + f"SELECT tx_id, tx_fraud FROM tx WHERE {_SPLIT} < 0.8",
     "sample_complement": with_(TX) + f"SELECT tx_id, tx_fraud FROM tx WHERE {_SPLIT} >= 0.8",
+    "sample_exact": with_(TX) + f"""SELECT tx_id, tx_fraud, row_number() OVER (PARTITION BY tx_fraud ORDER BY {_SPLIT}, tx_id)
+         <= floor(0.8 * count(*) OVER (PARTITION BY tx_fraud) + 0.5) AS sampled FROM tx""",
+    "sample_exact_total": with_(TX) + f"""SELECT tx_id, tx_amount FROM tx
+QUALIFY row_number() OVER (ORDER BY {_SPLIT}, tx_id) <= floor(count(*) OVER () / 3.0 + 0.5)""",
     "anti_complement": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "union_classes": "SELECT event_id, event_type, value, CAST(event_type = 'error' AS INTEGER) AS fraud FROM events",
     "shuffle_rows": with_(TX) + f"SELECT tx_id, tx_amount, row_number() OVER (ORDER BY {_SPLIT}, tx_id) - 1 AS position FROM tx",
@@ -469,6 +492,10 @@ SELECT test, {r6('z', 'accuracy_z')}, {r6(p_value('z'), 'accuracy_p_value')}, ab
 z AS (SELECT *, auc_improvement / sqrt(challenger_auc_se * challenger_auc_se + champion_auc_se * champion_auc_se) AS z FROM r)
 SELECT test, {r6('champion_auc_se', 'champion_auc_se')}, {r6('challenger_auc_se', 'challenger_auc_se')}, {r6('z', 'auc_z')},
        {r6(p_value('z'), 'auc_p_value')}, abs(z) > {Z_95!r} AS auc_significant FROM z""",
+    "paired_auc": with_(TX, _PAIRED) + f"""SELECT priority, positives, negatives, 0 AS invalid, {r6('a', 'first_auc')}, {r6('b', 'second_auc')},
+       {r6('sqrt(va)', 'first_auc_se')}, {r6('sqrt(vb)', 'second_auc_se')}, round(vab, 9) + 0.0 AS auc_covariance, {r6('b - a', 'auc_gain')},
+       {r6('z', 'paired_z')}, {r6(p_value('z'), 'paired_p_value')}, abs(z) > {Z_95!r} AS paired_significant
+FROM (SELECT *, (b - a) / sqrt(va + vb - 2 * vab) AS z FROM delong)""",
     "bootstrap_accuracy": with_(
         TX, scored("tx"),
         f"""counts AS (
@@ -504,7 +531,8 @@ FROM (SELECT *, CASE WHEN p IS NOT NULL THEN least(1.0, min(p * m / r) OVER (PAR
       FROM (SELECT *, count(p) OVER (PARTITION BY ab_group) AS m, nullif(count(p) OVER (PARTITION BY ab_group ORDER BY p), 0) AS r
             FROM (SELECT *, {p_value('z')} AS p FROM z)))""",
     **{name: _MODEL_ROWS + _HOLDOUT + extra + f" FROM labelled WHERE {u('tx_id', repr('42'))} >= 0.8" for name, extra in (
-        ("train_rf", ", true AS metrics_stored"), ("train_lr", ""), ("train_cv", ""))},
+        ("train_rf", ", true AS metrics_stored"), ("train_lr", ""), ("train_cv", ""),
+        ("train_halving", ", 10::BIGINT AS trials, true AS deeper_wins, true AS under_half_of_the_rows"))},
     "model_params": """SELECT * FROM (VALUES
   ('rf', 'model_type', 'RandomForestClassificationModel'), ('rf', 'best_numTrees', '10'), ('rf', 'best_maxDepth', '5'), ('rf', 'seed', '42'),
   ('rf', 'weight_tx_amount', 'used'), ('rf', 'weight_acct_bal', 'used'),

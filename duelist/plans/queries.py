@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelist.functions.hashing import hash_sql, quote
-from duelist.operators import bootstrap, decision, features, lattice, little_bootstrap, metrics, models, profile, registry, sampling, sequential, significance, slices
+from duelist.operators import bootstrap, decision, features, lattice, little_bootstrap, metrics, models, paired, profile, registry, sampling, sequential, significance, slices
 from duelist.plans import fixtures as fx
 from duelist.plans.periodic import report_by_period, with_period
 from duelist.plans.training import register_run, train_job
@@ -194,6 +194,19 @@ def sample_complement(spark, sf_dir):
     return sampling.sample(fx.transactions(spark, sf_dir).select("tx_id", LABEL), "tx_id", 0.8)[1]
 
 
+@query
+def sample_exact(spark, sf_dir):
+    """Exactly four fifths of the transactions of each class."""
+    rows = fx.transactions(spark, sf_dir).select("tx_id", LABEL)
+    return sampling.exact_split(rows, "tx_id", 0.8, by=(LABEL,))
+
+
+@query
+def sample_exact_total(spark, sf_dir):
+    """Exactly a third of all transactions, none of them told apart by class."""
+    return sampling.exact_sample(fx.transactions(spark, sf_dir).select("tx_id", "tx_amount"), "tx_id", 1 / 3)[0]
+
+
 @query
 def anti_complement(spark, sf_dir):
     """Documents without a label: the complement of a part that no hash describes."""
@@ -421,6 +434,24 @@ def ztest_auc(spark, sf_dir):
                    "champion_auc_se", "challenger_auc_se", "auc_z", "auc_p_value")
 
 
+def _scored_twice(spark, sf_dir):
+    """Every transaction with the scores of both rule models."""
+    rows = fx.transactions(spark, sf_dir).select("tx_id", "priority", LABEL)
+    for model, name in zip(fx.rule_models(), (decision.CHAMPION, decision.CHALLENGER)):
+        rows = models.score_table(model, rows).withColumnRenamed("score", f"{name}_score").drop("prediction")
+    return rows
+
+
+PAIRED_DOUBLES = ["first_auc", "second_auc", "first_auc_se", "second_auc_se", "auc_gain", "paired_z", "paired_p_value"]
+
+
+@query
+def paired_auc(spark, sf_dir):
+    """Champion against challenger on the same rows, per priority."""
+    out = paired.paired_auc(_scored_twice(spark, sf_dir), ["priority"], LABEL, "champion_score", "challenger_score")
+    return rounded(rounded(out, *PAIRED_DOUBLES), "auc_covariance", places=9)
+
+
 SUMMARY = ["mean", "sd", "low", "high", "share_positive"]
 
 
@@ -543,6 +574,18 @@ def train_cv(spark, sf_dir):
     return _checked(tuned.bestModel, test)
 
 
+@query
+def train_halving(spark, sf_dir):
+    """Depth and number of trees by successive halving; does it find the winner of the full grid at less than half of its row passes?"""
+    train, test = _train_test(_model_rows(spark, sf_dir))
+    grid = {"maxDepth": [1, 4], "numTrees": [5, 10], "minInstancesPerNode": [1, 50]}
+    best, tried = models.halving(train, MODEL_FEATURES, LABEL, "tx_id", "rf", grid)
+    passes, full = sum(t.share for t in tried), 8 * 0.8
+    model = models.fit(train, MODEL_FEATURES, LABEL, "rf", **best)
+    return _checked(model, test).withColumns({
+        "trials": F.lit(len(tried)).cast("bigint"), "deeper_wins": F.lit(best["maxDepth"] == 4), "under_half_of_the_rows": F.lit(passes < full / 2)})
+
+
 @query
 def model_params(spark, sf_dir):
     """Parameters of both kinds of model; of weights only whether the model uses the feature."""

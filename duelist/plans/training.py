@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelist.operators import models, registry
-from duelist.operators.features import feature_columns, select_features
+from duelist.operators.features import dropped_columns, feature_columns, select_features
 from duelist.operators.profile import column_profile
 from duelist.operators.sampling import SPLIT_SALT, train_test, training_end
 from duelist.sources.runs import RunTables, save_model
@@ -29,6 +29,8 @@ class TrainingRun:
     metrics: dict[str, float | None]
     profile: DataFrame
     version: int | None = None
+    #: Columns that are no features because of their type.
+    dropped: list[str] = field(default_factory=list)
 
 
 def train_job(
@@ -40,6 +42,7 @@ def train_job(
     time: str = "tx_timestamp",
     exclude: tuple[str, ...] = (),
     model_type: str = "rf",
+    tune: dict[str, list] | None = None,
     weights: list[float] | None = None,
     on_null: str = "error",
     experiment: str = models.EXPERIMENT,
@@ -61,6 +64,8 @@ def train_job(
     shared storage and reads them from there: set it when ``rows`` is dear to compute (a
     join, CSV), not for a plain parquet scan, where column pruning does as well.
     ``partitions`` fixes placement and order of the training rows, for a forest that repeats.
+    ``tune`` maps parameters to values; the combination is found by successive halving, see ``models.halving``,
+    inside the training part, and what every rung found is stored with the run's parameters.
     ``hash_method`` must be the same here and in the A/B job: it decides which rows are held out.
     Any failure is raised. Metrics and parameters go to the run tables under ``root``.
     """
@@ -80,13 +85,18 @@ def train_job(
     if partitions:
         train = models.repeatable_rows(train, key, partitions)
 
+    tried = []
+    if tune:
+        best, tried = models.halving(train, features, label, key, model_type, tune, bins=bins, on_null=on_null, **params)
+        params = {**params, **best}
     model = models.fit(train, features, label, model_type, on_null=on_null, **params)
     row = models.holdout_metrics(model, test, label, bins).first()
     metrics = {n: row[c] if row else None for n, c in TRAINING_METRICS.items()}
 
     settings = {**({"numTrees": models.NUM_TREES, "maxDepth": models.MAX_DEPTH} if model_type == "rf" else {}), **params}
     split = list(split_record(key, training_end(weights, normalise), hash_method).items())
-    pairs = [("run_name", name), *split, *((k, str(v)) for k, v in settings.items()), *models.fitted_params(model)]
+    dropped = dropped_columns(rows, label, time, excluded)
+    pairs = [("run_name", name), *split, ("dropped_columns", ",".join(dropped)), *models.tuning_params(tried), *((k, str(v)) for k, v in settings.items()), *models.fitted_params(model)]
     tables.append("params", spark.createDataFrame([(run_id, k, v) for k, v in pairs], "run_id string, name string, value string"))
     tables.append(
         "metrics",
@@ -99,7 +109,7 @@ def train_job(
     path = output_path or f"{tables.root}/models/{run_id}"
     save_model(model, path)
     version = register_run(tables, run_id, path, experiment, now) if auto_register else None
-    return TrainingRun(run_id, name, model, features, metrics, column_profile(rows), version)
+    return TrainingRun(run_id, name, model, features, metrics, column_profile(rows), version, dropped)
 
 
 def split_record(key: str, end: float, hash_method: str, salt: str = SPLIT_SALT) -> dict[str, str]:

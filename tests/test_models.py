@@ -244,3 +244,51 @@ def test_command_line(spark, rows, folder):
     assert second["version"] == 2
     test = main(["ab", "--input", f"{folder}/in/day.parquet", "--auto-promote", "--test-name", "t2", *common])
     assert test["status"] == "ok" and test["promotion_status"] in ("success", "not_promoted")
+
+
+def test_halving_finds_the_winner_of_the_full_grid(rows):
+    from itertools import product
+
+    from duelist.functions.hashing import hash_sql, quote
+
+    grid = {"regParam": [5.0, 0.5, 0.02, 0.0], "elasticNetParam": [1.0, 0.0]}
+    best, tried = models.halving(rows, FEATURES, "tx_fraud", "tx_id", "lr", grid)
+    u = hash_sql("tx_id", quote(f"halving{models.SEED}"), "xxhash64")
+    fitted, held_out = rows.filter(f"{u} < 0.8D"), rows.filter(f"{u} >= 0.8D")
+    full = {}
+    for values in product(*grid.values()):
+        model = models.fit(fitted, FEATURES, "tx_fraud", "lr", **dict(zip(grid, values)))
+        full[values] = models.holdout_metrics(model, held_out, "tx_fraud").first()["auc"]
+    assert min(full.values()) == 0.5 and full[tuple(best.values())] >= max(full.values()) - 0.005
+    assert sum(t.share for t in tried) < 8 * 0.8 / 2 and [t.rung for t in tried] == [0] * 8 + [1] * 2
+    assert models.halving(rows, FEATURES, "tx_fraud", "tx_id", "lr", {"regParam": [0.1]}) == ({"regParam": 0.1}, [])
+    one_class, none = models.halving(rows.filter("tx_fraud = 1"), FEATURES, "tx_fraud", "tx_id", "lr", {"regParam": [0.1, 0.2]})
+    assert one_class == {"regParam": 0.1} and none == []
+    with pytest.raises(ValueError):
+        models.halving(rows, FEATURES, "tx_fraud", "tx_id", "lr", {"regParam": []})
+
+
+def test_tuned_job_keeps_its_trials(spark, rows, folder):
+    run = train_job(spark, rows, folder, key="tx_id", weights=[0.7, 0.3], model_type="lr", tune={"regParam": [0.0, 5.0]})
+    params = {r["name"]: r["value"] for r in RunTables(spark, folder).read("params").filter(F.col("run_id") == run.run_id).collect()}
+    assert sum(name.startswith("tune_") for name in params) == 2 and params["regParam"] in ("0.0", "5.0")
+    assert params["dropped_columns"] == ",".join(run.dropped) and set(run.dropped) == {"city", "parts", "day"}
+
+
+def test_a_test_that_breaks_leaves_a_record(spark, rows, folder):
+    train_job(spark, rows, folder, key="tx_id", weights=[0.7, 0.3], auto_register=True)
+    broken = rows.withColumn("amount", F.raise_error(F.lit("lost disk")).cast("double"))
+    with pytest.raises(Exception, match="lost disk"):
+        ab_job(spark, broken, folder, key="tx_id", weights=[0.7, 0.3], now=dt.datetime(2024, 1, 1))
+    (record,) = RunTables(spark, folder).read("reports").collect()
+    assert '"status": "error"' in record["document"] and "lost disk" in record["document"]
+    assert ab_job(spark, rows, folder, key="tx_id", weights=[0.7, 0.3]).profile.filter("name = 'amount' AND rows = 4000").count() == 1
+
+
+def test_csv_schema_on_the_command_line(spark, folder):
+    from duelist.__main__ import arguments, load
+
+    spark.createDataFrame([("a", 7)], "k string, v int").write.option("header", True).csv(f"{folder}/t.csv")
+    args = arguments(["train", "--input", f"{folder}/t.csv", "--root", folder, "--key", "k", "--schema", "k string, v decimal(9, 2)"])
+    assert dict(load(spark, args.input, args.schema).dtypes) == {"k": "string", "v": "decimal(9,2)"}
+    assert len(load(spark, f"{folder}/t.csv", "transactions").columns) == 13

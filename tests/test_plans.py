@@ -10,7 +10,7 @@ import __spark_entry__ as entry_points
 
 QUERIES = entry_points.queries()
 WRITING = {"csv_round_trip", "metrics_long", "params_long", "ab_report_json", "period_report_incremental", "model_round_trip"}
-FITTING = {"train_rf", "train_lr", "train_cv", "model_params", "score_champion_challenger", "ab_report_rf"}
+FITTING = {"train_rf", "train_lr", "train_cv", "train_halving", "model_params", "score_champion_challenger", "ab_report_rf"}
 
 
 def plan_of(df) -> str:
