@@ -6,8 +6,13 @@ template and are deleted. Page structure comes first where it speaks plainly: sc
 comments and the like are no text, and what stands inside ``<article>`` or ``<main>`` is the article, of which
 differencing may only delete lines that are nothing but links. Articles of a host often share sentences; those stay.
 Classes and ids speak less plainly: they rule out no ``<html>``, ``<body>``, ``<main>`` or ``<article>`` and no element that holds
-the larger part of the text. Where the text outside ``<article>`` and ``<main>`` outweighs the text inside, both are kept, unless
-the page's one ``<h1>`` stands inside.
+the larger part of the text. Only an element whose class or id *is* a word for reader comments goes whatever its tag
+and length. One ``<article>`` or ``<main>`` is the text. Of several beside each other the one with the page's one
+``<h1>`` is; without such a one they are teasers or parts, and all of the page is compared.
+
+How much two pages share decides nothing: a short article on a rich template shares almost all of its lines. Pages of
+a host with the same lines are one page for the search, so a neighbour always differs somewhere. Where nothing
+of a page would be left, the neighbour holds the same article and says nothing; the page stays as it is.
 
 The neighbour is found without a window over a host: addresses are ranked in one range-sorted table and joined
 with ranks one higher and one lower. Of the neighbour only line hashes travel. Pages are read twice (hashes, then
@@ -28,8 +33,8 @@ from pyspark.sql import functions as F
 
 from duelist.llm.common import importable, staged
 
-# HTML elements that end a block of text, that hold no text, that never close, and words in class or id
-# that mark what is not the article.
+# HTML elements that end a block of text, that hold no text, that never close, words in class or id
+# that mark what is not the article, class names and ids of reader comments.
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title "
@@ -41,38 +46,41 @@ NOT_ARTICLE = set(
     "modal nav navbar navigation newsletter notice popup promo related share sharing sidebar social sponsor sponsored subscribe widget".split())
 ARTICLE = {"article", "main"}
 NEVER_MARKED = ARTICLE | {"html", "body"}
-#: Pages that share more of their lines are the same page under two addresses.
-SAME_PAGE = 0.8
+COMMENTS = set("comment comments comment-list comment-body comments-area commentlist disqus_thread".split())
+FOREIGN = {"svg", "math"}
+INLINE_NO_TEXT = NO_TEXT - BLOCKS
 
 _SPACE = re.compile(r"\s+")
 _PART = re.compile(r"[^a-z0-9]+")
 
 
 class _Lines(HTMLParser):
-    """Blocks of a page in order: text, whether the structure rules it out, whether in an article, whether links only,
-    whether a main heading."""
+    """Blocks of a page in order: text, whether the structure rules it out, number of the outermost article around it
+    (0: none), whether links only, whether a main heading."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # tag, ruled out, in article, elements around it with a word of NOT_ARTICLE
-        self.open: list[tuple[str, bool, bool, tuple[int, ...]]] = [("", False, False, ())]
-        self.lines: list[tuple[str, bool, bool, bool, bool, tuple[int, ...]]] = []
+        # tag, ruled out, outermost article, elements around it with a word of NOT_ARTICLE
+        self.open: list[tuple[str, bool, int, tuple[int, ...]]] = [("", False, 0, ())]
+        self.lines: list[tuple[str, bool, int, bool, bool, tuple[int, ...]]] = []
+        self.articles = 0
         self.marked: list[int] = []  # length of the text in each element with such a word
         self.total = 0
         self.text: list[str] = []
+        self.where = self.open[0]  # element in which the block's text began
         self.in_link = 0
-        self.plain = False
+        self.plain, self.blank = False, True
 
     def flush(self) -> None:
         line = _SPACE.sub(" ", "".join(self.text)).strip()
         if line:
-            tag, out, article, marks = self.open[-1]
+            tag, out, article, marks = self.where
             self.lines.append((line, out, article, not self.plain, tag == "h1", marks))
             if not out:
                 self.total += len(line)
                 for k in marks:
                     self.marked[k] += len(line)
-        self.text, self.plain = [], False
+        self.text, self.plain, self.blank = [], False, True
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -92,15 +100,22 @@ class _Lines(HTMLParser):
             out or tag in NO_TEXT or "hidden" in named
             or named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "")
             or (tag == "header" and not article)
+            or (tag not in ("html", "body", "main") and not COMMENTS.isdisjoint(f"{named.get('class', '')} {named.get('id', '')}".split()))
         )
+        if tag in ARTICLE and not article and not out:
+            article = self.articles = self.articles + 1
         if words & NOT_ARTICLE and tag not in NEVER_MARKED:
             marks = (*marks, len(self.marked))
             self.marked.append(0)
-        self.open.append((tag, out, article or tag in ARTICLE, marks))
+        self.open.append((tag, out, article, marks))
 
     def handle_startendtag(self, tag, attrs):
-        if tag in VOID:
-            self.handle_starttag(tag, attrs)
+        # the slash closes elements of drawings and formulas only; elsewhere HTML ignores it
+        if tag in FOREIGN or any(t in FOREIGN for t, *_ in self.open):
+            return
+        self.handle_starttag(tag, attrs)
+        if tag in self.CDATA_CONTENT_ELEMENTS:
+            self.set_cdata_mode(tag)
 
     def handle_endtag(self, tag):
         if tag == "a":
@@ -113,12 +128,17 @@ class _Lines(HTMLParser):
                 break
 
     def handle_data(self, data):
+        if self.open[-1][0] in INLINE_NO_TEXT:
+            return
+        if not data.isspace():
+            if self.blank:
+                self.blank = False
+                self.where = self.open[-1]
+            self.plain |= not self.in_link
         self.text.append(data)
-        if not self.in_link and not data.isspace():
-            self.plain = True
 
 
-def page_lines(html: str | None) -> list[tuple[str, bool, bool, bool, bool]]:
+def page_lines(html: str | None) -> list[tuple[str, bool, int, bool, bool]]:
     if not html:
         return []
     parser = _Lines()
@@ -130,7 +150,7 @@ def page_lines(html: str | None) -> list[tuple[str, bool, bool, bool, bool]]:
     return [(line, out or not beside.isdisjoint(marks), *rest) for line, out, *rest, marks in parser.lines]
 
 
-def _hashes(lines: list[tuple[str, bool, bool, bool, bool]]) -> list[int]:
+def _hashes(lines: list[tuple[str, bool, int, bool, bool]]) -> list[int]:
     return [xxhash.xxh64_intdigest(line[0]) - (1 << 63) for line in lines]
 
 
@@ -166,43 +186,44 @@ def main_text(html: str | None, neighbour: list[int] | None) -> tuple[str, int]:
     """The article's blocks joined by an empty line, and how many lines differencing deleted from it."""
     lines = page_lines(html)
     common = set(shared(np.array(_hashes(lines), np.int64), np.array(neighbour, np.int64))) if neighbour and lines else set()
-    if lines and len(common) > SAME_PAGE * len(lines):
-        common = set()  # the same article under another address says nothing about the template
-    has_article = any(article and not out for _, out, article, *_ in lines)
     body = [(k, line) for k, line in enumerate(lines) if not line[1]]
-    kept = [line for k, line in body if k not in common or (line[2] and not line[3])]
-    inside = sum(len(line[0]) for line in kept if line[2])
-    headings = [line[2] for _, line in body if line[4]]
-    if has_article and (headings == [True] or sum(len(line[0]) for line in kept) <= 2 * inside):
-        body = [(k, line) for k, line in body if line[2]]
-        kept = [line for line in kept if line[2]]
-    kept = [line[0] for line in kept]
+    articles = {line[2] for _, line in body if line[2]}
+    if len(articles) > 1:
+        headings = [line[2] for _, line in body if line[4]]
+        articles = set(headings) if len(headings) == 1 and headings[0] else set()
+    if articles:
+        body = [(k, line) for k, line in body if line[2] in articles]
+    kept = [line[0] for k, line in body if k not in common or (line[2] and not line[3])] or [line[0] for _, line in body]
     return "\n\n".join(kept), len(body) - len(kept)
 
 
-def neighbours(pages: DataFrame) -> DataFrame:
-    """``host``, ``path``, ``near_id``: for every address the page at the nearest other path of the host.
+def neighbours(pages: DataFrame, lines: DataFrame) -> DataFrame:
+    """``host``, ``path``, ``near_id``: for every address the page at the nearest path of the host that has other lines.
 
-    Addresses are compared without scheme, query, fragment, final slash and ``.html``. Nearest is the neighbour in sorted order that
+    Addresses are compared without scheme, query, fragment, final slash and ``.html``. Pages of a host with the same lines
+    (``lines``: ``near_id``, ``alike``) stand at the first of their addresses. Nearest is the neighbour in sorted order that
     shares more leading path segments, the earlier one if they share as many. Pages without a host have none.
     """
-    addresses = pages.filter("host <> ''").groupBy("host", "path").agg(F.min("page_id").alias("page_id")).filter("page_id IS NOT NULL")
+    addresses = pages.filter("host <> ''").groupBy("host", "path").agg(F.min("page_id").alias("near_id")).join(lines, "near_id")
+    first = addresses.groupBy("host", "alike").agg(F.min(F.struct("path", "near_id")).alias("at")).selectExpr(
+        "host", "alike", "at.path", "at.near_id AS page_id")
     ordered = staged(
-        addresses.repartitionByRange("host", "path").sortWithinPartitions("host", "path")
+        first.repartitionByRange("host", "path").sortWithinPartitions("host", "path")
         .select("*", F.monotonically_increasing_id().alias("_at")).selectExpr("*", "shiftright(_at, 33) AS _part", "_at & ((1L << 33) - 1) AS _k"),
         "addresses")
     # one row per part of the sorted table
     parts = ordered.groupBy("_part").agg(F.count("*").alias("n")).selectExpr("_part", "sum(n) OVER (ORDER BY _part) - n AS before")
-    ranked = staged(ordered.join(parts, "_part").selectExpr("host", "path", "page_id", "before + _k AS rank"), "ranked-addresses")
+    ranked = staged(ordered.join(parts, "_part").selectExpr("host", "path", "alike", "page_id", "before + _k AS rank"), "ranked-addresses")
     out = ranked
     for name, step in (("prev", 1), ("next", -1)):
         other = ranked.selectExpr(f"rank + {step} AS rank", f"host AS {name}_host", f"path AS {name}_path", f"page_id AS {name}_id")
         out = out.join(other, "rank", "left")
-    alike = lambda n: (
+    common = lambda n: (
         f"if({n}_host = host, aggregate(zip_with(split(path, '/'), split({n}_path, '/'), (x, y) -> x <=> y), "
         f"named_struct('n', 0, 'on', true), (a, e) -> named_struct('n', a.n + if(a.on AND e, 1, 0), 'on', a.on AND e), a -> a.n), -1)")
-    return out.selectExpr("host", "path", f"coalesce({alike('prev')}, -1) AS p", f"coalesce({alike('next')}, -1) AS n", "prev_id", "next_id").selectExpr(
-        "host", "path", "CASE WHEN p < 0 AND n < 0 THEN NULL WHEN p >= n THEN prev_id ELSE next_id END AS near_id").filter("near_id IS NOT NULL")
+    nearest = out.selectExpr("host", "alike", f"coalesce({common('prev')}, -1) AS p", f"coalesce({common('next')}, -1) AS n", "prev_id", "next_id").selectExpr(
+        "host", "alike", "CASE WHEN p < 0 AND n < 0 THEN NULL WHEN p >= n THEN prev_id ELSE next_id END AS near_id").filter("near_id IS NOT NULL")
+    return addresses.drop("near_id").join(nearest, ["host", "alike"]).select("host", "path", "near_id")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -229,8 +250,9 @@ def extract(pages: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int32())],
                 names=["page_id", "url", "text", "n_deleted"])
 
-    near = neighbours(own.select("page_id", "host", "path"))
     lines = staged(own.select("page_id", "html").mapInArrow(hashed, "near_id long, lines array<long>"), "page-lines")
-    references = staged(near.join(lines.groupBy("near_id").agg(F.min("lines").alias("lines")), "near_id").select("host", "path", "lines"), "page-references")
+    lines = lines.groupBy("near_id").agg(F.min("lines").alias("lines"))
+    near = neighbours(own.select("page_id", "host", "path"), lines.selectExpr("near_id", "xxhash64(lines) AS alike"))
+    references = near.join(lines, "near_id").select("host", "path", "lines")
     paired = own.join(references, ["host", "path"], "left").select("page_id", "url", "html", "lines")
     return paired.mapInArrow(texts, "page_id long, url string, text string, n_deleted int")

@@ -158,6 +158,51 @@ def test_pages_without_structure_are_differenced(spark):
     assert html_diff.extract(df.limit(0)).count() == 0
 
 
+def test_a_short_article_on_a_rich_template_is_what_is_left(spark):
+    """30 lines of template and two of the article; copies under other addresses and a page inside its neighbour."""
+    template = "".join(f"<div>Template line {k}</div>" for k in range(15))
+    page = lambda k: f"{template}<p>First of {k}</p><p>Second of {k}</p>{template.replace('line', 'end')}"
+    rows = [(k, f"http://a.b/{k // 2}/{k % 2}.html", page(k)) for k in range(4)]
+    rows += [(9, "http://a.b/0/1/print", page(1)), (10, "http://a.b/0/2", page(1)), (11, "http://a.b/3", page(3))]
+    rows += [(20, "http://c.d/a", "<p>One</p><p>Two</p>"), (21, "http://c.d/b", "<p>One</p><p>Two</p><p>Three</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: (r["text"], r["n_deleted"]) for r in html_diff.extract(df).collect()}
+    article = {k: (f"First of {k}\n\nSecond of {k}", 30) for k in range(4)}
+    assert got == article | {9: article[1], 10: article[1], 11: article[3], 20: ("One\n\nTwo", 0), 21: ("Three", 2)}
+
+
+def test_differencing_equals_brute_force(spark):
+    """Random pages without tags that tell: what is left is the page less a longest common subsequence with its neighbour."""
+    rng = random.Random(8)
+    pages = [[f"t{rng.randrange(6)}" for _ in range(rng.randrange(1, 12))] + [f"own {k}"] for k in range(12)]
+    rows = [(k, f"http://h/{k:02d}", "".join(f"<p>{line}</p>" for line in page)) for k, page in enumerate(pages)]
+    got = {r["page_id"]: r for r in html_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, page in enumerate(pages):
+        near = pages[k - 1 if k else 1]
+        table = [[0] * (len(near) + 1) for _ in range(len(page) + 1)]
+        for i, x in enumerate(page):
+            for j, y in enumerate(near):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        left = got[k]["text"].split("\n\n")
+        rest = iter(page)
+        assert got[k]["n_deleted"] == table[-1][-1] == len(page) - len(left) and all(line in rest for line in left) and left[-1] == f"own {k}"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p>Body.</p></article><div class='comments'><p>{}</p></div>", "Body."),
+    ("<article><h1>T</h1><p>Body.</p></article><div id='comments'><p>{}</p></div>", "T\n\nBody."),
+    ("<article><p>Body.</p></article><article class='comment'><p>{}</p></article><article class='comment odd'><p>x</p></article>", "Body."),
+    ("<article class='post comments-open'><p>Body.</p><ol class='comment-list'><li>{}</ol></article>", "Body."),
+    ("<article><p>Body.</p></article><div>{}</div>", "Body."),
+    ("<p>one<p/>two", "one\n\ntwo"),
+    ("<p>one<script src='x'/>var a = 1;</script>two<svg/><br/>three", "onetwo three"),
+    ("<p>one <script>var a;</script><button>Buy<div>now</div></button> two<style>p {{}}</style>", "one\n\ntwo"),
+    ("<p>one<svg><title/><path/></svg>two", "onetwo"),
+])
+def test_comments_and_empty_tags(page, text):
+    assert html_diff.main_text(page.format(LONG), None)[0] == text
+
+
 def test_structure_rules():
     page = ("<html><head><title>t</title><script>var a='<p>no</p>'</script></head><body><header>top</header><nav>menu</nav>"
             "<div class='cookie-notice'>ok?</div><article><header><h1>T</h1></header><p>one <b>bold</b>\n two<p>three<aside>side</aside>"
