@@ -1,8 +1,9 @@
 """Chat formatting by quotation linking.
 
 Messages are split into own text and quoted passages with their nesting level (``>`` marks, an attribution line like
-"... wrote:" before them). Passages, and the lines in them, are hashed in normalised form and joined to the
-message that first said the same: in the same conversation, else anywhere before. The message whose words are
+"... wrote:" before them). Passages, and the paragraphs, lines and sentences in them, are hashed in normalised form and
+joined to the message that first said the same: in the same conversation, else anywhere before. Under ``MIN_WORDS`` words
+many people say the same by chance, so such short quotations link within their conversation only. The message whose words are
 quoted most at the outermost linked level is the one replied to. Following these links to their end gives the
 conversation a message belongs to and its depth; quotes are cut out of the texts.
 
@@ -27,6 +28,7 @@ MIN_WORDS = 3
 
 _MARKS = re.compile(r"[ \t]*((?:>[ \t]*)+)")
 _WORD = re.compile(r"[^\W_]+")
+_SENTENCE_END = re.compile(r"(?<=[.!?…])\s+")
 # How mail programs introduce a quotation, in four languages.
 _ATTRIBUTION = re.compile(r"(?:wrote|schrieb[^:\n]*|a écrit|escribió)\s*:\s*$", re.IGNORECASE)
 
@@ -54,11 +56,11 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
 
 
 def _units(passage: str) -> dict[int, int]:
-    """Hash and number of words of a passage and of each of its paragraphs and lines, in normalised form."""
+    """Hash and number of words of a passage and of each of its paragraphs, lines and sentences, in normalised form."""
     out = {}
-    for part in [passage, *re.split(r"\n\s*\n", passage), *passage.split("\n")]:
+    for part in [passage, *re.split(r"\n\s*\n", passage), *passage.split("\n"), *_SENTENCE_END.split(passage)]:
         words = [w.lower() for w in _WORD.findall(part)]
-        if len(words) >= MIN_WORDS:
+        if words:
             out[xxhash.xxh64_intdigest(" ".join(words)) - (1 << 63)] = len(words)
     return out
 
@@ -106,7 +108,8 @@ def link(messages: DataFrame) -> DataFrame:
     own = F.struct("conv_id", "turn", "key")
     met = (
         quoted.join(here, ["hash", "conv_id"], "left").join(anywhere, "hash", "left")
-        .withColumn("to", F.when(F.col("here") < own, F.col("here")).when(F.col("anywhere") < own, F.col("anywhere")))
+        .withColumn("to", F.when(F.col("here") < own, F.col("here")).when(
+            (F.col("anywhere") < own) & (F.col("words") >= MIN_WORDS), F.col("anywhere")))
         .filter("to IS NOT NULL")
         .groupBy("key", "level", "to").agg(F.sum("words").alias("words"))
         # the outermost level first, then most words, then the earliest message

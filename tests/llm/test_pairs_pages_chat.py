@@ -291,3 +291,40 @@ def test_scores_are_those_of_the_whole_vocabulary(spark, sf_dir):
                 p = 1 / (1 + math.exp(-(model.intercept + sum(own[i] for i in found) + sum(w * o for w, o in zip(own[size:], odds)))))
             assert abs(p - got[key][k]) < 1e-12
             odds.append(math.log(max(p, 1e-4) / max(1 - p, 1e-4)) / 4)
+
+
+def test_single_sentences_and_short_quotations(spark):
+    """One sentence out of a line links; words under three link inside their conversation, not to others."""
+    rows = [
+        (1, 0, "Yes."), (1, 1, "The first thing is dull. The second thing is worth a quote! And a third."),
+        (2, 0, "Can it be done?"), (2, 1, "Maybe not."), (2, 2, "> Maybe not.\nWhy?"), (2, 3, "> Yes.\nOf whom?"),
+        (2, 4, "> the second thing is\n> worth a quote\nIndeed"), (2, 5, "> ...\nno words"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string").withColumn("role", F.lit("user"))
+    got = {(r["conv_id"], r["turn"]): (r["reply_conv"], r["reply_turn"], r["n_quotes"]) for r in quote_link.link(df).collect()}
+    assert {k: v[:2] for k, v in got.items() if v[0] is not None} == {(2, 2): (2, 1), (2, 4): (1, 1)}
+    assert got[2, 3] == (None, None, 1) and got[2, 5] == (None, None, 1)
+
+
+def test_links_equal_a_brute_force_linker(spark):
+    """Random threads: the first message that holds a quoted line, of the conversation, else of all, in order."""
+    rng = random.Random(9)
+    lines = [f"line number {k} of the pool" for k in range(25)] + [f"w{k}" for k in range(8)]
+    rows = []
+    for conv in range(6):
+        for turn in range(6):
+            quotes = [f"> {rng.choice(lines)}"] if rng.random() < 0.5 else []
+            rows.append((conv, turn, "\n".join([*quotes, *rng.sample(lines, 3)])))
+    want = {}
+    for conv, turn, text in rows:
+        quoted = [line[2:] for line in text.split("\n") if line.startswith("> ")]
+        if not quoted:
+            continue
+        holds = [(c, t) for c, t, other in rows if (c, t) < (conv, turn) and quoted[0] in other.split("\n")]
+        own = [p for p in holds if p[0] == conv]
+        found = own or (holds if len(quoted[0].split()) >= 3 else [])
+        if found:
+            want[conv, turn] = found[0]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string").withColumn("role", F.lit("user"))
+    got = {(r["conv_id"], r["turn"]): (r["reply_conv"], r["reply_turn"]) for r in quote_link.link(df).collect()}
+    assert len(want) > 5 and {k: v for k, v in got.items() if v[0] is not None} == want
