@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 350_000
+CACHE_ENTRIES = 200_000
 BATCH = 500
 TOGETHER = 1_000
 
