@@ -7,8 +7,8 @@ carry over to new texts. In use the models trained on all rows take their place.
 
 Training reads a bounded sample of labelled rows, about ``MAX_TRAIN``, those with the smallest hash of the id; folds are hashes as
 well, so nothing depends on row order. The vocabulary is all that occurs in ``MIN_TEXTS`` texts and a share ``MIN_SHARE`` of the sample; an L1
-penalty leaves some thousand weights that matter. Fitting runs as Spark ML jobs. Scoring keeps only entries with a weight in some
-model, and works out once per different word which of them it is or begins with; every text is scored whole.
+penalty leaves some thousand weights that matter. One grouped count finds the vocabulary, and fitting runs as Spark ML jobs. Scoring
+keeps only entries with a weight in some model, and works out once per different word which of them it is or begins with; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,8 @@ PREFIXES = (3, 4, 5, 6, 7)
 FOLDS = 3
 MAX_ITER = 30
 REG = 3e-4
+#: The sample is bounded, so few tasks hold it; up to four tasks add up their gradients in one stage an iteration.
+FIT_TASKS = 4
 CACHE_WORDS = 500_000
 #: What ``plain_words`` splits a lower-case text into.
 _WORD = re.compile(r"[^\W_]+")
@@ -74,7 +76,7 @@ def _odds(p: Column) -> Column:
 def _fit(df: DataFrame, label: str):
     learner = LogisticRegression(featuresCol="_x", labelCol=label, maxIter=MAX_ITER, regParam=REG, elasticNetParam=1.0, standardization=False,
                                  probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y")
-    return learner.fit(df)
+    return learner.fit(df.coalesce(FIT_TASKS))
 
 
 def _probability(df: DataFrame, model: LogisticRegressionModel | None, constant: float, out: str) -> DataFrame:
@@ -98,10 +100,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
                                plain_words(F.col("_text")).alias("_plain")).withColumn("_tokens", _tokens("_plain")).drop("_plain"),
                   "toxicity-tokens")
     enough = max(MIN_TEXTS, MIN_SHARE * rows.count())
-    vectorizer = CountVectorizer(inputCol="_tokens", outputCol="_words", binary=True, minDF=enough, vocabSize=2**31 - 1)
-    # fitting fails where no entry occurs often enough
     often = rows.select(F.explode("_tokens").alias("t")).groupBy("t").count().filter(F.col("count") >= enough)
-    vocabulary = None if often.isEmpty() else vectorizer.fit(rows)
+    names = [r["t"] for r in often.orderBy(F.desc("count"), "t").collect()]
+    vocabulary = CountVectorizerModel.from_vocabulary(names, "_tokens", "_words", binary=True) if names else None
     chain = Chain(categories, vocabulary, [], [])
     if vocabulary is not None:
         rows = staged(vocabulary.transform(rows).drop("_tokens"), "toxicity-train")
