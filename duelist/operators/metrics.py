@@ -77,6 +77,12 @@ def with_rates(counts: DataFrame) -> DataFrame:
     return both.selectExpr("*", f"{ratio(weighted, 'positives + negatives')} AS f1_weighted").drop("_f1_negative")
 
 
+def score_value(score: str, bins: int | None = None) -> str:
+    """The score as a double, or rounded down to one of ``bins`` equal steps (SQL text)."""
+    value = f"cast({score} AS double)"
+    return value if bins is None else f"floor({value} * {bins}) / {bins}D"
+
+
 def score_cells(
     df: DataFrame,
     keys: list[str],
@@ -90,10 +96,7 @@ def score_cells(
     ``bins`` rounds scores down to that many equal steps of [0, 1]: fewer cells,
     approximate AUC (``tied_pairs`` bounds the error). By default AUC is exact.
     """
-    value = f"cast({score} AS double)"
-    if bins is not None:
-        value = f"floor({value} * {bins}) / {bins}D"
-    return df.groupBy(*keys, F.expr(f"{value} AS score")).agg(*_count_columns(label, prediction, score))
+    return df.groupBy(*keys, F.expr(f"{score_value(score, bins)} AS score")).agg(*_count_columns(label, prediction, score))
 
 
 def merge_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -117,7 +120,7 @@ def metrics_from_cells(cells: DataFrame, keys: list[str], bucket: str | None = N
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
     # _x, _y: mid-rank counts of the other class at or below a score, inside the bucket.
-    ranked = cells.selectExpr("*", f"{bucket or logit_bucket('score')} AS _bucket").selectExpr(
+    ranked = cells.withColumn("_bucket", F.expr(bucket or logit_bucket("score"))).selectExpr(
         "*",
         f"sum(negatives) {inner} - negatives / 2D AS _x",
         f"sum(positives) {inner} - positives / 2D AS _y",

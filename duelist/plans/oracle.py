@@ -431,6 +431,9 @@ QUALIFY row_number() OVER (ORDER BY {_SPLIT}, tx_id) <= floor(count(*) OVER () /
        count(*) FILTER (ab_group = 'challenger') AS challenger_count FROM scored_groups""",
     "auc_by_group": with_(TX, scored("tx"), metrics("scored", ["ab_group"]))
     + f"SELECT ab_group, positives, negatives, {r6('auc', 'auc')}, {r6('auc_se', 'auc_se')} FROM m",
+    "auc_one_shuffle": with_(TX, scored("tx"), metrics("scored", ["ab_group"]))
+    + f"SELECT ab_group, positives, negatives, {r6('auc', 'auc')}, {r6('auc_se', 'auc_se')}, {r6('tied_pairs', 'tied_pairs')}, "
+    + f"{r6('accuracy', 'accuracy')} FROM m",
     "confusion_by_group": with_(DOCS) + """SELECT lang, count(*) FILTER (quality = 1) AS positives,
        count(*) FILTER (quality = 0) AS negatives, count(*) FILTER (quality = 1 AND n_chars > 1000) AS tp,
        count(*) FILTER (quality = 0 AND n_chars > 1000) AS fp, count(*) FILTER (quality IS NULL) AS invalid,

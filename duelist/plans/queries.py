@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelist.functions.hashing import hash_sql, quote
-from duelist.operators import bootstrap, decision, features, lattice, little_bootstrap, metrics, models, paired, profile, registry, sampling, sequential, significance, slices
+from duelist.operators import bootstrap, combine, decision, features, lattice, little_bootstrap, metrics, models, paired, profile, registry, sampling, sequential, significance, slices
 from duelist.plans import fixtures as fx
 from duelist.plans.periodic import report_by_period, with_period
 from duelist.plans.training import register_run, train_job
@@ -242,6 +242,13 @@ def auc_by_group(spark, sf_dir):
     return rounded(m.select("ab_group", "positives", "negatives", "auc", "auc_se"), "auc", "auc_se")
 
 
+@query
+def auc_one_shuffle(spark, sf_dir):
+    """The same from counts made before the only shuffle."""
+    m = combine.combined_metrics(fx.scored_transactions(spark, sf_dir), ["ab_group"], LABEL)
+    return rounded(m.select("ab_group", "positives", "negatives", "auc", "auc_se", "tied_pairs", "accuracy"), "auc", "auc_se", "tied_pairs", "accuracy")
+
+
 @query
 def confusion_by_group(spark, sf_dir):
     """Long documents as a guess of quality, per language; unlabelled ones are invalid."""
