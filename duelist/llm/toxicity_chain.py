@@ -101,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
                   "toxicity-tokens")
     enough = max(MIN_TEXTS, MIN_SHARE * rows.count())
     often = rows.select(F.explode("_tokens").alias("t")).groupBy("t").count().filter(F.col("count") >= enough)
-    names = [r["t"] for r in often.orderBy(F.desc("count"), "t").collect()]
+    names = [t for t, _ in sorted(often.collect(), key=lambda r: (-r["count"], r["t"]))]
     vocabulary = CountVectorizerModel.from_vocabulary(names, "_tokens", "_words", binary=True) if names else None
     chain = Chain(categories, vocabulary, [], [])
     if vocabulary is not None:
