@@ -10,14 +10,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 200_000
-BATCH = 500
+CACHE_ENTRIES = 120_000
+BATCH_BYTES = 1 << 20
 TOGETHER = 1_000
 
-#: A word and the marks behind it, which a byte-level tokenizer always splits.
-_MARKED = re.compile(r"(\n?[^\W_]+)([^\w\s]+)")
+#: Marks at the end of a piece, which a byte-level tokenizer always splits from a letter or digit before them. They become
+#: pieces of their own, with a character in front that says so.
+_MARKS, _ALONE = r"([\pL\pN])([\pP\pS]+)( |$)", "\x00"
 
 
 #: Byte-level tokenizers write each byte as a character: printable ones as themselves, the others from U+0100 on.
@@ -32,38 +34,32 @@ class _Pieces:
     def __init__(self, encode_all):
         self.encode_all, self.known, self.older = encode_all, {}, {}
 
-    def learn(self, wanted: set[str]) -> None:
-        """Adds what is not known yet, in one go."""
+    def learn(self, wanted: list[str]) -> None:
+        """Adds what is not known yet, in one go. No piece is in ``wanted`` twice."""
         if len(self.known) >= CACHE_ENTRIES:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        spaced, own, marked = [], [], []
-        for piece in wanted.difference(known):
+        letters, spaced, own_letters, own, marks = [], [], [], [], []
+        for piece in wanted:
+            if piece in known:
+                continue
             if piece in older:
                 known[piece] = older[piece]
-                continue
-            behind_line_end = piece[:1] == "\n"
-            body = piece[1:] if behind_line_end else piece
-            if body.isalnum():
-                (own if behind_line_end else spaced).append(body)
-            elif body.split() == [body]:
-                if found := _MARKED.fullmatch(piece):
-                    marked.append((piece, *found.groups()))
-                else:
-                    (own if behind_line_end else spaced).append(body)
-        for _, word, _ in marked:
-            if word not in known:
-                if word in older:
-                    known[word] = older[word]
-                elif word[0] == "\n":
-                    own.append(word[1:])
-                else:
-                    spaced.append(word)
-        spaced, own, marks = list(set(spaced)), list(set(own)), list({m for _, _, m in marked})
-        known.update(zip(spaced, self.encode_all(spaced, " "), strict=True))
-        known.update(zip(["\n" + w for w in own], self.encode_all(own, "\n"), strict=True))
-        ends = dict(zip(marks, self.encode_all(marks, ""), strict=True))
-        known.update((piece, known[word] + ends[mark]) for piece, word, mark in marked)
+            elif piece.isalpha():
+                letters.append(piece)
+            elif piece[:1] == "\n":
+                if piece.split() == [piece[1:]]:
+                    (own_letters if piece[1:].isalpha() else own).append(piece[1:])
+            elif piece[:1] == _ALONE:
+                if piece.split() == [piece] != [_ALONE]:
+                    marks.append(piece[1:])
+            elif piece.split() == [piece]:
+                spaced.append(piece)
+        for words in letters, spaced:
+            known.update(zip(words, self.encode_all(words, " "), strict=True))
+        for words in own_letters, own:
+            known.update(zip(["\n" + w for w in words], self.encode_all(words, "\n"), strict=True))
+        known.update(zip([_ALONE + m for m in marks], self.encode_all(marks, ""), strict=True))
 
 
 class Encoder:
@@ -89,7 +85,8 @@ class Encoder:
             and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
         )
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if specials or not t.special]
-        self.added = re.compile("|".join(added)) if added else None
+        #: Strings that only the tokenizer itself may encode.
+        self.whole = re.compile("|".join([_ALONE, *added]))
         model = conf["model"]
         self.letters = self.splits and model.get("type") == "BPE" and not model.get("dropout") and not any(
             model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix"))
@@ -99,37 +96,24 @@ class Encoder:
         self.splits &= len(self.line_end) == self.dtype.itemsize
         self.pieces = _Pieces(self._many)
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
     def _whole(self, text: str) -> bytes:
         # without offsets, which nobody needs here
-        ids = array(self.code, self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+        return self._bytes(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
     def _many(self, words: list[str], lead: str) -> list[bytes]:
         """Ids of each word behind a space, a line end or nothing."""
-        if not self.letters:
+        if not (self.letters and all(map(str.isalpha, words))):
             return self._lines(words, lead)
-        tokenize, start, before = self.tokenizer.model.tokenize, b"", ""
-        if lead == "\n":
-            start = self.line_end
-        elif lead:
-            before = lead.translate(_BYTE_CHARS)
-        out: list[bytes] = []
-        rest: list[int] = []
-        for k, word in enumerate(words):
-            if not word.isalpha():
-                rest.append(k)
-                out.append(b"")
-                continue
-            chars = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
-            ids = array(self.code, [t.id for t in tokenize(before + chars)])
-            if sys.byteorder == "big":
-                ids.byteswap()
-            out.append(start + ids.tobytes())
-        for k, ids in zip(rest, self._lines([words[k] for k in rest], lead), strict=True):
-            out[k] = ids
-        return out
+        start, before = (self.line_end, "") if lead == "\n" else (b"", lead.translate(_BYTE_CHARS))
+        tokenize, packed = self.tokenizer.model.tokenize, self._bytes
+        chars = [word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS) for word in words]
+        return [start + packed([t.id for t in tokenize(before + word)]) for word in chars]
 
     def _lines(self, words: list[str], lead: str) -> list[bytes]:
         """The same by the tokenizer itself, many words as lines of one text."""
@@ -146,22 +130,26 @@ class Encoder:
         return out
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes] = []
-        for k in range(0, len(texts), BATCH):
-            some = [t or "" for t in texts[k : k + BATCH]]
-            if not self.splits:
-                out += map(self._whole, some)
-                continue
-            # the first piece of a text has no space before it: it counts as behind a line end, which is cut off
-            parts = [("\n" + t).replace("\n", " \n").split(" ")[1:] for t in some]
-            self.pieces.learn(set().union(*parts))
-            known, width = self.pieces.known.__getitem__, self.dtype.itemsize
-            for text, own in zip(some, parts):
-                try:
-                    out.append(b"".join(map(known, own))[width:] if text and not (self.added and self.added.search(text)) else self._whole(text))
-                except KeyError:
-                    out.append(self._whole(text))
-        return out
+        return list(encoded_texts(self, pa.array(texts, pa.large_string())))
+
+    def encode_array(self, column: pa.Array) -> list[bytes]:
+        """The same for an Arrow column, all of it cut at once."""
+        texts = [t or "" for t in column.to_pylist()]
+        if not self.splits:
+            return list(map(self._whole, texts))
+        # the first piece of a text has no space before it: it counts as behind a line end, which is cut off
+        behind, none = pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string())
+        cut = pc.replace_substring(column.cast(pa.large_string()).fill_null(""), "\n", " \n")
+        cut = pc.replace_substring_regex(cut, _MARKS, rf"\1 {_ALONE}\2\3")
+        parts = pc.split_pattern(pc.binary_join_element_wise(behind, cut, none), " ")
+        pieces = parts.flatten().dictionary_encode()
+        different = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.pieces.learn(different)
+        ids = pa.array(list(map(self.pieces.known.get, different)), pa.large_binary()).take(pieces.indices)
+        # a text with a piece that is not known has no joined ids
+        joined = pc.binary_join(pa.ListArray.from_arrays(parts.offsets, ids), pa.scalar(b"", pa.large_binary())).to_pylist()
+        width, whole = self.dtype.itemsize, self.whole
+        return [self._whole(text) if own is None or whole.search(text) else own[width:] for text, own in zip(texts, joined)]
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_batch([text])[0]
@@ -178,6 +166,12 @@ def encoder(path: str) -> Encoder:
 
 
 def encoded_texts(enc: Encoder, texts: pa.Array) -> Iterator[bytes]:
-    """Ids of the texts of an Arrow column, a few hundred texts in memory at a time."""
-    for k in range(0, len(texts), BATCH):
-        yield from enc.encode_batch(texts.slice(k, BATCH).to_pylist())
+    """Ids of the texts of an Arrow column, a megabyte of text, or one longer text, at a time."""
+    ends, k, done = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64), 0, 0
+    while k < len(texts):
+        end = max(k + 1, int(np.searchsorted(ends, done + BATCH_BYTES, side="right")))
+        ids = enc.encode_array(texts.slice(k, end - k))
+        # else the allocator keeps several times what is in use
+        pa.default_memory_pool().release_unused()
+        yield from ids
+        k, done = end, int(ends[end - 1])

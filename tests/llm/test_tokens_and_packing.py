@@ -51,6 +51,39 @@ def test_words_of_letters_go_to_the_model_with_equal_ids(encode, sf_dir):
     assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_batch(texts)] == [encode(t) for t in texts]
 
 
+def test_words_with_marks_are_kept_once(encode):
+    enc, words, marks = Encoder(PATH), [f"w{c}x" for c in "abcdefghij"], [".", ",", "***", "…", ")”", "_!", "'"]
+    texts = [" ".join(w + m for w in words for m in marks), "\n".join(w + m for w in words for m in marks)]
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_batch(texts)] == [encode(t) for t in texts]
+    # each word behind a space or a line end, and each mark: not every word with every mark
+    assert len(enc.pieces.known) <= 2 * len(words) + len(marks)
+
+
+def test_texts_with_the_character_that_leads_marks(encode):
+    texts = ["a, \0, b", "\0", "\0\t x", "a \0b\0", "x \0's y", "it, is", "\0. \0\t, c."]
+    enc = Encoder(PATH)
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_batch(texts * 2)] == [encode(t) for t in texts * 2]
+
+
+def test_marks_behind_and_of_any_character(encode):
+    chars = [chr(c) for c in [*range(1, 0x3000), *range(0xFE00, 0x10000, 3), *range(0x10000, 0x1FFFF, 41)]]
+    texts = [f"a{c}, {c}. b{c} {c}{c}\n{c}! d" for c in chars]
+    enc = Encoder(PATH)
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode_batch(texts)] == [encode(t) for t in texts]
+
+
+def test_steps_by_size_give_the_same(encode, monkeypatch):
+    import pyarrow as pa
+
+    from duelist.llm import tokens
+
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 7)
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 3)
+    enc, texts = Encoder(PATH), [*HARD, None, "", "a long, long text. " * 20, *HARD]
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in tokens.encoded_texts(enc, pa.array(["x", *texts]).slice(1))] == [encode(t) for t in texts]
+    assert list(tokens.encoded_texts(enc, pa.array([], pa.string()))) == []
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="aBé'.,%1 \n\t ²_", max_size=25))
 def test_pieces_give_the_ids_of_any_text(text):
