@@ -13,8 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 120_000
-BATCH_BYTES = 1 << 20
+CACHE_ENTRIES = 200_000
+BATCH_BYTES = 4 << 20
 TOGETHER = 1_000
 
 #: Marks at the end of a piece, which a byte-level tokenizer always splits from a letter or digit before them. They become
@@ -166,7 +166,7 @@ def encoder(path: str) -> Encoder:
 
 
 def encoded_texts(enc: Encoder, texts: pa.Array) -> Iterator[bytes]:
-    """Ids of the texts of an Arrow column, a megabyte of text, or one longer text, at a time."""
+    """Ids of the texts of an Arrow column, a few megabytes of text, or one longer text, at a time."""
     ends, k, done = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64), 0, 0
     while k < len(texts):
         end = max(k + 1, int(np.searchsorted(ends, done + BATCH_BYTES, side="right")))
